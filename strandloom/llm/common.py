@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,11 +50,10 @@ class Scratch:
         schema = df.schema
         df.write.parquet(path)
         self.paths[name] = path
-        del df
-        release(self.spark)
         return self.spark.read.schema(schema).parquet(path)
 
     def drop(self, *names: str) -> None:
+        release(self.spark)
         for name in names:
             fs, path = _hadoop(self.spark, self.paths.pop(name))
             fs.delete(path, True)
@@ -65,9 +65,15 @@ class Scratch:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files and broadcasts that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark delete shuffle files and broadcasts that nothing refers to any more.
+
+    A plan that this process drops is free in the driver's JVM only after a
+    collection there, and its shuffles after another one.
+    """
+    for _ in range(3):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def key(name: str) -> Column:

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.llm import kernels as K
-from strandloom.llm.common import Scratch, key, parallelism
+from strandloom.llm.common import Scratch, key, parallelism, release
 
 #: Rows of one gram from which it is expanded to windows; rows combined at once in a task; windows sorted at once.
 HOT_RUNS, COMBINE_ROWS, SORT_WINDOWS = 50_000, 1_000_000, 250_000
@@ -377,11 +377,13 @@ def suffix_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", le
     runs = base.select("doc", "tag", "text").mapInArrow(_find_runs(length, lead), _RUN)
     decided = scratch.keep("decided", runs.repartition(parts, "gram").sortWithinPartitions("gram", "run", "doc").mapInArrow(_decide(HOT_RUNS), "doc long, start long, n int, flag int"))
     del runs
+    release(spark)  # the dealt runs are larger than all that follows
     refine = decided.filter("flag > 0").groupBy("doc").agg(F.collect_list(F.struct("start", "n", "flag")).alias("runs"))
     suffixes = base.select("doc", "tag", "text").join(refine, "doc").select("doc", "tag", "text", "runs").mapInArrow(_suffixes(length, lead), _SUFFIX)
     sorted_ = suffixes.repartitionByRange(parts, "lead").sortWithinPartitions("lead", "mode", "doc")
     refined = scratch.keep("refined", sorted_.mapInArrow(_solve(length), "doc long, start long, n int"))
     del suffixes, sorted_
+    release(spark)
     removed = decided.filter("flag = 0").select("doc", "start", "n").unionByName(refined).groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
     joined = base.join(removed, "doc", "left").select("doc_id", "tag", "text", "runs")
     return joined.mapInArrow(_strip(length), f"doc_id {id_type.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
