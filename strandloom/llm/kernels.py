@@ -62,7 +62,7 @@ def ids(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return batch.column(batch.schema.get_field_index(name)).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def pieces(raw: np.ndarray, offsets: np.ndarray, limit: int = 1 << 21) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def pieces(raw: np.ndarray, offsets: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first document, end document, bytes, offsets) for runs of documents of about ``limit`` bytes."""
     n, at = len(offsets) - 1, 0
     while at < n:

@@ -37,7 +37,7 @@ from strandloom.llm import kernels as K
 from strandloom.llm.common import Scratch, key, parallelism, release
 
 #: Rows of one gram from which it is expanded to windows; rows combined at once in a task; windows sorted at once.
-HOT_RUNS, COMBINE_ROWS, SORT_WINDOWS = 50_000, 1_000_000, 250_000
+HOT_RUNS, COMBINE_ROWS, SORT_WINDOWS = 4_000, 600_000, 250_000
 _RUN = "gram long, run long, doc long, start long, n int"
 _SUFFIX = "lead binary, mode int, doc long, start long, n int, body binary"
 
