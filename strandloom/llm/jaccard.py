@@ -22,6 +22,7 @@ Documents become sets of word n-grams; two link when
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import reduce
 
@@ -31,11 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.llm import kernels as K
-from strandloom.llm.common import Scratch, key
+from strandloom.llm.common import Scratch, key, release
 from strandloom.operators.components import connected_components
 
 #: Cells of the frequency sketch, in slices that are summed apart; words of the parity signature.
-CELLS, SLICES, PARITY = 1 << 18, 16, 8
+CELLS, SLICES, PARITY = 1 << 21, 64, 8
+#: Sets of one component at one member from which they count as many.
+MANY = 32
 
 
 def _sets(raw, offsets, size):
@@ -50,17 +53,23 @@ def _cells(h: np.ndarray) -> np.ndarray:
     return (K.mix(h, 3) >> K.U(40)).astype(np.int64) & (CELLS - 1)
 
 
+def _slices(total: np.ndarray) -> Iterator[pa.RecordBatch]:
+    width = CELLS // SLICES
+    packed = [zlib.compress(np.minimum(total[i * width : (i + 1) * width], 0xFFFFFFFF).astype(np.uint32).tobytes(), 1) for i in range(SLICES)]
+    yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(packed, pa.binary())], names=["slice", "counts"])
+
+
 def _count(size):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, seen = np.zeros(CELLS, np.int64), False
+        total, seen = np.zeros(CELLS, np.uint32), False
         for b in batches:
             raw, offsets = K.column(b, "text")
             for _, _, r, o in K.pieces(raw, offsets):
-                total += np.bincount(_cells(_sets(r, o, size)[0]), minlength=CELLS)
+                cell, n = np.unique(_cells(_sets(r, o, size)[0]), return_counts=True)
+                total[cell] += n.astype(np.uint32)
                 seen = True
         if seen:
-            width = CELLS // SLICES
-            yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([total[i * width : (i + 1) * width].tobytes() for i in range(SLICES)], pa.binary())], names=["slice", "counts"])
+            yield from _slices(total)
 
     return count
 
@@ -69,20 +78,20 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums of the slices that a task sees."""
     sums: dict[int, np.ndarray] = {}
     for b in batches:
-        for i, blob in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-            part = np.frombuffer(blob.as_buffer(), np.int64)
+        for i, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            part = np.frombuffer(zlib.decompress(blob), np.uint32).astype(np.int64)
             sums[i] = sums[i] + part if i in sums else part
     for i, total in sums.items():
-        yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["slice", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([zlib.compress(np.minimum(total, 0xFFFF).astype(np.uint16).tobytes(), 1)], pa.binary())], names=["slice", "counts"])
 
 
 def frequencies(docs: DataFrame, size: int) -> np.ndarray:
-    """Documents by sketch cell: CELLS numbers, whatever the size of the table."""
-    out = np.zeros(CELLS, np.int64)
+    """Documents by sketch cell, up to 65,535: CELLS short numbers, whatever the size of the table."""
+    out = np.zeros(CELLS, np.uint16)
     width = CELLS // SLICES
     summed = docs.select("text").mapInArrow(_count(size), "slice int, counts binary").repartition(SLICES, "slice").mapInArrow(_add, "slice int, counts binary")
     for row in summed.collect():
-        out[row[0] * width : (row[0] + 1) * width] += np.frombuffer(bytes(row[1]), np.int64)
+        out[row[0] * width : (row[0] + 1) * width] = np.frombuffer(zlib.decompress(bytes(row[1])), np.uint16)
     return out
 
 
@@ -177,46 +186,62 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     base = docs.select(F.col(doc_id).alias("doc_id"), key(doc_id).alias("doc"), F.col(text).cast("string").alias("text"))
     rank = spark.sparkContext.broadcast(frequencies(base, size))
     rows = scratch.keep("rows", base.select("doc", "text").mapInArrow(_describe(size, percent, rank), "doc long, n long, s1 long, s2 long, prefix array<long>, parity array<long>"))
+    release(spark)
     full = rows.filter("n > 0")
     sets = scratch.keep("sets", full.groupBy("s1", "s2", "n").agg(F.min("doc").alias("rep"), F.first("prefix").alias("prefix"), F.first("parity").alias("parity")).withColumn("shape", F.xxhash64("prefix", "n")))
-    groups = sets.groupBy("shape").agg(F.min_by(F.struct("rep", "n", "parity", "prefix"), "rep").alias("g"))
-
-    # First groups at prefix members, and first sets of groups: stars, not all pairs.
-    member = groups.select(F.explode("g.prefix").alias("member"), F.col("g.rep").alias("rep"))
-    stars = member.join(member.groupBy("member").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).filter("a < z").select("member", "a"), "member").select("a", F.col("rep").alias("b"))
-    within = sets.select("shape", F.col("rep").alias("b")).join(groups.select("shape", F.col("g.rep").alias("a")), "shape").select("a", "b")
-    info = sets.select("rep", "n", "parity")
+    # Groups: the head stands for all sets with its prefix and size.
+    head = sets.groupBy("shape").agg(F.min("rep").alias("head"))
+    info = scratch.keep("info", sets.select("rep", "s1", "n", "parity", "shape").join(head, "shape").drop("shape"))
+    # Prefix members that several sets share; nothing else can make a candidate.
+    at = sets.select(F.explode("prefix").alias("member"), "rep")
+    shared = at.groupBy("member").agg(F.min("rep").alias("x"), F.max("rep").alias("z")).filter("x < z").select("member")
+    lists = scratch.keep("lists", at.join(shared, "member"))
+    release(spark)
+
+    # Heads at members, and first sets of groups: stars, not all pairs.
+    heads = lists.join(info.filter("rep = head").select("rep"), "rep", "left_semi")
+    stars = heads.join(heads.groupBy("member").agg(F.min("rep").alias("a")), "member").select("a", F.col("rep").alias("b"))
+    within = info.select(F.col("head").alias("a"), F.col("rep").alias("b"))
     first = scratch.keep("first", _screened(stars.unionByName(within).filter("a < b").distinct(), info, percent))
-    digest = sets.select(F.col("rep").alias("doc"), "s1")
+    digest = info.select(F.col("rep").alias("doc"), "s1")
+    release(spark)
 
-    def whole(name: str, pairs: DataFrame) -> DataFrame:
+    def verified(name: str, pairs: DataFrame) -> DataFrame:
         need = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct().join(digest, "doc")
-        return scratch.keep(name, base.select("doc", "text").join(need, "doc").select("doc", "s1", "text").mapInArrow(_expand(size), "doc long, grams array<long>").dropDuplicates(["doc"]))
-
-    links = scratch.keep("links", _linked(first, whole("whole1", first), percent))
-    scratch.drop("whole1")
-    same = rows.groupBy("doc").agg(F.min("n").alias("x"), F.count(F.lit(1)).alias("k")).filter("k > 1")
+        whole = scratch.keep(f"{name}-sets", base.select("doc", "text").join(need, "doc").select("doc", "s1", "text").mapInArrow(_expand(size), "doc long, grams array<long>").dropDuplicates(["doc"]))
+        release(spark)
+        links = scratch.keep(name, _linked(pairs, whole, percent))
+        scratch.drop(f"{name}-sets")
+        return links
+
+    links = verified("links", first)
+    same = rows.groupBy("doc").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
     # Rows that repeat an id but differ in text: their sets are one node.
     repeated = rows.join(same.select("doc"), "doc").filter("n > 0").join(sets.select("s1", "s2", "n", "rep"), ["s1", "s2", "n"]).select(F.col("doc").alias("a"), F.col("rep").alias("b")).filter("a <> b")
     parts = scratch.keep("parts1", connected_components(links.unionByName(repeated), "a", "b", lambda name, df: scratch.keep(f"c1-{name}", df)))
+    release(spark)
 
     # Pairs across components at members that still see several.
-    label = sets.select("rep", "n", "parity", "prefix").join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    at = label.select(F.explode("prefix").alias("member"), "rep", "component")
-    torn = at.groupBy("member").agg(F.min("component").alias("x"), F.max("component").alias("z")).filter("x < z").select("member")
-    held = scratch.keep("torn", at.join(torn, "member"))
-    heads = held.select("member", "component").distinct()
-    facing = heads.select("member", F.col("component").alias("ca")).join(heads.select("member", F.col("component").alias("cb")), "member").filter("ca < cb")
-    across = (
-        facing.join(held.select("member", F.col("component").alias("ca"), F.col("rep").alias("a")), ["member", "ca"])
-        .join(held.select("member", F.col("component").alias("cb"), F.col("rep").alias("b")), ["member", "cb"])
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    )
-    second = scratch.keep("second", _screened(across.join(first.select("a", "b"), ["a", "b"], "left_anti"), info, percent))
-    more = scratch.keep("more", _linked(second, whole("whole2", second), percent))
-    scratch.drop("whole2", "torn")
+    label = lists.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    seen = label.groupBy("member", "component").agg(F.count(F.lit(1)).alias("k"))
+    torn = seen.groupBy("member").agg(F.min("component").alias("x"), F.max("component").alias("z")).filter("x < z").select("member")
+    held = scratch.keep("torn", label.join(torn, "member").join(seen, ["member", "component"]).join(info.select("rep", "n", "parity"), "rep").withColumn("many", F.col("k") > MANY).drop("k"))
+    release(spark)
+    side = lambda x: held.select("member", F.col("rep").alias(x), F.col("component").alias(f"c{x}"), F.col("n").alias(f"n{x}"), F.col("parity").alias(f"p{x}"), F.col("many").alias(f"m{x}"))
+    a, b = side("a"), side("b").withColumnRenamed("member", "same")
+    possible = (F.col("member") == F.col("same")) & (F.col("ca") != F.col("cb")) & _possible(percent)
+    few = a.filter("not ma").join(b, possible & (F.col("mb") | (F.col("a") < F.col("b"))))
+    # Two components of many sets each: their pairs are wanted, those within either are not.
+    big = held.filter("many").select("member", "component").distinct()
+    facing = big.select("member", F.col("component").alias("ca")).join(big.select("member", F.col("component").alias("other")), "member").filter("ca < other")
+    many = a.join(facing, ["member", "ca"]).join(b, possible & (F.col("other") == F.col("cb")))
+    across = few.select("a", "b").unionByName(many.select("a", "b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    second = scratch.keep("second", across.join(first.select("a", "b"), ["a", "b"], "left_anti"))
+    scratch.drop("torn")
+    more = verified("more", second)
     if not more.isEmpty():
         parts = scratch.keep("parts2", connected_components(links.unionByName(repeated).unionByName(more), "a", "b", lambda name, df: scratch.keep(f"c2-{name}", df)))
+    release(spark)
     of = rows.select("doc", "n", "s1", "s2").join(sets.select("s1", "s2", "n", "rep"), ["s1", "s2", "n"], "left")
     of = of.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
     found = of.select("doc", "s1", "s2", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc").alias("component_id"))
