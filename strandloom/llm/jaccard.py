@@ -37,8 +37,10 @@ from strandloom.operators.components import connected_components
 
 #: Cells of the frequency sketch, in slices that are summed apart; words of the parity signature.
 CELLS, SLICES, PARITY = 1 << 21, 64, 8
-#: Sets of one component at one member from which they count as many.
-MANY = 32
+#: Words of the wider signature, and the set size from which a set has one.
+WIDE, WIDE_FROM = 128, 1500
+#: Sets of one component at one member from which they count as many; document ids that may be broadcast (about 50 bytes each).
+MANY, MAX_BROADCAST = 32, 500_000
 
 
 def _sets(raw, offsets, size):
@@ -104,6 +106,13 @@ def _digests(h: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return sums[0], sums[1]
 
 
+def _parity(bit: np.ndarray, owner: np.ndarray, count: int, width: int) -> np.ndarray:
+    """A signature of ``width`` words for each set: every member flips one bit."""
+    flips = np.zeros(count * width * 64, np.uint8)
+    np.add.at(flips, owner * (width * 64) + (bit & K.U(width * 64 - 1)).astype(np.int64), 1)
+    return np.packbits(flips & 1).view(np.int64)
+
+
 def _describe(size, percent, frequency):
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = frequency.value
@@ -121,13 +130,15 @@ def _describe(size, percent, frequency):
                 ends = np.cumsum(take)
                 flat = np.repeat(bounds[:-1] - ends + take, take) + np.arange(int(ends[-1]) if len(ends) else 0)
                 bit = K.mix(h, 31)
-                parity = np.zeros((e - a, PARITY * 64), np.uint8)
-                np.add.at(parity, (owner, (bit & K.U(PARITY * 64 - 1)).astype(np.int64)), 1)
-                packed = np.packbits(parity & 1, axis=1).view(np.int64)
+                packed = _parity(bit, owner, e - a, PARITY)
+                long_ = np.flatnonzero(n >= WIDE_FROM)
+                mine = (n >= WIDE_FROM)[owner]
+                wide = _parity(bit[mine], np.searchsorted(long_, owner[mine]), len(long_), WIDE)
                 yield K.batch(
                     doc=docs[a:e], n=n.astype(np.int64), s1=s1.view(np.int64), s2=s2.view(np.int64),
                     prefix=K.list_array(h[flat], np.concatenate(([0], ends))),
-                    parity=K.list_array(packed.reshape(-1), np.arange(e - a + 1) * PARITY),
+                    parity=K.list_array(packed, np.arange(e - a + 1) * PARITY),
+                    wide=K.list_array(wide, np.concatenate(([0], np.cumsum((n >= WIDE_FROM) * WIDE)))),
                 )
 
     return describe
@@ -185,13 +196,13 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     id_type = docs.schema[doc_id].dataType
     base = docs.select(F.col(doc_id).alias("doc_id"), key(doc_id).alias("doc"), F.col(text).cast("string").alias("text"))
     rank = spark.sparkContext.broadcast(frequencies(base, size))
-    rows = scratch.keep("rows", base.select("doc", "text").mapInArrow(_describe(size, percent, rank), "doc long, n long, s1 long, s2 long, prefix array<long>, parity array<long>"))
+    rows = scratch.keep("rows", base.select("doc", "text").mapInArrow(_describe(size, percent, rank), "doc long, n long, s1 long, s2 long, prefix array<long>, parity array<long>, wide array<long>"))
     release(spark)
     full = rows.filter("n > 0")
-    sets = scratch.keep("sets", full.groupBy("s1", "s2", "n").agg(F.min("doc").alias("rep"), F.first("prefix").alias("prefix"), F.first("parity").alias("parity")).withColumn("shape", F.xxhash64("prefix", "n")))
+    sets = scratch.keep("sets", full.groupBy("s1", "s2", "n").agg(F.min("doc").alias("rep"), F.first("prefix").alias("prefix"), F.first("parity").alias("parity"), F.first("wide").alias("wide")).withColumn("shape", F.xxhash64("prefix", "n")))
     # Groups: the head stands for all sets with its prefix and size.
     head = sets.groupBy("shape").agg(F.min("rep").alias("head"))
-    info = scratch.keep("info", sets.select("rep", "s1", "n", "parity", "shape").join(head, "shape").drop("shape"))
+    info = scratch.keep("info", sets.select("rep", "s1", "n", "parity", "wide", "shape").join(head, "shape").drop("shape"))
     # Prefix members that several sets share; nothing else can make a candidate.
     at = sets.select(F.explode("prefix").alias("member"), "rep")
     shared = at.groupBy("member").agg(F.min("rep").alias("x"), F.max("rep").alias("z")).filter("x < z").select("member")
@@ -208,14 +219,19 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
 
     def verified(name: str, pairs: DataFrame) -> DataFrame:
         need = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct().join(digest, "doc")
-        whole = scratch.keep(f"{name}-sets", base.select("doc", "text").join(need, "doc").select("doc", "s1", "text").mapInArrow(_expand(size), "doc long, grams array<long>").dropDuplicates(["doc"]))
+        need = scratch.keep(f"{name}-need", need)
+        # Few documents are picked out where they lie; many are dealt by id.
+        side = F.broadcast(need) if need.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST else need
+        found = base.select("doc", "text").join(side, "doc").select("doc", "s1", "text").mapInArrow(_expand(size), "doc long, grams array<long>")
+        whole = scratch.keep(f"{name}-sets", found.dropDuplicates(["doc"]) if any_repeated else found)
         release(spark)
         links = scratch.keep(name, _linked(pairs, whole, percent))
         scratch.drop(f"{name}-sets")
         return links
 
-    links = verified("links", first)
     same = rows.groupBy("doc").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    any_repeated = not same.isEmpty()
+    links = verified("links", first)
     # Rows that repeat an id but differ in text: their sets are one node.
     repeated = rows.join(same.select("doc"), "doc").filter("n > 0").join(sets.select("s1", "s2", "n", "rep"), ["s1", "s2", "n"]).select(F.col("doc").alias("a"), F.col("rep").alias("b")).filter("a <> b")
     parts = scratch.keep("parts1", connected_components(links.unionByName(repeated), "a", "b", lambda name, df: scratch.keep(f"c1-{name}", df)))
@@ -236,7 +252,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     facing = big.select("member", F.col("component").alias("ca")).join(big.select("member", F.col("component").alias("other")), "member").filter("ca < other")
     many = a.join(facing, ["member", "ca"]).join(b, possible & (F.col("other") == F.col("cb")))
     across = few.select("a", "b").unionByName(many.select("a", "b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    second = scratch.keep("second", across.join(first.select("a", "b"), ["a", "b"], "left_anti"))
+    second = scratch.keep("second", _screened(across.join(first.select("a", "b"), ["a", "b"], "left_anti"), info, percent))
     scratch.drop("torn")
     more = verified("more", second)
     if not more.isEmpty():
@@ -251,7 +267,12 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
 
 
 def _screened(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
-    """Pairs that sizes and signatures allow."""
-    left = pairs.join(info.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb")), "b")
-    both = left.join(info.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa")), "a")
-    return both.filter(_possible(percent)).select("a", "b")
+    """Pairs that sizes and signatures allow; of two large sets, the wider signatures too."""
+    of = lambda x: info.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("parity").alias(f"p{x}"))
+    left = pairs.join(of("b"), "b").join(of("a"), "a").filter(_possible(percent)).select("a", "b", "na", "nb")
+    large = (F.col("na") >= WIDE_FROM) & (F.col("nb") >= WIDE_FROM)
+    wide = info.filter(F.col("n") >= WIDE_FROM)
+    both = left.filter(large).join(wide.select(F.col("rep").alias("b"), F.col("wide").alias("wb")), "b").join(wide.select(F.col("rep").alias("a"), F.col("wide").alias("wa")), "a")
+    distance = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    near = both.filter(distance * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))
+    return left.filter(~large).select("a", "b").unionByName(near.select("a", "b"))
