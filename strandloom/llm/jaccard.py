@@ -197,6 +197,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     base = docs.select(F.col(doc_id).alias("doc_id"), key(doc_id).alias("doc"), F.col(text).cast("string").alias("text"))
     rank = spark.sparkContext.broadcast(frequencies(base, size))
     rows = scratch.keep("rows", base.select("doc", "text").mapInArrow(_describe(size, percent, rank), "doc long, n long, s1 long, s2 long, prefix array<long>, parity array<long>, wide array<long>"))
+    rank.destroy()
     release(spark)
     full = rows.filter("n > 0")
     sets = scratch.keep("sets", full.groupBy("s1", "s2", "n").agg(F.min("doc").alias("rep"), F.first("prefix").alias("prefix"), F.first("parity").alias("parity"), F.first("wide").alias("wide")).withColumn("shape", F.xxhash64("prefix", "n")))

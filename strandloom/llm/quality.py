@@ -10,7 +10,7 @@ neighbouring words, and word shapes.  A shape token says how a word is written
 before it, so that repetition and layout carry over to words never seen.
 
 Training rows are a sample of at most ``max_rows`` labelled rows, chosen by a
-hash of the id.  Executors turn the sample into feature counts, and the driver
+hash of the id.  Executors turn the sample into feature counts, and one task
 trains on these.  Since the output layer is linear, scoring needs one number
 per feature and class: the model that reaches the executors is one table of
 ``BUCKETS`` floats.
@@ -99,6 +99,17 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All counted rows to one row: the trained weights and bias."""
+    found = []
+    for b in batches:
+        for doc, label, f, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3), strict=True):
+            found.append((doc, label, np.frombuffer(f.as_py(), np.int32), np.frombuffer(c.as_py(), np.float32)))
+    found.sort(key=lambda r: r[:2])
+    model = train([(f, c, y) for _, y, f, c in found])
+    yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.bias])], names=["weights", "bias"])
+
+
 class Model:
     """One weight a feature and a bias: the log-odds of class 1 are the weights' average plus the bias."""
 
@@ -147,16 +158,17 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = 8, rate:
     return Model(weights.astype(np.float32), float(bias[1] - bias[0]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "quality", max_rows: int = 4000, held_out: int = 5) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "quality", max_rows: int = 3000, held_out: int = 5) -> Model:
     """Learn from rows whose crc32(id as text) mod ``held_out`` is not 0, at most ``max_rows`` of them by a hash of the id."""
     base = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
     usable = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label")).filter("id is not null and label in (0, 1)").filter(F.crc32(F.col("id").cast("string")) % held_out != 0)
     chosen = usable.groupBy("id").agg(F.min("label").alias("label")).orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(max_rows)
     # The sample is bounded by max_rows, so it can be broadcast.
     sample = base.join(F.broadcast(chosen), "id").select(F.xxhash64(F.col("id").cast("string"), F.coalesce("text", F.lit(""))).alias("doc"), "label", "text")
-    rows = sample.mapInArrow(_counted, "doc long, label int, features binary, counts binary").toLocalIterator()
-    found = sorted(((r[0], r[1], np.frombuffer(bytes(r[2]), np.int32), np.frombuffer(bytes(r[3]), np.float32)) for r in rows), key=lambda r: r[:2])
-    return train([(f, c, y) for _, y, f, c in found])
+    # One task trains on the bounded sample; the driver gets the finished table of weights.
+    counted = sample.mapInArrow(_counted, "doc long, label int, features binary, counts binary").repartition(1)
+    done = counted.mapInArrow(_trained, "weights binary, bias double").first()
+    return Model(np.frombuffer(bytes(done[0]), np.float32), done[1]) if done else train([])
 
 
 def _scores(model):
