@@ -50,10 +50,10 @@ def gc_percent(seq: str | Column) -> Column:
 
 def internal_stops(seq: str | Column, frame: int = 0) -> Column:
     """Stop codons in a frame, the last complete codon not counted."""
-    s = F.upper(_col(seq))
-    codons = F.floor((F.length(s) - frame) / 3).cast("int")
-    starts = positions(F.lit(1 + frame), codons * 3 - 3 + frame, 3)
-    return F.size(F.filter(starts, lambda i: F.substr(s, i, F.lit(3)).isin(*STOPS)))
+    # Codons come from one scan: a substring by position would walk the text from its start each time.
+    codons = F.regexp_extract_all(F.substr(F.upper(_col(seq)), F.lit(frame + 1)), F.lit("(?s).{3}"), F.lit(0))
+    inner = F.slice(codons, F.lit(1), F.greatest(F.size(codons) - 1, F.lit(0)))
+    return F.size(F.filter(inner, lambda c: c.isin(*STOPS)))
 
 
 def six_frame_stops(seq: str | Column) -> Column:
@@ -75,7 +75,8 @@ def coding_view(seq: str | Column, label: str | Column) -> Column:
 def kmers(seq: str | Column, k: int) -> Column:
     """Distinct k-mers; none for a shorter sequence."""
     s = _col(seq)
-    return F.array_distinct(F.transform(positions(F.lit(1), F.length(s) - k + 1), lambda i: F.substr(s, i, F.lit(k))))
+    shifted = [F.regexp_extract_all(F.substr(s, F.lit(i + 1)), F.lit(f"(?s).{{{k}}}"), F.lit(0)) for i in range(k)]
+    return F.array_distinct(F.flatten(F.array(*shifted)))
 
 
 def interior_runs(seq: str | Column, symbol: str = "N", least: int = 1) -> Column:

@@ -15,8 +15,9 @@ from strandloom.operators.ranking import spread_positions
 def robust(df: DataFrame, by: list[str], value: str) -> DataFrame:
     """n, median, MAD and quartiles per key: the median joins back once for the deviations."""
     centre = df.groupBy(*by).agg(F.median(value).alias("median"), F.percentile(value, F.lit(0.25)).alias("q1"), F.percentile(value, F.lit(0.75)).alias("q3"), F.count(value).alias("n"))
-    mad = df.join(centre.select(*by, "median"), by).groupBy(*by).agg(F.median(F.abs(F.col(value) - F.col("median"))).alias("mad"))
-    return centre.join(mad, by).withColumn("iqr", F.col("q3") - F.col("q1"))
+    near = centre.select(*by, "median")
+    mad = (df.join(near, by) if by else df.crossJoin(F.broadcast(near))).groupBy(*by).agg(F.median(F.abs(F.col(value) - F.col("median"))).alias("mad"))
+    return (centre.join(mad, by) if by else centre.crossJoin(mad)).withColumn("iqr", F.col("q3") - F.col("q1"))
 
 
 def profile(df: DataFrame, by: list[str], length: str) -> DataFrame:
