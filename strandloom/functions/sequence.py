@@ -51,7 +51,7 @@ def gc_percent(seq: str | Column) -> Column:
 def internal_stops(seq: str | Column, frame: int = 0) -> Column:
     """Stop codons in a frame, the last complete codon not counted."""
     # Codons come from one scan: a substring by position would walk the text from its start each time.
-    codons = F.regexp_extract_all(F.substr(F.upper(_col(seq)), F.lit(frame + 1)), F.lit("(?s).{3}"), F.lit(0))
+    codons = F.regexp_extract_all(F.substr(F.translate(_col(seq), "acgt", "ACGT"), F.lit(frame + 1)), F.lit("(?s).{3}"), F.lit(0))
     inner = F.slice(codons, F.lit(1), F.greatest(F.size(codons) - 1, F.lit(0)))
     return F.size(F.filter(inner, lambda c: c.isin(*STOPS)))
 
