@@ -54,6 +54,18 @@ def dosage(df: DataFrame, by: list[str], start: str, end: str) -> DataFrame:
     return segments(df, by, start, end).groupBy(*by).agg((F.sum(size * F.col("multiplicity")) / F.sum(size)).alias("dosage"), F.max("multiplicity").alias("max_multiplicity"), F.sum(size).alias("covered"))
 
 
+def rich_windows(df: DataFrame, by: list[str], start: str, end: str, width: int, least: int = 2) -> DataFrame:
+    """Per window of fixed width: covered positions, those with multiplicity of at least ``least``, and their share.
+
+    Segments are cut at window bounds, so no position is listed.
+    """
+    tile = F.explode(F.sequence(F.floor(F.col("start") / width), F.floor(F.col("end") / width)))
+    cut = segments(df, by, start, end).withColumn("tile", tile)
+    size = F.least(F.col("end"), (F.col("tile") + 1) * width - 1) - F.greatest(F.col("start"), F.col("tile") * width) + 1
+    out = cut.groupBy(*by, "tile").agg(F.sum(size).alias("covered"), F.sum(F.when(F.col("multiplicity") >= least, size).otherwise(0)).alias("rich"))
+    return out.withColumn("share", F.col("rich") / F.col("covered"))
+
+
 def range_join(points: DataFrame, spans: DataFrame, by: list[str], at: str, start: str, end: str, width: int, how: str = "inner") -> DataFrame:
     """Points with the spans that hold them; ``how`` may be inner, left_semi or left_anti.  ``spans`` repeat per bin of ``width``."""
     left = points.withColumn("__bin", F.floor(F.col(at) / width))

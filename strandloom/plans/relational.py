@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from strandloom.functions import sequence as S
 from strandloom.functions.statistics import fisher_exact
-from strandloom.operators import decisions, intervals, ranking, stats
+from strandloom.operators import decisions, evaluation, intervals, ranking, simulate, stats
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -280,3 +280,170 @@ def greedy_suppression(spark: SparkSession, d: str) -> DataFrame:
 def bootstrap_interval(spark: SparkSession, d: str) -> DataFrame:
     e = _t(spark, d, "events").groupBy(F.floor(F.col("user_id") / 50).alias("g")).agg(F.sort_array(F.collect_list(F.when(F.col("event_type") == "click", F.struct("event_id", "value")))).alias("a"), F.sort_array(F.collect_list(F.when(F.col("event_type") != "click", F.struct("event_id", "value")))).alias("b"))
     return stats.bootstrap_ratio(e.select("g", F.col("a.value").alias("locus"), F.col("b.value").alias("backbone")), ["g"], "locus", "backbone", resamples=100, block=50)
+
+
+def _labelled(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "documents").select("doc_id", "source", "lang", "n_chars").join(_t(spark, d, "labels"), "doc_id", "left")
+
+
+@_query(
+    """WITH j AS (SELECT d.source, l.quality = 1 AS t, d.n_chars > 500 AS a, CASE WHEN d.lang <> 'xx' THEN d.n_chars BETWEEN 200 AND 20000 END AS b FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+    e AS (SELECT source, t, 'long' AS rule, a AS c FROM j UNION ALL SELECT source, t, 'moderate', b FROM j),
+    n AS (SELECT source, rule, count(*) FILTER (t AND c) AS true_positive, count(*) FILTER (NOT t AND c) AS false_positive, count(*) FILTER (t AND NOT c) AS false_negative, count(*) FILTER (NOT t AND NOT c) AS true_negative,
+    count(*) FILTER (t IS NOT NULL AND c IS NULL) AS undecided, count(*) FILTER (t IS NULL) AS unknown FROM e GROUP BY 1, 2)
+    SELECT *, CASE WHEN true_positive + false_positive > 0 THEN true_positive / (true_positive + false_positive) END AS precision, CASE WHEN true_positive + false_negative > 0 THEN true_positive / (true_positive + false_negative) END AS recall FROM n"""
+)
+def confusion_cells(spark: SparkSession, d: str) -> DataFrame:
+    """Two length rules against the quality label per source; rows without a label are unknown."""
+    n = F.col("n_chars")
+    return evaluation.confusion(_labelled(spark, d), ["source"], F.col("quality") == 1, {"long": n > 500, "moderate": F.when(F.col("lang") != "xx", n.between(200, 20_000))})
+
+
+@_query(
+    """WITH s AS (SELECT unnest(list_filter([CASE WHEN true THEN 'all' END, CASE WHEN l.toxic = 0 THEN 'clean' END, CASE WHEN l.quality = 1 THEN 'good' END], lambda x: x IS NOT NULL)) AS unit_set, d.n_chars FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
+    SELECT unit_set, count(*) AS units, CAST(sum(n_chars) AS BIGINT) AS chars FROM s GROUP BY 1"""
+)
+def overlapping_sets(spark: SparkSession, d: str) -> DataFrame:
+    sets = evaluation.with_sets(_labelled(spark, d), {"all": F.lit(True), "clean": F.col("toxic") == 0, "good": F.col("quality") == 1})
+    return sets.groupBy("unit_set").agg(F.count(F.lit(1)).alias("units"), F.sum("n_chars").alias("chars"))
+
+
+@_query(
+    """SELECT l_returnflag, CASE WHEN l_quantity < 10 THEN 'below 10' WHEN l_quantity < 30 THEN '10 to 29' ELSE '30 or more' END AS bin, count(*) AS units, count(DISTINCT l_suppkey) AS clusters, median(l_discount - 0.05) AS median_error, median(abs(l_discount - 0.05)) AS median_absolute_error, max(abs(l_discount - 0.05)) AS largest_absolute_error
+    FROM lineitem GROUP BY 1, 2"""
+)
+def error_by_factor(spark: SparkSession, d: str) -> DataFrame:
+    li = _t(spark, d, "lineitem").select("l_returnflag", "l_quantity", "l_suppkey", (F.col("l_discount") - 0.05).alias("error"))
+    return evaluation.error_bins(li, ["l_returnflag"], "l_quantity", [(0, 10, "below 10"), (10, 30, "10 to 29"), (30, 1e9, "30 or more")], "error", "l_suppkey")
+
+
+@_query("SELECT o_orderpriority, string_agg(s || '=' || n, '; ' ORDER BY s) AS histogram FROM (SELECT o_orderpriority, coalesce(o_orderstatus, 'none') AS s, count(*) AS n FROM orders GROUP BY 1, 2) GROUP BY 1")
+def status_histogram(spark: SparkSession, d: str) -> DataFrame:
+    return evaluation.histogram_text(_t(spark, d, "orders").select("o_orderpriority", "o_orderstatus"), ["o_orderpriority"], "o_orderstatus")
+
+
+@_query("SELECT event_type, printf('%.3f (%.3f-%.3f)', median(value), min(value), max(value)) AS value_range FROM events GROUP BY 1")
+def range_text(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "events").groupBy("event_type").agg(evaluation.median_range("value").alias("value_range"))
+
+
+@_query(
+    """WITH c AS (SELECT l_returnflag, l_quantity, bool_and(l_extendedprice > 20000) AS every, bool_or(l_extendedprice > 20000) AS anyone FROM lineitem GROUP BY 1, 2), b AS (SELECT l_returnflag, max(l_quantity) FILTER (NOT every) AS broken FROM c GROUP BY 1)
+    SELECT l_returnflag, min(l_quantity) FILTER (anyone) AS lowest_any, min(l_quantity) FILTER (broken IS NULL OR l_quantity > broken) AS lowest_all FROM c JOIN b USING (l_returnflag) GROUP BY 1"""
+)
+def detection_limit(spark: SparkSession, d: str) -> DataFrame:
+    """Smallest quantity with any line over a price, and from which on all are."""
+    return evaluation.detection_limit(_t(spark, d, "lineitem").select("l_returnflag", "l_quantity", "l_extendedprice"), ["l_returnflag"], "l_quantity", F.col("l_extendedprice") > 20_000)
+
+
+@_query("SELECT l_returnflag AS before, l_linestatus AS after, count(*) AS rows FROM lineitem GROUP BY 1, 2")
+def label_transitions(spark: SparkSession, d: str) -> DataFrame:
+    return evaluation.transitions(_t(spark, d, "lineitem").select("l_returnflag", "l_linestatus"), [], "l_returnflag", "l_linestatus")
+
+
+@_query(
+    """WITH f AS (SELECT l_returnflag, regr_count(l_extendedprice, l_quantity) AS n, regr_slope(l_extendedprice, l_quantity) AS slope, regr_intercept(l_extendedprice, l_quantity) AS intercept, regr_sxx(l_extendedprice, l_quantity) AS sxx, regr_syy(l_extendedprice, l_quantity) AS syy, regr_avgx(l_extendedprice, l_quantity) AS mx FROM lineitem GROUP BY 1),
+    p AS (SELECT *, intercept + slope * 60 AS prediction, sqrt((syy - slope * slope * sxx) / (n - 2)) AS sd FROM f)
+    SELECT l_returnflag, n, round(slope, 4) AS slope, round(prediction, 3) AS prediction, round((99000 - prediction) / (sd * sqrt(1 + 1 / n + (60 - mx) * (60 - mx) / sxx)), 5) AS z FROM p"""
+)
+def null_fit(spark: SparkSession, d: str) -> DataFrame:
+    """How far a new point lies from the line of each flag's rows."""
+    fit = evaluation.fit_null(_t(spark, d, "lineitem").select("l_returnflag", "l_quantity", "l_extendedprice"), ["l_returnflag"], "l_quantity", "l_extendedprice", 60.0, 99_000.0)
+    return fit.select("l_returnflag", "n", F.round("slope", 4).alias("slope"), F.round("prediction", 3).alias("prediction"), F.round("z", 5).alias("z"))
+
+
+@_query(
+    """SELECT event_type, count(value) AS n, median(value) AS median, quantile_cont(value, 0.025) AS p2_5, quantile_cont(value, 0.25) AS p25, quantile_cont(value, 0.75) AS p75, quantile_cont(value, 0.975) AS p97_5, min(value) AS least, max(value) AS most,
+    least(1.0, 2.0 * least(count(*) FILTER (value <= 10), count(*) FILTER (value >= 10)) / count(value)) AS p_value FROM events GROUP BY 1"""
+)
+def estimate_spread(spark: SparkSession, d: str) -> DataFrame:
+    return evaluation.spread(_t(spark, d, "events").select("event_type", "value"), ["event_type"], "value", 10.0)
+
+
+@_query(
+    """WITH c AS (SELECT l_partkey, CAST(floor(l_quantity / 26) AS BIGINT) AS half, count(*) AS n, max(l_extendedprice) AS i FROM lineitem GROUP BY 1, 2), g AS (SELECT count(DISTINCT CAST(floor(l_quantity / 26) AS BIGINT)) AS g FROM lineitem)
+    SELECT l_partkey, count(*) AS genomes, avg(i) AS mean_identity, min(i) AS min_identity, max(i) AS max_identity FROM c GROUP BY 1 HAVING bool_and(n = 1) AND count(*) = (SELECT g FROM g)"""
+)
+def single_copy_units(spark: SparkSession, d: str) -> DataFrame:
+    """Parts with exactly one line in each of the halves of the quantities."""
+    li = _t(spark, d, "lineitem").select("l_partkey", F.floor(F.col("l_quantity") / 26).alias("half"), "l_extendedprice")
+    return evaluation.single_copy(li, "l_partkey", "half", "l_extendedprice")
+
+
+@_query(
+    """WITH s AS (SELECT o_orderstatus, count(*) AS orders, sum(CASE WHEN o_totalprice > 100000 THEN 1 ELSE 0 END) AS large, sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS urgent FROM orders GROUP BY 1)
+    SELECT o_orderstatus, metric, CAST(numerator AS DOUBLE) AS numerator, CAST(orders AS DOUBLE) AS denominator, round(numerator / orders, 4) AS value FROM (SELECT o_orderstatus, orders, 'large' AS metric, large AS numerator FROM s UNION ALL SELECT o_orderstatus, orders, 'urgent', urgent FROM s)"""
+)
+def long_summary(spark: SparkSession, d: str) -> DataFrame:
+    s = _t(spark, d, "orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"), F.count_if(F.col("o_totalprice") > 100_000).alias("large"), F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("urgent"))
+    return evaluation.long_summary(s, ["o_orderstatus"], ["large", "urgent"], "orders")
+
+
+@_query("SELECT n_nationkey, '| ' || n_nationkey || ' | ' || replace(n_name, '|', '\\|') || ' | ' || n_regionkey || ' |' AS line FROM nation")
+def markdown_table(spark: SparkSession, d: str) -> DataFrame:
+    return evaluation.markdown_rows(_t(spark, d, "nation"), ["n_nationkey", "n_name", "n_regionkey"]).select("n_nationkey", "line")
+
+
+@_query(
+    """WITH o AS (SELECT sha256(least(text, reverse(translate(text, 'ACGTRYMKBDHVNacgtrymkbdhvn', 'TGCAYRKMVHDBNtgcayrkmvhdbn')))) AS signature, count(*) AS n FROM documents WHERE text IS NOT NULL GROUP BY 1),
+    w AS (SELECT sha256(least(text, reverse(translate(text, 'ACGTRYMKBDHVNacgtrymkbdhvn', 'TGCAYRKMVHDBNtgcayrkmvhdbn')))) AS signature, count(*) AS n FROM benchmark WHERE text IS NOT NULL GROUP BY 1)
+    SELECT coalesce(o.signature, w.signature) AS signature, coalesce(o.n, 0) AS old, coalesce(w.n, 0) AS new FROM o FULL JOIN w ON o.signature = w.signature WHERE coalesce(o.n, 0) <> coalesce(w.n, 0)"""
+)
+def canonical_difference(spark: SparkSession, d: str) -> DataFrame:
+    """Texts by their canonical strand, as often as each table has them."""
+    return evaluation.canonical_difference(_t(spark, d, "documents").select("text"), _t(spark, d, "benchmark").select("text"), "text")
+
+
+@_query("SELECT l_orderkey, l_linenumber, n FROM (SELECT l_orderkey, l_linenumber, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem) WHERE least(l_linenumber - 1, n - l_linenumber) > 1")
+def interior_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Lines more than one place from both ends of their order."""
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
+    counts = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    return evaluation.interior(li.join(counts, "l_orderkey"), "l_linenumber", "n", 1)
+
+
+@_query(
+    f"""WITH {_SPANS}, ev AS (SELECT k, s AS p, 1 AS x FROM spans UNION ALL SELECT k, e + 1, -1 FROM spans), st AS (SELECT k, p, sum(x) AS x FROM ev GROUP BY 1, 2),
+    seg AS (SELECT k, p, lead(p) OVER (PARTITION BY k ORDER BY p) AS nx, sum(x) OVER (PARTITION BY k ORDER BY p ROWS UNBOUNDED PRECEDING) AS m FROM st), days AS (SELECT k, m, unnest(range(CAST(p AS BIGINT), CAST(nx AS BIGINT))) AS day FROM seg WHERE nx IS NOT NULL AND m > 0)
+    SELECT k, CAST(floor(day / 365) AS BIGINT) AS tile, count(*) AS covered, count(*) FILTER (m >= 2) AS rich, count(*) FILTER (m >= 2) / count(*) AS share FROM days GROUP BY 1, 2"""
+)
+def repeat_rich_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Per window of 365 days: covered days and those covered more than once."""
+    return intervals.rich_windows(spans(spark, d), ["k"], "s", "e", 365)
+
+
+@_query("SELECT o_orderkey FROM orders WHERE CAST('0x' || substring(md5('17:' || o_orderkey), 1, 8) AS BIGINT) / 4294967296 < 0.25")
+def paired_subsample(spark: SparkSession, d: str) -> DataFrame:
+    """A quarter of the orders by the hash of their key, as mates are sampled by their name."""
+    return simulate.subsample(_t(spark, d, "orders").select("o_orderkey"), "o_orderkey", 0.25, 17)
+
+
+@_query("SELECT depth, gc, replicate, depth || '_' || gc || '_' || replicate AS run_id FROM (SELECT unnest([5, 20, 60]) AS depth) CROSS JOIN (SELECT unnest(['low', 'high']) AS gc) CROSS JOIN (SELECT CAST(unnest(range(1, 4)) AS INTEGER) AS replicate)")
+def run_manifest(spark: SparkSession, d: str) -> DataFrame:
+    return simulate.manifest(spark, {"depth": [5, 20, 60], "gc": ["low", "high"]}, 3).drop("seed")
+
+
+@_query(
+    """WITH b AS (SELECT item_id, unnest(list_transform(range(1, greatest(length(text) - 24, 0) + 1), lambda i: substring(text, i, 25))) AS g FROM benchmark),
+    q AS (SELECT DISTINCT unnest(list_transform(range(1, greatest(length(text) - 24, 0) + 1), lambda i: substring(text, i, 25))) AS g FROM documents)
+    SELECT item_id FROM benchmark WHERE item_id NOT IN (SELECT item_id FROM b SEMI JOIN q USING (g))"""
+)
+def unrelated_records(spark: SparkSession, d: str) -> DataFrame:
+    """Benchmark items that share no 25-mer with any document."""
+    b, q = _t(spark, d, "benchmark"), _t(spark, d, "documents")
+    wanted = b.select("item_id", F.explode(S.kmers("text", 25)).alias("g"))
+    related = wanted.join(q.select(F.explode(S.kmers("text", 25)).alias("g")), "g", "left_semi").select("item_id").distinct()
+    return b.select("item_id").join(related, "item_id", "left_anti")
+
+
+@_query()
+def cluster_bootstrap(spark: SparkSession, d: str) -> DataFrame:
+    """Share of good documents per source with an interval over languages."""
+    labelled = _labelled(spark, d).filter("quality is not null").select("source", "lang", (F.col("quality") == 1).cast("int").alias("good"), F.lit(1).alias("one"))
+    return evaluation.cluster_interval(labelled, ["source"], "lang", "good", "one", resamples=1000)
+
+
+@_query()
+def simulated_reads(spark: SparkSession, d: str) -> DataFrame:
+    """Read pairs with errors from every document of 300 characters or more."""
+    return simulate.read_pairs(_t(spark, d, "documents").select(F.col("doc_id").cast("string").alias("id"), "text"), "id", "text", F.lit(1.0), 7, error=0.002)
