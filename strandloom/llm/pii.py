@@ -70,28 +70,31 @@ def mod97(iban: Column) -> Column:
     return rest == 1
 
 
-def _valid(kind: str, text: Column, m: Column, start: Column) -> Column:
+def _confirmed(kind: str, m: Column) -> Column:
+    """Whether a match passes what can be told from itself alone."""
     digits = F.regexp_replace(m, "[^0-9]", "")
-    before = F.when(start > 0, F.substr(text, start, F.lit(1))).otherwise("")
-    after = F.substr(text, start + F.length(m) + 1, F.lit(1))
-    alone = ~before.rlike("[A-Za-z0-9]") & ~after.rlike("[A-Za-z0-9]")
     if kind == "ip":
         return m.rlike(r"^0*(25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])(\.0*(25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])){3}$")
     if kind == "card":
-        return F.when(F.length(digits).between(14, 19), luhn(digits)).otherwise(False)
+        return F.when(F.length(m) < 14, False).otherwise(F.when(F.length(digits).between(14, 19), luhn(digits)).otherwise(False))
     if kind == "phone":
         return F.length(digits).between(10, 15)
     if kind == "iban":
-        return F.when(alone & F.length(F.replace(m, F.lit(" "))).between(15, 34), mod97(F.replace(m, F.lit(" ")))).otherwise(False)
+        return F.when(F.length(F.replace(m, F.lit(" "))).between(15, 34), mod97(F.replace(m, F.lit(" ")))).otherwise(False)
     if kind == "pan":
         return F.when(F.length(m).between(13, 19), luhn(m)).otherwise(False)
     if kind == "ssn":
         return m.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$")
-    if kind == "secret":
-        return alone
     return F.lit(True)
 
 
+def _alone(text: Column, m: Column, start: Column) -> Column:
+    """Whether no letter or digit touches a match."""
+    before = F.when(start > 0, F.substr(text, start, F.lit(1))).otherwise("")
+    after = F.substr(text, start + F.length(m) + 1, F.lit(1))
+    return ~before.rlike("[A-Za-z0-9]") & ~after.rlike("[A-Za-z0-9]")
+
+
 def find(docs: DataFrame, text: str = "text", into: str = "spans") -> DataFrame:
     """Add the confirmed spans of every kind to the rows: an array of (start, rank, kind, end, score), sorted.
 
@@ -127,15 +130,18 @@ def find(docs: DataFrame, text: str = "text", into: str = "spans") -> DataFrame:
     def spans(rank: int, k: Kind) -> Column:
         m, p, lengths, chunks = (F.col(f"__pii_{x}_{k.name}") for x in "mplc")
         add = lambda s, x: s + x
-
-        def placed(match: Column, i: Column) -> Column:
-            c = F.floor(i / _CHUNK).cast("int")
-            ahead = F.aggregate(F.slice(chunks, F.lit(1), c), F.lit(0), add) + F.aggregate(F.slice(lengths, c * _CHUNK + 1, i - c * _CHUNK), F.lit(0), add)
-            start = ahead + F.length(F.element_at(p, i + 1))
-            return F.struct(start.alias("start"), match.alias("match"))
-
-        at = F.transform(m, placed)
-        good = F.filter(at, lambda s: _valid(k.name, t, s.match, s.start))
+        numbered = F.transform(m, lambda x, i: F.struct(x.alias("match"), i.alias("i")))
+        kept = F.filter(numbered, lambda s: _confirmed(k.name, s.match))
+
+        def placed(z: Column, s: Column) -> Column:
+            c = F.floor(s.i / _CHUNK).cast("int")
+            ahead = F.aggregate(F.slice(z.chunks, F.lit(1), c), F.lit(0), add) + F.aggregate(F.slice(z.lengths, c * _CHUNK + 1, s.i - c * _CHUNK), F.lit(0), add)
+            return F.struct((ahead + F.length(F.element_at(z.p, s.i + 1))).alias("start"), s.match.alias("match"))
+
+        # The arrays are bound to one variable: a column that a function of elements names may be planned into it and computed for each element.
+        bound = F.array(F.struct(kept.alias("kept"), p.alias("p"), lengths.alias("lengths"), chunks.alias("chunks")))
+        at = F.element_at(F.transform(bound, lambda z: F.transform(z.kept, lambda s: placed(z, s))), 1)
+        good = F.filter(at, lambda s: _alone(t, s.match, s.start)) if k.name in ("iban", "secret") else at
 
         def scored(s: Column) -> Column:
             end = s.start + F.length(s.match)
