@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,21 +35,23 @@ def collapse(df: DataFrame, by: list[str], start: str, end: str, rank: list[str]
 def suppress_overlaps(df: DataFrame, by: list[str], start: str, end: str, order: list[str], share: float = 0.0) -> DataFrame:
     """Keep rows in ``order`` (descending, then by start) that overlap no kept row by more than ``share`` of the shorter.
 
-    The choice depends on what was kept before, so each key is walked in one
-    task; keys must be small, as hits of one sample and contig are.
+    The choice depends on what was kept before, but only among rows that a
+    chain of overlaps connects, so each island of a key is walked in a task of
+    its own and not the whole key.
     """
+    names = df.columns
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        kept: list[tuple[int, int]] = []
-        take = []
-        for i, row in pdf.sort_values([*order, start, end], ascending=[False] * len(order) + [True, True], kind="stable").iterrows():
-            a, b = row[start], row[end]
-            if all(max(0, min(b, d) - max(a, c) + 1) <= share * min(b - a + 1, d - c + 1) for c, d in kept):
-                kept.append((a, b))
+        ranked = pdf.sort_values([*order, start, end], ascending=[False] * len(order) + [True, True], kind="stable")
+        a, b = ranked[start].to_numpy(), ranked[end].to_numpy()
+        take: list[int] = []
+        for i in range(len(ranked)):
+            shared = np.minimum(b[i], b[take]) - np.maximum(a[i], a[take]) + 1
+            if (np.maximum(shared, 0) <= share * np.minimum(b[i] - a[i] + 1, b[take] - a[take] + 1)).all():
                 take.append(i)
-        return pdf.loc[take]
+        return ranked.iloc[take][names]
 
-    return df.groupBy(*by).applyInPandas(walk, df.schema)
+    return with_island(df, by, start, end, 0, "__island").groupBy(*by, "__island").applyInPandas(walk, df.schema)
 
 
 def n50(df: DataFrame, by: list[str], length: str) -> DataFrame:
