@@ -38,11 +38,13 @@ def manifest(spark: SparkSession, factors: Mapping[str, Sequence], replicates: i
 def substitute(seq: str | Column, rate: float, *names: str | Column) -> Column:
     """The sequence with each of A, C, G and T replaced by another base at a rate."""
     s = F.col(seq) if isinstance(seq, str) else seq
+    # A hash that is cheap for each base; ``draw`` is for rows.
+    roll = lambda *parts: F.pmod(F.xxhash64(*names, *parts), F.lit(_WHOLE)) / _WHOLE
 
     def base(c: Column, i: Column) -> Column:
         others = F.replace(F.lit("ACGT"), c, F.lit(""))
-        at = F.floor(draw(*names, i, F.lit("which")) * 3).cast("int") + 1
-        return F.when((draw(*names, i) < rate) & c.isin("A", "C", "G", "T"), F.substring(others, at, F.lit(1))).otherwise(c)
+        at = F.floor(roll(i, F.lit("which")) * 3).cast("int") + 1
+        return F.when((roll(i) < rate) & c.isin("A", "C", "G", "T"), F.substring(others, at, F.lit(1))).otherwise(c)
 
     return F.array_join(F.transform(F.split(s, ""), base), "")
 
