@@ -166,19 +166,23 @@ def _path_slots(path: tuple[str, ...]) -> tuple[int, ...]:
     return tuple(slots)
 
 
+@functools.lru_cache(1)
+def _kinds() -> np.ndarray:
+    """1 for capitals and 2 for digits, by code point."""
+    return np.array([1 if chr(c).isupper() else 2 if chr(c).isdigit() else 0 for c in range(0x110000)], np.uint8)
+
+
 def vectors(page: list[tuple[tuple[str, ...], str, float]]) -> np.ndarray:
-    """One row a block: hashed path, hashed words and figures."""
+    """One row a block: hashed path, all its words hashed, and figures of its whole text."""
     out = np.zeros((len(page), WIDTH), np.float32)
     for i, (path, text, linked) in enumerate(page):
         out[i, list(_path_slots(path))] = 1
-        words = text.split(" ")
-        sample = words if len(words) <= 64 else words[:32] + words[-32:]
-        for w in sample:
-            out[i, PATH_DIM + _hash(w.lower(), WORD_DIM)] += 1 / len(sample)
+        words = text.lower().encode().split(b" ")
         n = len(words)
+        out[i, PATH_DIM : PATH_DIM + WORD_DIM] = np.bincount([zlib.crc32(w) % WORD_DIM for w in words], minlength=WORD_DIM) / n
+        kinds = np.bincount(_kinds()[np.frombuffer(text.encode("utf-32-le"), np.uint32)], minlength=3) / max(len(text), 1)
         out[i, -FIGURES:] = (
-            min(n, 60) / 30, float(n <= 3), linked, sum(text.count(c) for c in ".!?") / max(n, 1), sum(c.isupper() for c in text[:400]) / max(len(text[:400]), 1),
-            sum(c.isdigit() for c in text[:400]) / max(len(text[:400]), 1), i / max(len(page) - 1, 1), float("©" in text or "|" in text),
+            min(n, 60) / 30, float(n <= 3), linked, sum(text.count(c) for c in ".!?") / n, kinds[1], kinds[2], i / max(len(page) - 1, 1), float("©" in text or "|" in text),
         )
     return out
 

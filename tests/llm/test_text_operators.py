@@ -102,6 +102,18 @@ def test_labeller_on_unseen_layouts():
     assert wrong / total < 0.02
 
 
+def test_vectors_read_whole_blocks():
+    words = [f"Word{i}" if i % 3 else f"é{i}É" for i in range(500)]
+    text = " ".join(words)
+    row = html_extract.vectors([(("p",), text, 0.0)])[0]
+    counts = [0] * html_extract.WORD_DIM
+    for w in words:
+        counts[html_extract._hash(w.lower(), html_extract.WORD_DIM)] += 1
+    at = html_extract.PATH_DIM
+    assert np.allclose(row[at : at + html_extract.WORD_DIM], np.array(counts) / len(words))
+    assert np.allclose(row[-4:-2], [sum(c.isupper() for c in text) / len(text), sum(c.isdigit() for c in text) / len(text)])
+
+
 def test_table_pages_match_their_articles(spark, sf_dir):
     import html
 
