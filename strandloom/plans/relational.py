@@ -279,7 +279,7 @@ def greedy_suppression(spark: SparkSession, d: str) -> DataFrame:
 @_query()
 def bootstrap_interval(spark: SparkSession, d: str) -> DataFrame:
     e = _t(spark, d, "events").groupBy(F.floor(F.col("user_id") / 50).alias("g")).agg(F.sort_array(F.collect_list(F.when(F.col("event_type") == "click", F.struct("event_id", "value")))).alias("a"), F.sort_array(F.collect_list(F.when(F.col("event_type") != "click", F.struct("event_id", "value")))).alias("b"))
-    return stats.bootstrap_ratio(e.select("g", F.col("a.value").alias("locus"), F.col("b.value").alias("backbone")), ["g"], "locus", "backbone", resamples=100, block=50)
+    return stats.bootstrap_ratio(e.select("g", F.col("a.value").alias("locus"), F.col("b.value").alias("backbone")), ["g"], "locus", "backbone")
 
 
 def _labelled(spark: SparkSession, d: str) -> DataFrame:
@@ -440,7 +440,7 @@ def unrelated_records(spark: SparkSession, d: str) -> DataFrame:
 def cluster_bootstrap(spark: SparkSession, d: str) -> DataFrame:
     """Share of good documents per source with an interval over languages."""
     labelled = _labelled(spark, d).filter("quality is not null").select("source", "lang", (F.col("quality") == 1).cast("int").alias("good"), F.lit(1).alias("one"))
-    return evaluation.cluster_interval(labelled, ["source"], "lang", "good", "one", resamples=1000)
+    return evaluation.cluster_interval(labelled, ["source"], "lang", "good", "one")
 
 
 @_query()

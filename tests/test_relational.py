@@ -1,11 +1,13 @@
 """Relational queries against the SQL that is given for them."""
 
+import inspect
 import os
 from decimal import Decimal
 
 import duckdb
 import pytest
 
+from strandloom.operators import evaluation, stats
 from strandloom.plans import relational
 
 TABLES = "region nation customer supplier part orders lineitem events documents benchmark labels".split()
@@ -37,3 +39,17 @@ def test_query(spark, con, sf_dir, name):
     assert sorted(names) == columns
     at = [names.index(c) for c in columns]
     assert got == sorted((tuple(plain(r[i]) for i in at) for r in result.fetchall()), key=str)
+
+
+@pytest.mark.parametrize(("name", "module", "operator", "full"), [("bootstrap_interval", stats, "bootstrap_ratio", {"resamples": 1000, "block": 500, "cap": 512}), ("cluster_bootstrap", evaluation, "cluster_interval", {"resamples": 10_000})])
+def test_bootstraps_draw_as_often_as_the_reference(spark, sf_dir, monkeypatch, name, module, operator, full):
+    inner, calls = getattr(module, operator), []
+
+    def spy(*given, **named):
+        calls.append(inspect.signature(inner).bind(*given, **named))
+        calls[-1].apply_defaults()
+        return inner(*given, **named)
+
+    monkeypatch.setattr(module, operator, spy)
+    assert relational.QUERIES[name](spark, sf_dir).count()
+    assert [{k: c.arguments[k] for k in full} for c in calls] == [full]
