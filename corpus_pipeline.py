@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandloom.llm import decontam, jaccard, mixing, pii, quality
-from strandloom.llm.common import Scratch, key
+from strandloom.llm.common import Scratch
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -22,23 +22,34 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class of near duplicates; of rows that repeat an id, one; rows without an id stay."""
-    classes = jaccard.jaccard_components(docs, size=5, percent=80)
-    gone = classes.filter("doc_id is not null and component_id is not null and doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    left = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
-    several = left.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__k")).filter("__k > 1").select(F.col("doc_id").alias("__gone"))
-    if several.isEmpty():
-        return left.select(*COLUMNS)
-    alone = left.join(several, F.col("doc_id") == F.col("__gone"), "left_anti").select(*COLUMNS)
-    shared = left.join(several, F.col("doc_id") == F.col("__gone"), "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("r")).select("doc_id", "r.*").select(*COLUMNS)
-    return alone.unionByName(shared)
+    """One row of each class of near duplicates: that with the smallest id, a missing id being the greatest.
+
+    Every row is judged by its own text, whether or not others share its id;
+    of rows of a class that share the smallest id, that with the smallest hash
+    stays.  Texts without words are in no class, so their rows stay.
+    """
+    unique = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__k")).filter("doc_id is null or __k > 1").isEmpty()
+    rows = docs.select(*COLUMNS, F.col("doc_id").alias("__row"))
+    if not unique:
+        # Ids do not tell rows apart: a row key is written with the rows, so that every reading sees the same.
+        rows = Scratch(spark).keep("rows", docs.select(*COLUMNS, F.monotonically_increasing_id().alias("__row")))
+    classes = jaccard.jaccard_components(rows, doc_id="__row", size=5, percent=80)
+    if unique:
+        gone = classes.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone"))
+    else:
+        order = rows.select("__row", F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.xxhash64("text", "lang", "source", "n_chars").alias("c"), F.col("__row").alias("d")).alias("__order"))
+        of = classes.filter("n_shingles > 0").select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__class"))
+        first = of.join(order, "__row").groupBy("__class").agg(F.min("__order")["d"].alias("__first"))
+        gone = of.join(first, F.col("__row") == F.col("__first"), "left_anti").select(F.col("__row").alias("__gone"))
+    return rows.join(gone, F.col("__row") == F.col("__gone"), "left_anti").select(*COLUMNS)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows of which less than a twentieth of the words lies in benchmark windows."""
-    found = decontam.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), size=13, percent=5)
-    gone = found.filter("contaminated").select(key("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, key("doc_id") == F.col("__gone"), "left_anti").select(*COLUMNS)
+    """Rows of which less than a twentieth of the words lies in benchmark windows, each judged by its own text."""
+    digest = F.sha2("text", 256)
+    found = decontam.contamination(docs.select(digest.alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), size=13, percent=5)
+    gone = found.filter("contaminated").select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, digest == F.col("__gone"), "left_anti").select(*COLUMNS)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
