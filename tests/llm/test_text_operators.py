@@ -3,6 +3,8 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 
 from strandloom.llm import decontam, html_extract, quality, token_counts
 
@@ -77,6 +79,13 @@ def test_quality_on_held_out_rows(spark, sf_dir):
     assert quality.score(odd.limit(0), model).collect() == []
 
 
+def test_quality_learns_from_4000_rows(spark, monkeypatch):
+    monkeypatch.setattr(quality, "_trained", lambda batches: iter([pa.RecordBatch.from_arrays([pa.array([np.zeros(quality.BUCKETS, np.float32).tobytes()], pa.binary()), pa.array([float(sum(b.num_rows for b in batches))])], names=["weights", "bias"])]))
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.concat(F.lit("word "), "id").alias("text"))
+    labels = docs.select("doc_id", F.pmod("doc_id", F.lit(2)).cast("int").alias("quality"))
+    assert quality.fit(docs, labels).bias == 4000
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><header class="site-header"><a href="/">Home</a></header>
 <nav><ul><li><a href=/a>One</a><li><a href=/b>Two</a></ul></nav><div id="cookie-notice">We use cookies.</div>
 <article><h1>A  title &amp; more</h1><p>First   para<br>line two.<p>Second <b>bold</b> para &lt;ok&gt; with a number of further words.</p>
