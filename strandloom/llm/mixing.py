@@ -29,6 +29,10 @@ from strandloom.llm.common import Scratch, parallelism
 WEIGHTS, SHARE, PASSES = (5.0, 2.0, 1.0), 1.5, 2.0
 
 
+#: Hash buckets that order a source's documents: a fixed number, so that the mix is the same on any cluster.
+BUCKETS = 4096
+
+
 def word_count(text: Column) -> Column:
     """Runs without ASCII white space; a null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
@@ -94,7 +98,7 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    rows = scratch.keep("rows", stream(docs, text, doc_id, source, max(parallelism(spark), 16)))
+    rows = scratch.keep("rows", stream(docs, text, doc_id, source, BUCKETS))
     bucket = scratch.keep("buckets", rows.groupBy("source", "bucket").agg(F.sum("size").alias("n")))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = bucket.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")

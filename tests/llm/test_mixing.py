@@ -64,5 +64,17 @@ def test_pieces_meet_blocks(spark):
     assert max(per_slot.values()) <= 16 and {r.shard for r in rows} <= set(range(4)) and documents.count() == 104
 
 
+def test_same_mix_under_any_partition_setting(spark):
+    df, mixes = docs(spark), []
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("3", "37"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            mixes.append(sorted(map(str, mixing.taken(df, block=8, shards=4).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert mixes[0] == mixes[1]
+
+
 def test_empty_table(spark):
     assert mixing.taken(spark.createDataFrame([], "doc_id long, text string, source string")).collect() == []
