@@ -155,5 +155,10 @@ def list_array(values: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.view(np.int64) if values.dtype == U else values.astype(np.int64)))
 
 
+def binary_array(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """An Arrow binary column from flat bytes and bounds."""
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32).tobytes()), pa.py_buffer(values.tobytes())])
+
+
 def batch(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns.values()], names=list(columns))

@@ -3,22 +3,26 @@
 Every string of ``length`` bytes that also starts in a document with a smaller
 id is found, and the bytes that such strings cover are removed.
 
-Method.  The suffixes that matter start at *anchors*: in every window of
-``length`` bytes the ``lead``-byte gram with the least hash.  A maximal run of
-consecutive windows with one least gram is a *run*; equal windows always have
-equal grams, so only runs of one gram can share windows.
-
-1. Runs are combined per task: of equal runs, only the smallest document's can
-   still be undecided, so that only one of them leaves the task.  What is left
-   is dealt by gram and sorted within each bucket; a stream over the sorted
-   rows decides equal runs and finds runs whose gram has other contexts.
-2. Only these are refined.  Their suffixes are range-partitioned by leading
-   bytes with sampled splitters, sorted locally by multikey quicksort (eight
-   bytes a digit, ties only), and equal neighbours compared.  Grams with very
-   many contexts are expanded to single windows before they are dealt, after a
-   map-side combine, so that a hot gram meets in no single task; a group of
-   equal rows is streamed with its first row carried over batch boundaries.
-3. The removed windows are joined to the texts once.
+Method.  Suffixes are taken at *anchors*: in every window of ``length`` bytes
+the ``lead``-byte gram with the least hash.  A maximal range of consecutive
+windows with one least gram is a *run*; equal windows have equal grams, so only
+runs of one gram can share windows, and a suffix that starts at the anchor of a
+run stands for all its windows.
+
+1. A hash of the gram discards what cannot repeat: runs whose gram occurs in
+   one document only.  Nothing is removed on the word of a hash.  Runs whose
+   gram several documents of one task hold pass at once and leave one mark for
+   the other tasks, so that a gram of very many documents meets in no task.
+2. The other suffixes are dealt to buckets by sampled splitters of (leading
+   bytes, document), so equal suffixes of very many documents span buckets.  A
+   bucket, of bounded size, is sorted by multikey quicksort (eight bytes a
+   digit, ties only).  Equal neighbours are settled by their least document;
+   where a gram has several suffixes, one of each is expanded to its windows,
+   which are sorted and compared alike.
+3. Only the first and the last gram of a bucket can go on in another one.
+   Their least suffixes are expanded to windows, which meet across the
+   boundaries by their bytes.
+4. The removed windows are joined to the texts once.
 
 Compared strings are always of the input, never of what is left.
 """
@@ -34,12 +38,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.llm import kernels as K
-from strandloom.llm.common import Scratch, key, parallelism, release
+from strandloom.llm.common import Scratch, ids_are_unique, key, parallelism
 
-#: Rows of one gram from which it is expanded to windows; rows combined at once in a task; windows sorted at once.
-HOT_RUNS, COMBINE_ROWS, SORT_WINDOWS = 4_000, 600_000, 250_000
-_RUN = "gram long, run long, doc long, start long, n int"
-_SUFFIX = "lead binary, mode int, doc long, start long, n int, body binary"
+#: Runs combined at once in a task; bytes of a bucket's suffixes; windows sorted at once; sampled suffixes a bucket; leading bytes that splitters compare.
+COMBINE_ROWS, BUCKET_BYTES, SORT_WINDOWS, SAMPLES, COMPARED = 600_000, 24 << 20, 1_000_000, 20, 32
+#: A run's place in one number: start, windows (20 bits), and place of the anchor (8 bits) where it is known.
+_N, _ANCHOR = 20, 8
+_RUN = "gram long, doc long, row long, at long"
+_SUFFIX = "bucket int, doc long, row long, at long, body binary"
+_SOLVED = "row long, start long, n long, doc long, body binary"
 
 
 def _least(h: np.ndarray, width: int) -> np.ndarray:
@@ -52,13 +59,11 @@ def _least(h: np.ndarray, width: int) -> np.ndarray:
 
 
 def _runs(raw, offsets, length, lead):
-    """(gram, run hash, document, start in the buffer, windows), the grams' hashes and the prefix hash."""
-    prefix = K.prefix_hash(raw)
+    """(gram, document, start in the buffer, windows) of every run."""
     empty = np.empty(0, np.int64)
     if len(raw) < length:
-        return (np.empty(0, K.U), np.empty(0, K.U), empty, empty, empty), None
-    grams = K.mix(K.gram_hash(prefix, lead))
-    least = _least(grams, length - lead + 1)
+        return np.empty(0, K.U), empty, empty, empty
+    least = _least(K.mix(K.gram_hash(K.prefix_hash(raw), lead)), length - lead + 1)
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: len(least)]
     valid = np.arange(len(least)) + length <= offsets[1:][doc]
     new = valid.copy()
@@ -66,33 +71,47 @@ def _runs(raw, offsets, length, lead):
     stop = valid.copy()
     stop[:-1] &= (least[1:] != least[:-1]) | ~valid[1:]
     start, last = np.flatnonzero(new), np.flatnonzero(stop)
-    run = K.mix(K.span_hash(prefix, start, last + length), 5)
-    return (least[start], run, doc[start], start, last - start + 1), grams
+    n = last - start + 1
+    most = (1 << _N) - 1
+    if len(n) and n.max() > most:  # a periodic text: its run in parts
+        parts = -(-n // most)
+        which = np.repeat(np.arange(len(n)), parts)
+        k = np.arange(len(which)) - np.repeat(np.cumsum(parts) - parts, parts)
+        start, n = start[which] + k * most, np.minimum(n[which] - k * most, most)
+    return least[start], doc[start], start, n
+
+
+def _intervals(row, start, n):
+    """Adjacent window ranges of a row as one."""
+    order = np.lexsort((start, row))
+    row, start, n = row[order], start[order], n[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (start[1:] != start[:-1] + n[:-1])
+    at = np.flatnonzero(new)
+    return row[at], start[at], np.add.reduceat(n, at) if len(at) else n[:0]
 
 
-def _intervals(doc, start, n):
-    """Adjacent window ranges of a document as one."""
-    order = np.lexsort((start, doc))
-    doc, start, n = doc[order], start[order], n[order]
-    new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + n[:-1])
-    at = np.flatnonzero(new)
-    return doc[at], start[at], np.add.reduceat(n, at) if len(at) else n[:0]
+def _firsts(values: np.ndarray) -> np.ndarray:
+    """Where a new value begins in a sorted array."""
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    return np.flatnonzero(new)
 
 
-def _combined(parts, length):
-    gram, run, doc, start, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.lexsort((doc, run, gram))
-    gram, run, doc, start, n = gram[order], run[order], doc[order], start[order], n[order]
-    new = np.ones(len(gram), bool)
-    new[1:] = (gram[1:] != gram[:-1]) | (run[1:] != run[:-1])
-    smallest = doc[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
-    open_ = doc == smallest
-    yield K.batch(gram=gram[open_].view(np.int64), run=run[open_].view(np.int64), doc=doc[open_], start=start[open_], n=n[open_].astype(np.int32))
-    d, s, m = _intervals(doc[~open_], start[~open_], n[~open_])
-    if len(d):
-        spread = K.mix(d.astype(K.U) ^ (s.astype(K.U) << K.U(20)), 11)
-        yield K.batch(gram=spread.view(np.int64), run=np.zeros(len(d), np.int64), doc=d, start=s, n=-np.minimum(m, (1 << 31) - 1).astype(np.int32))
+def _combined(parts):
+    """Runs of a task: those whose gram two documents hold pass (at below 0) and leave a mark (at 0)."""
+    gram, doc, row, at = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(gram, kind="stable")
+    gram, doc, row, at = gram[order].view(np.int64), doc[order], row[order], at[order]
+    first = _firsts(gram)
+    twice = np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first)
+    known = np.repeat(twice, np.diff(np.append(first, len(gram))))
+    yield K.batch(gram=gram[~known], doc=doc[~known], row=row[~known], at=at[~known])
+    if twice.any():
+        marks = gram[first[twice]]
+        zero = np.zeros(len(marks), np.int64)
+        spread = K.mix(row[known].view(K.U) ^ at[known].view(K.U), 11).view(np.int64)
+        yield K.batch(gram=np.concatenate((marks, spread)), doc=np.concatenate((zero, doc[known])), row=np.concatenate((zero, row[known])), at=np.concatenate((zero, -at[known])))
 
 
 def _find_runs(length, lead):
@@ -100,218 +119,269 @@ def _find_runs(length, lead):
         parts, held = [], 0
         for b in batches:
             raw, offsets = K.column(b, "text")
-            doc = K.ids(b, "doc")
-            tag = K.ids(b, "tag")
+            doc, row = K.ids(b, "doc"), K.ids(b, "row")
             for a, e, r, o in K.pieces(raw, offsets):
-                (gram, run, d, start, n), _ = _runs(r, o, length, lead)
-                parts.append((gram, run, doc[a:e][d], (start - o[d]) | (tag[a:e][d] << 40), n))
+                gram, d, start, n = _runs(r, o, length, lead)
+                if not len(gram):
+                    continue
+                parts.append((gram, doc[a:e][d], row[a:e][d], (start - o[d]) << _N | n))
                 held += len(gram)
                 if held >= COMBINE_ROWS:
-                    yield from _combined(parts, length)
+                    yield from _combined(parts)
                     parts, held = [], 0
         if parts:
-            yield from _combined(parts, length)
+            yield from _combined(parts)
 
     return find
 
 
-def _decide(hot_runs):
-    """Rows sorted by gram, run, document to (doc, start, n, flag): 0 removed, 1 to refine, 2 to refine by window."""
-
-    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("gram", "run", "doc", "start", "n")
-        held = [np.empty(0, np.int64)] * 5
-        hot: tuple | None = None  # (gram, last run, its smallest document) of a group that goes on
-
-        def settle(rows, flag):
-            gram, run, doc, start, n = rows
-            if not len(gram):
-                return None
-            new_gram = np.ones(len(gram), bool)
-            new_gram[1:] = gram[1:] != gram[:-1]
-            new = new_gram.copy()
-            new[1:] |= run[1:] != run[:-1]
-            if hot and gram[0] == hot[0]:
-                new_gram[0] = False
-                new[0] = run[0] != hot[1]
-            first = np.maximum.accumulate(np.where(new, np.arange(len(new)), -1))
-            smallest = np.where(first >= 0, doc[first], hot[2] if hot else 0)
-            group = np.cumsum(new_gram)
-            several = np.bincount(group, weights=new)[group] > 1
-            out = np.where(doc > smallest, 0, np.where(several | (flag == 2), flag, -1))
-            keep = out >= 0
-            last = (gram[-1], run[-1], smallest[-1])
-            return K.batch(doc=doc[keep], start=start[keep], n=n[keep].astype(np.int32), flag=out[keep].astype(np.int32)), last
-
-        for b in batches:
-            rows = [K.ids(b, x) for x in names]
-            done = rows[4] < 0
-            if done.any():
-                yield K.batch(doc=rows[2][done], start=rows[3][done], n=(-rows[4][done]).astype(np.int32), flag=np.zeros(int(done.sum()), np.int32))
-                rows = [x[~done] for x in rows]
-            rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
-            if not len(rows[0]):
-                continue
-            if hot:
-                same = int(np.searchsorted(rows[0] != hot[0], True)) if rows[0][-1] != hot[0] else len(rows[0])
-                if same:
-                    out, last = settle([x[:same] for x in rows], 2)
-                    yield out
-                    hot = last
-                rows = [x[same:] for x in rows]
-                if not len(rows[0]):
-                    held = rows
-                    continue
-                hot = None
-            cut = int(np.flatnonzero(rows[0] == rows[0][-1])[0])
-            if cut:
-                yield settle([x[:cut] for x in rows], 1)[0]
-            held = [x[cut:] for x in rows]
-            if len(held[0]) > hot_runs:
-                out, hot = settle(held, 2)
-                yield out
-                held = [x[:0] for x in held]
-        if len(held[0]):
-            yield settle(held, 2 if hot else 1)[0]
-
-    return decide
-
-
-def _suffixes(length, lead):
-    """Texts with the runs to refine to suffix rows that start at the runs' grams."""
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs sorted by gram to (row, at) of those whose gram more than one document holds."""
+    held = [np.empty(0, np.int64)] * 4
+
+    def settle(gram, doc, row, at):
+        if not len(gram):
+            return
+        first = _firsts(gram)
+        own = at > 0
+        low = np.minimum.reduceat(np.where(own, doc, np.iinfo(np.int64).max), first)
+        high = np.maximum.reduceat(np.where(own, doc, np.iinfo(np.int64).min), first)
+        several = (low < high) | np.logical_or.reduceat(at == 0, first)
+        keep = own & np.repeat(several, np.diff(np.append(first, len(gram))))
+        if keep.any():
+            yield K.batch(row=row[keep], at=at[keep])
+
+    for b in batches:
+        cols = [K.ids(b, x) for x in ("gram", "doc", "row", "at")]
+        passed = cols[3] < 0
+        if passed.any():
+            yield K.batch(row=cols[2][passed], at=-cols[3][passed])
+            cols = [x[~passed] for x in cols]
+        cols = [np.concatenate(x) for x in zip(held, cols, strict=True)]
+        if not len(cols[0]):
+            continue
+        cut = int(np.flatnonzero(cols[0] != cols[0][-1])[-1]) + 1 if cols[0][0] != cols[0][-1] else 0
+        yield from settle(*(x[:cut] for x in cols))
+        held = [x[cut:] for x in cols]
+    yield from settle(*held)
+
+
+def _located(b: pa.RecordBatch, length, lead):
+    """For each buffer of a batch: bytes, and per run to refine document, row, start, windows, its place and its anchor's in the buffer."""
     width = length - lead + 1
+    raw, offsets = K.column(b, "text")
+    doc, row = K.ids(b, "doc"), K.ids(b, "row")
+    runs = b.column(b.schema.get_field_index("runs"))
+    bounds = np.concatenate(([0], np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(runs), 0).to_numpy(zero_copy_only=False)))).astype(np.int64)
+    flat = runs.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    for a, e, r, o in K.pieces(raw, offsets):
+        lo, hi = bounds[a], bounds[e]
+        if lo == hi or len(r) < length:
+            continue
+        owner = np.repeat(np.arange(e - a), np.diff(bounds[a : e + 1]))
+        start, n = flat[lo:hi] >> _N, flat[lo:hi] & (1 << _N) - 1
+        base = start + o[owner]
+        grams = K.mix(K.gram_hash(K.prefix_hash(r), lead))
+        anchor, least = base.copy(), grams[base]
+        for k in range(1, width):
+            here = grams[base + k]
+            better = here < least
+            anchor[better], least[better] = base[better] + k, here[better]
+        yield r, doc[a:e][owner], row[a:e][owner], start, n, base, anchor
+
+
+def _splitter_keys(r, doc, n, base, anchor, length) -> np.ndarray:
+    """(leading bytes, document) of suffixes as byte strings that compare in their order."""
+    out = np.zeros((len(base), COMPARED + 8), np.uint8)
+    place = anchor[:, None] + np.arange(COMPARED)
+    inside = place < (base + n - 1 + length)[:, None]
+    out[:, :COMPARED] = np.where(inside, r[np.minimum(place, len(r) - 1)], 0)
+    out[:, COMPARED:] = (doc.view(K.U) ^ K.U(1 << 63)).astype(">u8").view(np.uint8).reshape(-1, 8)
+    return out.view(f"S{COMPARED + 8}").ravel()
+
+
+def _sampled(length, lead):
+    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r, doc, _, _, n, base, anchor in _located(b, length, lead):
+                keys = _splitter_keys(r, doc, n, base, anchor, length)
+                yield K.batch(key=pa.array([x.ljust(COMPARED + 8, b"\0") for x in keys.tolist()], pa.binary()))
 
-    def pack(rows):
-        leads, mode, doc, start, n, body = (list(x) for x in zip(*rows, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(leads, pa.binary()), pa.array(mode, pa.int32()), pa.array(doc, pa.int64()), pa.array(start, pa.int64()), pa.array(n, pa.int32()), pa.array(body, pa.binary())], names=["lead", "mode", "doc", "start", "n", "body"])
+    return sampled
+
+
+def _suffixes(length, lead, splitters):
+    """Texts with the runs to refine to suffixes with the bucket that the splitters name."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges = splitters.value
         for b in batches:
-            raw, offsets = K.column(b, "text")
-            doc, tag = K.ids(b, "doc"), K.ids(b, "tag")
-            runs = b.column(b.schema.get_field_index("runs"))
-            bounds = np.concatenate(([0], np.cumsum([0 if x is None else x for x in pa.compute.list_value_length(runs).to_pylist()])))
-            flat = runs.flatten()
-            start, n, flag = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3))
-            for a, e, r, o in K.pieces(raw, offsets):
-                lo, hi = bounds[a], bounds[e]
-                if lo == hi or len(r) < length:
-                    continue
-                owner = np.repeat(np.arange(e - a), np.diff(bounds[a : e + 1]))
-                mine = (start[lo:hi] >> 40) == tag[a:e][owner]
-                owner, at, m, f = owner[mine], start[lo:hi][mine] & (1 << 40) - 1, n[lo:hi][mine], flag[lo:hi][mine]
-                base = at + o[owner]
-                grams = K.mix(K.gram_hash(K.prefix_hash(r), lead))
-                where = np.full(len(base), -1)
-                least = np.full(len(base), (1 << 64) - 1, K.U)
-                for k in range(width):
-                    better = grams[base + k] < least
-                    where[better], least[better] = base[better] + k, grams[base[better] + k]
-                text = r.tobytes()
-                rows, combined = [], {}
-                for i in range(len(base)):
-                    s, d = int(base[i]), int(doc[a + owner[i]])
-                    pos = int(at[i]) | int(tag[a + owner[i]]) << 40
-                    if f[i] == 1:
-                        rows.append((text[where[i] : where[i] + lead], 1, d, pos, int(m[i]), text[s : s + int(m[i]) - 1 + length]))
-                    else:
-                        for k in range(int(m[i])):
-                            combined.setdefault(text[s + k : s + k + length], []).append((d, pos + k))
-                    if len(rows) >= 20_000:
-                        yield pack(rows)
-                        rows = []
-                for window, found in combined.items():
-                    smallest = min(found)[0]
-                    for d, pos in found:
-                        rows.append((window, 2, d, pos, 1, b"") if d == smallest else ((d & 0xFFFFFFFF).to_bytes(4, "big") + (pos & 0xFFFFFFFF).to_bytes(4, "little"), 0, d, pos, 1, b""))
-                if rows:
-                    yield pack(rows)
+            for r, doc, row, start, n, base, anchor in _located(b, length, lead):
+                size = n + length - 1
+                ends = np.cumsum(size)
+                at = 0
+                while at < len(size):
+                    end = max(int(np.searchsorted(ends, ends[at] - size[at] + (4 << 20), "right")), at + 1)
+                    s = slice(at, end)
+                    bounds = np.concatenate(([0], np.cumsum(size[s])))
+                    body = r[np.repeat(base[s] - bounds[:-1], size[s]) + np.arange(bounds[-1])]
+                    bucket = np.searchsorted(edges, _splitter_keys(r, doc[s], n[s], base[s], anchor[s], length), "right")
+                    packed = (start[s] << _N | n[s]) << _ANCHOR | (anchor[s] - base[s])
+                    yield K.batch(bucket=bucket.astype(np.int32), doc=doc[s], row=row[s], at=packed, body=K.binary_array(body, bounds))
+                    at = end
 
     return emit
 
 
-def multikey_groups(raw: np.ndarray, start: np.ndarray, length: int) -> np.ndarray:
-    """Group number of the ``length``-byte string at each start; equal strings have equal numbers.
+def multikey_sort(raw: np.ndarray, start: np.ndarray, size: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Number of the string of ``size`` bytes at each start, within groups: equal strings of a group have equal numbers, and numbers ascend.
 
-    Multikey quicksort with eight bytes as a digit: strings are partitioned by
-    one digit, and only those that are still tied go on to the next.
+    A group's number is the place of its first string in sorted order, on input
+    as on output; strings of a group are of one size.  Multikey quicksort with
+    eight bytes as a digit: strings are partitioned by one digit, and only
+    those that are still tied go on to the next.
     """
     padded = np.concatenate((raw, np.zeros(8, np.uint8)))
-    group = np.zeros(len(start), np.int64)
-    tied = np.arange(len(start))
-    for at in range(0, length, 8):
-        size = min(8, length - at)
+    digits = np.ndarray(len(padded) - 7, ">u8", padded.tobytes(), strides=(1,))
+    group = group.copy()
+    tied = np.argsort(group, kind="stable")
+    for at in range(0, int(size.max(initial=0)), 8):
+        old = group[tied]
+        alone = np.ones(len(old), bool)
+        alone[1:] = old[1:] != old[:-1]
+        last = np.append(alone[1:], True)
+        tied = tied[~(alone & last) & (size[tied] > at)]
         if not len(tied):
             break
-        digit = np.zeros(len(tied), K.U)
-        for k in range(size):
-            digit = digit << K.U(8) | padded[start[tied] + at + k].astype(K.U)
-        order = np.lexsort((digit, group[tied]))
-        tied = tied[order]
-        digit, old = digit[order], group[tied]
-        new = np.ones(len(tied), bool)
-        new[1:] = (digit[1:] != digit[:-1]) | (old[1:] != old[:-1])
-        group[tied] = group.max() + np.cumsum(new)
-        alone = new & np.append(new[1:], True)
-        tied = tied[~alone]
+        left = size[tied] - at
+        digit = digits[start[tied] + at].astype(K.U)
+        short = left < 8
+        if short.any():
+            digit[short] &= ~((K.U(1) << (K.U(8) * (K.U(8) - left[short].astype(K.U)))) - K.U(1))
+        old = group[tied]
+        order = np.lexsort((digit, old))
+        tied, digit = tied[order], digit[order]
+        fresh = np.ones(len(tied), bool)
+        fresh[1:] = old[1:] != old[:-1]
+        new = fresh.copy()
+        new[1:] |= digit[1:] != digit[:-1]
+        place = np.arange(len(tied))
+        group[tied] = old + np.maximum.accumulate(np.where(new, place, 0)) - np.maximum.accumulate(np.where(fresh, place, 0))
     return group
 
 
-def _solve(length):
-    """Sorted suffix rows to removed windows."""
+def _ranked(*keys: np.ndarray) -> np.ndarray:
+    """Group numbers by the values of keys, the first being the most significant."""
+    order = np.lexsort(keys[::-1])
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([k[order][1:] != k[order][:-1] for k in keys])
+    out = np.empty(len(order), np.int64)
+    out[order] = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+    return out
+
 
-    def windows(rows):
-        doc, start, n, body = rows
-        raw = np.frombuffer(b"".join(body), np.uint8)
-        n, doc, start = np.array(n), np.array(doc), np.array(start)
-        base = np.cumsum(n + length - 1) - (n + length - 1)
+def _least_of(group: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """The least document of each row's group; group numbers are places below the number of rows."""
+    least = np.full(len(group), np.iinfo(np.int64).max)
+    np.minimum.at(least, group, doc)
+    return least[group]
+
+
+def _solve(length, lead):
+    """The suffixes of a bucket to removed windows, and to open suffixes (with body) whose gram may go on in another bucket."""
+
+    def removed(row, start, n):
+        row, start, n = _intervals(row, start, n)
+        nothing = pa.nulls(len(row), pa.binary())
+        return K.batch(row=row, start=start, n=n, doc=np.zeros(len(row), np.int64), body=nothing)
+
+    def windows(raw, gram, doc, row, start, n, base):
         owner = np.repeat(np.arange(len(n)), n)
         k = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
-        group = multikey_groups(raw, base[owner] + k, length)
-        d = doc[owner]
-        order = np.lexsort((d, group))
-        g, d = group[order], d[order]
-        new = np.ones(len(g), bool)
-        new[1:] = g[1:] != g[:-1]
-        hit = d > d[np.maximum.accumulate(np.where(new, np.arange(len(g)), 0))]
-        at = order[hit]
-        return _intervals(doc[owner[at]], start[owner[at]] + k[at], np.ones(len(at), np.int64))
-
-    def out(doc, start, n):
-        return K.batch(doc=np.asarray(doc, np.int64), start=np.asarray(start, np.int64), n=np.asarray(n).astype(np.int32))
+        group = multikey_sort(raw, base[owner] + k, np.full(len(owner), length), _ranked(gram[owner]))
+        hit = np.flatnonzero(doc[owner] > _least_of(group, doc[owner]))
+        return row[owner[hit]], start[owner[hit]] + k[hit], np.ones(len(hit), np.int64)
+
+    def settle(parts):
+        doc, row, at = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        raw = np.concatenate([p[3] for p in parts])
+        size = np.concatenate([p[4] for p in parts])
+        base = np.cumsum(size) - size
+        anchor = at & (1 << _ANCHOR) - 1
+        n, start = at >> _ANCHOR & (1 << _N) - 1, at >> _ANCHOR + _N
+        # The leading bytes first, then the rest of the suffix, then what lies before the anchor.
+        gram = multikey_sort(raw, base + anchor, np.full(len(base), lead), np.zeros(len(base), np.int64))
+        alike = multikey_sort(raw, base + anchor + lead, size - anchor - lead, _ranked(gram, size, anchor))
+        alike = multikey_sort(raw, base, anchor, alike)
+        later = doc > _least_of(alike, doc)
+        if later.any():
+            yield removed(row[later], start[later], n[later])
+        rest = np.flatnonzero(~later)
+        edge = (gram[rest] == gram.min()) | (gram[rest] == gram.max())
+        if edge.any():
+            out = rest[edge]
+            bounds = np.concatenate(([0], np.cumsum(size[out])))
+            body = raw[np.repeat(base[out] - bounds[:-1], size[out]) + np.arange(bounds[-1])]
+            yield K.batch(row=row[out], start=start[out], n=n[out], doc=doc[out], body=K.binary_array(body, bounds))
+        rest = rest[~edge]
+        # Grams with several suffixes and more than one document, in pieces of whole grams.
+        rest = rest[np.argsort(gram[rest], kind="stable")]
+        first = _firsts(gram[rest])
+        if not len(first):
+            return
+        several = (np.minimum.reduceat(alike[rest], first) != np.maximum.reduceat(alike[rest], first)) & (np.minimum.reduceat(doc[rest], first) != np.maximum.reduceat(doc[rest], first))
+        rest = rest[np.repeat(several, np.diff(np.append(first, len(rest))))]
+        first = _firsts(gram[rest])
+        total = np.cumsum(n[rest])
+        lo = 0
+        while lo < len(first):
+            began = total[first[lo]] - n[rest[first[lo]]]
+            hi = max(int(np.searchsorted(np.append(total[first[1:] - 1], total[-1]), began + SORT_WINDOWS, "right")), lo + 1)
+            part = rest[first[lo] : first[hi] if hi < len(first) else len(rest)]
+            found = windows(raw, gram[part], doc[part], row[part], start[part], n[part], base[part])
+            if len(found[0]):
+                yield removed(*found)
+            lo = hi
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, lead = ([], [], [], []), 0, None
-        window, smallest = None, 0
+        held, now = [], None
         for b in batches:
-            cols = [c.to_pylist() for c in b.columns]
-            done = ([], [], [])
-            for l_, mode, d, s, n, body in zip(*cols, strict=True):
-                if mode == 1:
-                    if size >= SORT_WINDOWS and l_ != lead:
-                        yield out(*windows(held))
-                        held, size = ([], [], [], []), 0
-                    lead = l_
-                    for x, v in zip(held, (d, s, n, body), strict=True):
-                        x.append(v)
-                    size += n
-                    continue
-                if mode == 2:
-                    if l_ != window:
-                        window, smallest = l_, d
-                        continue
-                    if d == smallest:
-                        continue
-                for x, v in zip(done, (d, s, n), strict=True):
-                    x.append(v)
-            if done[0]:
-                yield out(*done)
-        if held[0]:
-            yield out(*windows(held))
+            bucket = K.ids(b, "bucket")
+            first = _firsts(bucket) if len(bucket) else bucket
+            for lo, hi in zip(first.tolist(), [*first[1:].tolist(), len(bucket)], strict=False):
+                if held and bucket[lo] != now:
+                    yield from settle(held)
+                    held = []
+                now = bucket[lo]
+                part = b.slice(lo, hi - lo)
+                raw, offsets = K.column(part, "body")
+                held.append((K.ids(part, "doc"), K.ids(part, "row"), K.ids(part, "at"), raw.copy(), np.diff(offsets)))
+        if held:
+            yield from settle(held)
 
     return solve
 
 
+def _open_windows(length):
+    """Open suffixes to their windows, of which a task keeps the least document's."""
+
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            body = b.column(b.schema.get_field_index("body")).to_pylist()
+            out = ([], [], [], [])
+            for text, doc, row, start, n in zip(body, K.ids(b, "doc").tolist(), K.ids(b, "row").tolist(), K.ids(b, "start").tolist(), K.ids(b, "n").tolist(), strict=True):
+                for k in range(n):
+                    for x, v in zip(out, (text[k : k + length], doc, row, start + k), strict=True):
+                        x.append(v)
+                if len(out[0]) >= 50_000:
+                    yield K.batch(window=pa.array(out[0], pa.binary()), doc=np.array(out[1], np.int64), row=np.array(out[2], np.int64), start=np.array(out[3], np.int64))
+                    out = ([], [], [], [])
+            if out[0]:
+                yield K.batch(window=pa.array(out[0], pa.binary()), doc=np.array(out[1], np.int64), row=np.array(out[2], np.int64), start=np.array(out[3], np.int64))
+
+    return expand
+
+
 def covered(start: np.ndarray, n: np.ndarray, size: int, length: int) -> tuple[np.ndarray, int]:
     """(mask of the bytes under windows that start in the ranges, number of maximal runs)."""
     delta = np.zeros(size + 1, np.int64)
@@ -325,20 +395,16 @@ def _strip(length):
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             raw, offsets = K.column(b, "text")
-            tag = K.ids(b, "tag")
             runs = b.column(b.schema.get_field_index("runs")).to_pylist()
             data = raw.tobytes()
             size, removed, spans, digest, left = [], [], [], [], []
             for i, found in enumerate(runs):
-                text, mask = data[offsets[i] : offsets[i + 1]], None
-                got = [(x["start"] & (1 << 40) - 1, x["n"]) for x in found or () if x["start"] >> 40 == tag[i]]
-                count = 0
-                if got:
-                    at = np.array(got, np.int64)
+                text, count = data[offsets[i] : offsets[i + 1]], 0
+                rest = text
+                if found:
+                    at = np.array([(x["start"], x["n"]) for x in found], np.int64)
                     mask, count = covered(at[:, 0], at[:, 1], len(text), length)
                     rest = np.frombuffer(text, np.uint8)[~mask].tobytes()
-                else:
-                    rest = text
                 size.append(len(text))
                 removed.append(len(text) - len(rest))
                 spans.append(count)
@@ -364,26 +430,36 @@ def suffix_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", le
     repetition.  An empty table gives an empty result.  Other columns are not
     read, whatever their names.
     """
-    if not 1 <= lead <= length:
-        raise ValueError("lead must be between 1 and length")
+    if not 1 <= lead <= length or length - lead >= 1 << _ANCHOR:
+        raise ValueError("lead must be between 1 and length, and at most 255 bytes shorter")
     spark = docs.sparkSession
     scratch = Scratch(spark)
     id_type = docs.schema[doc_id].dataType
     base = docs.select(F.col(doc_id).alias("doc_id"), key(doc_id).alias("doc"), F.col(text).cast("string").alias("text"))
-    # Ids that stand for several texts: positions then carry a tag of the text.
-    shared = not base.groupBy("doc").agg(F.min(F.xxhash64("text")).alias("a"), F.max(F.xxhash64("text")).alias("b")).filter("a <> b").isEmpty()
-    base = base.withColumn("tag", F.pmod(F.xxhash64("text"), F.lit(1 << 22)) if shared else F.lit(0).cast("long"))
+    if ids_are_unique(docs, doc_id):
+        base = base.withColumn("row", F.col("doc"))
+    else:
+        # Ids do not tell rows apart: row numbers are written with the rows, so that every reading sees the same.
+        base = scratch.keep("rows", base.withColumn("row", F.monotonically_increasing_id()))
     parts = parallelism(spark)
-    runs = base.select("doc", "tag", "text").mapInArrow(_find_runs(length, lead), _RUN)
-    decided = scratch.keep("decided", runs.repartition(parts, "gram").sortWithinPartitions("gram", "run", "doc").mapInArrow(_decide(HOT_RUNS), "doc long, start long, n int, flag int"))
-    del runs
-    release(spark)  # the dealt runs are larger than all that follows
-    refine = decided.filter("flag > 0").groupBy("doc").agg(F.collect_list(F.struct("start", "n", "flag")).alias("runs"))
-    suffixes = base.select("doc", "tag", "text").join(refine, "doc").select("doc", "tag", "text", "runs").mapInArrow(_suffixes(length, lead), _SUFFIX)
-    sorted_ = suffixes.repartitionByRange(parts, "lead").sortWithinPartitions("lead", "mode", "doc")
-    refined = scratch.keep("refined", sorted_.mapInArrow(_solve(length), "doc long, start long, n int"))
-    del suffixes, sorted_
-    release(spark)
-    removed = decided.filter("flag = 0").select("doc", "start", "n").unionByName(refined).groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
-    joined = base.join(removed, "doc", "left").select("doc_id", "tag", "text", "runs")
+    runs = base.select("doc", "row", "text").mapInArrow(_find_runs(length, lead), _RUN)
+    refine = scratch.keep("refine", runs.repartition(parts, "gram").sortWithinPartitions("gram").mapInArrow(_repeated, "row long, at long"))
+    windows = F.col("at").bitwiseAND(F.lit((1 << _N) - 1))
+    count, size = refine.agg(F.count(F.lit(1)), F.coalesce(F.sum(windows + F.lit(length - 1)), F.lit(0))).first()
+    buckets = max(parts, -(-size // BUCKET_BYTES))
+    # Splitters from about SAMPLES suffixes a bucket, chosen by hash: their rows can be broadcast.
+    every = max(1, count // (buckets * SAMPLES))
+    some = refine.filter(F.pmod(F.xxhash64("row", "at"), F.lit(every)) == 0).groupBy("row").agg(F.collect_list("at").alias("runs"))
+    keys = sorted(bytes(r[0]) for r in base.join(F.broadcast(some), "row").select("doc", "row", "text", "runs").mapInArrow(_sampled(length, lead), "key binary").collect())
+    splitters = np.array([keys[i * len(keys) // buckets] for i in range(1, buckets)] if keys else [], f"S{COMPARED + 8}")
+    held = spark.sparkContext.broadcast(splitters)
+    listed = refine.groupBy("row").agg(F.collect_list("at").alias("runs"))
+    suffixes = base.join(listed, "row").select("doc", "row", "text", "runs").mapInArrow(_suffixes(length, lead, held), _SUFFIX)
+    solved = scratch.keep("solved", suffixes.repartitionById(buckets, F.col("bucket")).mapInArrow(_solve(length, lead), _SOLVED))
+    scratch.drop("refine")
+    across = solved.filter("body is not null").mapInArrow(_open_windows(length), "window binary, doc long, row long, start long")
+    least = across.groupBy("window").agg(F.min("doc").alias("least"))
+    later = across.join(least, "window").filter("doc > least").select("row", "start", F.lit(1).cast("long").alias("n"))
+    removed = solved.filter("body is null").select("row", "start", "n").unionByName(later).groupBy("row").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
+    joined = base.join(removed, "row", "left").select("doc_id", "text", "runs")
     return joined.mapInArrow(_strip(length), f"doc_id {id_type.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
