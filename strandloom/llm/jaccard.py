@@ -15,13 +15,14 @@ Documents become sets of word n-grams; two link when
    is a lower bound of the symmetric difference, so nothing is lost); the rest
    are verified on whole sets, and their links give components.
 4. Members whose sets still lie in several components are expanded, but only
-   to pairs across components, so that a group of near copies never yields all
-   its pairs.  They are verified as before; then no candidate is left that
+   to pairs across components and of neighbouring bands of sizes, so that a
+   group of near copies never yields all its pairs.  They are verified as before; then no candidate is left that
    could change a component.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from functools import reduce
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.llm import kernels as K
-from strandloom.llm.common import Scratch, key, release
+from strandloom.llm.common import Scratch, ids_are_unique
 from strandloom.operators.components import connected_components
 
 #: Cells of the frequency sketch, in slices that are summed apart; words of the parity signature.
@@ -183,22 +184,34 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     (the smallest doc_id reachable by links, itself included), one row per
     input row.
 
-    Null or blank texts have an empty set and link with nothing.  A null id
-    counts as greater than every other and is returned as null; its component
-    is its own unless it links with others.  Rows that repeat an id are one
-    node: a link of either is a link of both.  An empty table gives an empty
-    result.  Other columns are not read, whatever their names.
+    Null or blank texts have an empty set and link with nothing.  Every row is
+    a node of its own: rows that repeat an id, or have none, are joined by
+    their texts alone.  A null id counts as greater than every other, so a
+    component of rows without ids has a null component_id.  An empty table
+    gives an empty result.  Other columns are not read, whatever their names.
     """
     if not 1 <= percent <= 100 or size < 1:
         raise ValueError("percent must be in 1..100 and size positive")
-    spark = docs.sparkSession
-    scratch = Scratch(spark)
+    scratch = Scratch(docs.sparkSession)
     id_type = docs.schema[doc_id].dataType
-    base = docs.select(F.col(doc_id).alias("doc_id"), key(doc_id).alias("doc"), F.col(text).cast("string").alias("text"))
+    base = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
+    if ids_are_unique(docs, doc_id):
+        return _classes(base, scratch, size, percent).select(F.col("doc").cast(id_type).alias("doc_id"), "n_shingles", F.col("component").cast(id_type).alias("component_id"))
+    # Ids do not tell rows apart: row numbers are written with the rows, so that every reading sees the same.
+    rows = scratch.keep("numbered", base.withColumnRenamed("doc", "id").withColumn("doc", F.monotonically_increasing_id()))
+    of = scratch.keep("classes", _classes(rows.select("doc", "text"), scratch, size, percent).join(rows.select("doc", "id"), "doc"))
+    least = of.groupBy("component").agg(F.min("id").alias("least"))
+    out = of.join(least, "component").select(F.col("id").cast(id_type).alias("doc_id"), "n_shingles", F.col("least").cast(id_type).alias("component_id"))
+    scratch.only("classes")
+    return out
+
+
+def _classes(base: DataFrame, scratch: Scratch, size: int, percent: int) -> DataFrame:
+    """(doc, n_shingles, component) of rows (doc, text) whose doc is unique and not null; the component is its least doc."""
+    spark = base.sparkSession
     rank = spark.sparkContext.broadcast(frequencies(base, size))
     rows = scratch.keep("rows", base.select("doc", "text").mapInArrow(_describe(size, percent, rank), "doc long, n long, s1 long, s2 long, prefix array<long>, parity array<long>, wide array<long>"))
     rank.destroy()
-    release(spark)
     full = rows.filter("n > 0")
     sets = scratch.keep("sets", full.groupBy("s1", "s2", "n").agg(F.min("doc").alias("rep"), F.first("prefix").alias("prefix"), F.first("parity").alias("parity"), F.first("wide").alias("wide")).withColumn("shape", F.xxhash64("prefix", "n")))
     # Groups: the head stands for all sets with its prefix and size.
@@ -208,7 +221,6 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     at = sets.select(F.explode("prefix").alias("member"), "rep")
     shared = at.groupBy("member").agg(F.min("rep").alias("x"), F.max("rep").alias("z")).filter("x < z").select("member")
     lists = scratch.keep("lists", at.join(shared, "member"))
-    release(spark)
 
     # Heads at members, and first sets of groups: stars, not all pairs.
     heads = lists.join(info.filter("rep = head").select("rep"), "rep", "left_semi")
@@ -216,7 +228,6 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     within = info.select(F.col("head").alias("a"), F.col("rep").alias("b"))
     first = scratch.keep("first", _screened(stars.unionByName(within).filter("a < b").distinct(), info, percent))
     digest = info.select(F.col("rep").alias("doc"), "s1")
-    release(spark)
 
     def verified(name: str, pairs: DataFrame) -> DataFrame:
         need = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct().join(digest, "doc")
@@ -224,29 +235,26 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
         # Few documents are picked out where they lie; many are dealt by id.
         side = F.broadcast(need) if need.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST else need
         found = base.select("doc", "text").join(side, "doc").select("doc", "s1", "text").mapInArrow(_expand(size), "doc long, grams array<long>")
-        whole = scratch.keep(f"{name}-sets", found.dropDuplicates(["doc"]) if any_repeated else found)
-        release(spark)
+        whole = scratch.keep(f"{name}-sets", found)
         links = scratch.keep(name, _linked(pairs, whole, percent))
         scratch.drop(f"{name}-sets")
         return links
 
-    same = rows.groupBy("doc").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
-    any_repeated = not same.isEmpty()
     links = verified("links", first)
-    # Rows that repeat an id but differ in text: their sets are one node.
-    repeated = rows.join(same.select("doc"), "doc").filter("n > 0").join(sets.select("s1", "s2", "n", "rep"), ["s1", "s2", "n"]).select(F.col("doc").alias("a"), F.col("rep").alias("b")).filter("a <> b")
-    parts = scratch.keep("parts1", connected_components(links.unionByName(repeated), "a", "b", lambda name, df: scratch.keep(f"c1-{name}", df)))
-    release(spark)
+    parts = scratch.keep("parts1", connected_components(links, "a", "b", lambda name, df: scratch.keep(f"c1-{name}", df)))
+    scratch.drop(*[x for x in scratch.paths if x.startswith("c1-")])
 
     # Pairs across components at members that still see several.
     label = lists.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     seen = label.groupBy("member", "component").agg(F.count(F.lit(1)).alias("k"))
     torn = seen.groupBy("member").agg(F.min("component").alias("x"), F.max("component").alias("z")).filter("x < z").select("member")
     held = scratch.keep("torn", label.join(torn, "member").join(seen, ["member", "component"]).join(info.select("rep", "n", "parity"), "rep").withColumn("many", F.col("k") > MANY).drop("k"))
-    release(spark)
     side = lambda x: held.select("member", F.col("rep").alias(x), F.col("component").alias(f"c{x}"), F.col("n").alias(f"n{x}"), F.col("parity").alias(f"p{x}"), F.col("many").alias(f"m{x}"))
-    a, b = side("a"), side("b").withColumnRenamed("member", "same")
-    possible = (F.col("member") == F.col("same")) & (F.col("ca") != F.col("cb")) & _possible(percent)
+    # Sets that link lie in one band of sizes or in neighbouring ones, so that a member of very many sets is dealt by size too.
+    band = lambda n: F.floor(F.log(F.col(n).cast("double")) / F.lit(math.log(100 / percent * 1.0001)))
+    a = side("a").withColumn("band", band("na"))
+    b = side("b").withColumnRenamed("member", "same").withColumn("near", F.explode(F.array(*[band("nb") + F.lit(k) for k in (-1, 0, 1)])))
+    possible = (F.col("member") == F.col("same")) & (F.col("band") == F.col("near")) & (F.col("ca") != F.col("cb")) & _possible(percent)
     few = a.filter("not ma").join(b, possible & (F.col("mb") | (F.col("a") < F.col("b"))))
     # Two components of many sets each: their pairs are wanted, those within either are not.
     big = held.filter("many").select("member", "component").distinct()
@@ -257,14 +265,12 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     scratch.drop("torn")
     more = verified("more", second)
     if not more.isEmpty():
-        parts = scratch.keep("parts2", connected_components(links.unionByName(repeated).unionByName(more), "a", "b", lambda name, df: scratch.keep(f"c2-{name}", df)))
-    release(spark)
+        parts = scratch.keep("parts2", connected_components(links.unionByName(more), "a", "b", lambda name, df: scratch.keep(f"c2-{name}", df)))
     of = rows.select("doc", "n", "s1", "s2").join(sets.select("s1", "s2", "n", "rep"), ["s1", "s2", "n"], "left")
     of = of.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
-    found = of.select("doc", "s1", "s2", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc").alias("component_id"))
-    null = F.lit(K.NULL_ID)
-    value = lambda c: F.when(F.col(c) != null, F.col(c))
-    return found.select(value("doc").cast(id_type).alias("doc_id"), "n_shingles", value("component_id").cast(id_type).alias("component_id"))
+    found = scratch.keep("found", of.select("doc", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc").alias("component")))
+    scratch.only("found", *(x for x in ("numbered",) if x in scratch.paths))
+    return found
 
 
 def _screened(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:

@@ -16,9 +16,9 @@ def shingles(text, size):
 
 
 def brute(rows, size, percent):
+    """Every row is a node; a component is named by its least id, a missing one being the greatest."""
     sets = [shingles(t, size) for _, t in rows]
-    ids = [(1 << 63) - 1 if d is None else d for d, _ in rows]
-    parent = {i: i for i in ids}
+    parent = list(range(len(rows)))
 
     def root(x):
         while parent[x] != x:
@@ -28,13 +28,13 @@ def brute(rows, size, percent):
     for i in range(len(rows)):
         for j in range(i):
             if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
-                a, b = root(ids[i]), root(ids[j])
+                a, b = root(i), root(j)
                 parent[max(a, b)] = min(a, b)
-    out = []
-    for (d, _), s, k in zip(rows, sets, ids):
-        c = root(k)
-        out.append((d, len(s), None if c == (1 << 63) - 1 else c))
-    return sorted(out, key=str)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            least[root(i)] = min(d, least.get(root(i), d))
+    return sorted([(d, len(s), least.get(root(i))) for i, ((d, _), s) in enumerate(zip(rows, sets))], key=str)
 
 
 def rows_of(seed, n=90):
@@ -51,7 +51,7 @@ def rows_of(seed, n=90):
         if rng.random() < 0.3:
             w = w + text(rng.randint(1, 3))
         rows.append((1000 - i * 7, rng.choice([" ", "\n", "  "]).join(w)))
-    return rows + [(None, rows[0][1]), (5000, None), (5001, ""), (5002, " \n "), (rows[3][0], rows[3][1])]
+    return rows + [(None, rows[0][1]), (None, rows[2][1]), (None, "own words only here"), (5000, None), (5001, ""), (5002, " \n "), (rows[3][0], rows[3][1]), (rows[3][0], rows[4][1])]
 
 
 @pytest.mark.parametrize(("seed", "size", "percent"), [(1, 3, 90), (2, 5, 80), (3, 1, 50), (4, 3, 90)])
@@ -71,5 +71,17 @@ def test_many_sets_at_a_member_and_wide_signatures(spark, monkeypatch):
     assert sorted((tuple(r) for r in jaccard_components(df, size=3, percent=80).collect()), key=str) == brute(rows, 3, 80)
 
 
+def test_unique_ids(spark):
+    rows = [(d, t) for d, t in rows_of(6)[:90]]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted((tuple(r) for r in jaccard_components(df, size=3, percent=90).collect()), key=str) == brute(rows, 3, 90)
+
+
+def test_rows_without_id_do_not_join_classes(spark):
+    one, two = (" ".join(f"{x}{i}" for i in range(20)) for x in "ab")
+    got = jaccard_components(spark.createDataFrame([(1, one), (2, two), (None, one), (None, two)], "doc_id long, text string"))
+    assert sorted(((r.doc_id, r.component_id) for r in got.collect()), key=str) == [(1, 1), (2, 2), (None, 1), (None, 2)]
+
+
 def test_empty_table(spark):
     assert jaccard_components(spark.createDataFrame([], "doc_id long, text string")).collect() == []
