@@ -22,20 +22,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Elements whose content is never text, void elements, elements that break a block, and those that close an open paragraph.
-SILENT = frozenset("script style noscript template svg math iframe object canvas head title textarea select".split())
+# Elements whose content is raw text or a control and never main text, void elements, elements that break a block, and those that close an open paragraph.
+RAW = frozenset("script style title textarea select template iframe".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup html label legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
+BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup html label legend li main menu nav noscript ol option p pre section summary table tbody td tfoot th thead tr ul".split())
 CLOSES_P = BLOCK - frozenset("button label option".split())
 SIBLINGS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table", "tbody", "thead", "tfoot"), "td": ("tr",), "th": ("tr",), "option": ("select",)}
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
+# A quote opens a value only after an equals sign, and only if it closes somewhere; a tag ends at the next ">" outside values.
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*+)((?>[^>=]++|=\s*+(?>\"[^\"]*+\"|'[^']*+')|=)*+)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"(?:^|\s)(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_SPACE = re.compile(r"[ \t\n\r\f\v   -     　\x1c-\x1f\x85]+")
+_SPACE = re.compile(r"[ \t\n\r\f\v\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\x1c-\x1f\x85]+")
 _SPLIT = re.compile(r"[^0-9A-Za-z\u0080-\U0010ffff]+")
+_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in RAW}
 
 
 def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
@@ -70,17 +72,8 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
         links -= sum(name == "a" for name, _ in stack[to:])
         del stack[to:]
 
-    at, silent = 0, ""
-    low = None
-    while at < len(page):
-        if silent:
-            low = low if low is not None else page.lower()
-            end = low.find("</" + silent, at)
-            if end < 0:
-                break
-            close = page.find(">", end)
-            at, silent = (close + 1 if close >= 0 else len(page)), ""
-            continue
+    at, length = 0, len(page)
+    while at < length:
         m = _TAG.search(page, at)
         if not m:
             add(page[at:])
@@ -102,13 +95,14 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
                 if name in BLOCK:
                     flush()
             continue
-        if name in SILENT and not m[0].endswith("/>"):
-            if name == "head":
-                # Headless pages are common; only the silent elements inside a head matter.
-                flush()
-                continue
-            if name in ("noscript", "object", "svg", "math", "canvas", "iframe", "template", "script", "style", "title", "textarea", "select"):
-                silent = name
+        if name == "head":  # pages without its end tag are common; only the raw elements inside it matter
+            flush()
+            continue
+        if name in RAW:
+            if not m[0].endswith("/>") or name not in ("template", "iframe"):
+                end = _END[name].search(page, at)
+                # Without an end tag only what stands before the next tag is taken for its content.
+                at = end.end() if end else max(page.find("<", at), at) if page.find("<", at) >= 0 else length
             continue
         if name == "br" or name == "hr":
             if name == "hr":
@@ -201,8 +195,8 @@ class Labeller:
     def parameters(self) -> list[np.ndarray]:
         return [*self.w, *self.u, *self.b, self.out, self.bias]
 
-    def _run(self, x: np.ndarray, mask: np.ndarray, d: int):
-        """One direction over (time, page, width); keeps what the gradient needs."""
+    def _run(self, x: np.ndarray, mask: np.ndarray, d: int, learn: bool = False):
+        """One direction over (time, page, width); keeps what the gradient needs only to learn."""
         steps, n, _ = x.shape
         h, c = np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32)
         z_x = (x.reshape(-1, WIDTH) @ self.w[d]).reshape(steps, n, -1) + self.b[d]
@@ -214,7 +208,8 @@ class Labeller:
             m = mask[t][:, None]
             c_new = np.where(m, f * c + i * g, c)
             tc = np.tanh(c_new)
-            keep[t] = (i, f, o, g, c, tc, h)
+            if learn:
+                keep[t] = (i, f, o, g, c, tc, h)
             h = np.where(m, o * tc, h)
             c = c_new
             hs[t] = h
@@ -225,7 +220,7 @@ class Labeller:
         return both @ self.out + self.bias[0]
 
     def gradients(self, x, mask, y) -> tuple[float, list[np.ndarray]]:
-        runs = [self._run(x, mask, d) for d in range(2)]
+        runs = [self._run(x, mask, d, learn=True) for d in range(2)]
         both = np.concatenate((runs[0][0], runs[1][0]), 2)
         z = both @ self.out + self.bias[0]
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
@@ -355,14 +350,14 @@ def training_pages(count: int, seed: int) -> Iterator[tuple[str, list[int]]]:
                 holder = rng.choice(("div", "li", "article"))
                 out.append(f'<{holder} class="{rng.choice(("comment", "reply", "comment-body"))}">')  # noqa: B023
                 if rng.random() < 0.5:
-                    leaf(rng.choice(("span", "b", "div")) if False else "div", word() + " " + word(), 0)
+                    leaf("div", word() + " " + word(), 0)
                 leaf("p", prose(), 0)
                 out.append(f"</{holder}>")  # noqa: B023
             out.append(f"</{tag}>")  # noqa: B023
 
         title = sentence(2, 9)
         out.append(f'<!DOCTYPE html><html lang="{rng.choice(("en", "fr", "de", "es"))}"><head><meta charset="utf-8"><title>{title}</title><style>p{{margin:0}}</style><script>var t="</p>";</script></head><body>')
-        tops = [lambda: listing("nav", rng.choice(("nav", "nav", "div")), 8), lambda: box("header", rng.choice(("header", "header", "div")) if not plain else "header"), lambda: box("notice", "div") if not plain else None, lambda: leaf("div", prose(), 0, f' class="{rng.choice(NAMES["ad"])}"'), lambda: out.append(f"<!-- {word()} -->")]
+        tops = [lambda: listing("nav", rng.choice(("nav", "nav", "div")), 8), lambda: box("header", rng.choice(("header", "header", "div")) if not plain else "header"), lambda: box("notice", "div") if not plain else None, lambda: leaf("div", prose(), 0, f' class="{rng.choice(NAMES["ad"])}"'), lambda: out.append(f"<!-- {word()} -->"), lambda: leaf("noscript", sentence(2, 8), 0)]
         rng.shuffle(tops)
         for f in tops[: rng.randint(1, 5)]:
             f()
@@ -493,15 +488,39 @@ def _extract(model):
     return extract
 
 
+def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row with the trained parameters."""
+    for b in batches:
+        if b.num_rows:
+            yield pa.RecordBatch.from_arrays([pa.array([[p.astype(np.float32).tobytes() for p in trained().parameters()]], pa.list_(pa.binary()))], names=["parameters"])
+
+
+_labellers: dict[str, Labeller] = {}
+
+
+def labeller(spark: SparkSession) -> Labeller:
+    """The trained labeller; an executor trains it, once an application."""
+    app = spark.sparkContext.applicationId
+    if app not in _labellers:
+        row = spark.range(1, numPartitions=1).mapInArrow(_train, "parameters array<binary>").first()
+        model = Labeller(0)
+        for p, blob in zip(model.parameters(), row[0], strict=True):
+            p[...] = np.frombuffer(bytes(blob), np.float32).reshape(p.shape)
+        _labellers.clear()
+        _labellers[app] = model
+    return _labellers[app]
+
+
 def extract_text(pages: DataFrame, html: str = "html", page_id: str = "page_id", url: str = "url", model: Labeller | None = None) -> DataFrame:
     """Main text of every page: page_id, url, text and n_chars (code points), one row per input row.
 
     Blocks of main text are joined in page order by two line feeds; white space
     inside a block is one space.  A null or empty page, and one without main
-    text, has an empty text.  Null ids and urls and repeated rows are kept as
+    text, has an empty text.  A script, style, title, form control, template or
+    iframe that is not closed hides only what stands before the next tag.  Null ids and urls and repeated rows are kept as
     they are; an empty table gives an empty result; other columns are not read.
     """
-    held = pages.sparkSession.sparkContext.broadcast(model or trained())
+    held = pages.sparkSession.sparkContext.broadcast(model or labeller(pages.sparkSession))
     base = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).cast("string").alias("html"))
     fields = base.schema
     out = base.mapInArrow(_extract(held), f"page_id {fields['page_id'].dataType.simpleString()}, url {fields['url'].dataType.simpleString()}, text string")
