@@ -52,7 +52,7 @@ def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.conversations(_table(spark, sf_dir, "conversations")).drop("chat")
+    return chat.conversations(_table(spark, sf_dir, "conversations"))
 
 
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
