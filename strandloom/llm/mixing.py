@@ -1,16 +1,17 @@
 """Mixing sources to target weights, by DataFrame functions alone.
 
 Every source's documents lie end to end in a stream of words, which is cut
-into blocks of ``block`` words.  The mix takes blocks: slot j of a source takes
-the block that a pseudorandom permutation of the source's block numbers names,
-so that a pass takes every block once and a second pass repeats it.  Blocks and
-documents meet in an equi-join on (source, block).
-
-Counts per output shard are drawn multinomially *given the sources' totals*:
-every slot of a source draws its shard by a hash, each shard being as likely.
-Free multinomial draws would let a
+into blocks of ``block`` words.
+
+First the number of blocks of every source in every output shard is drawn,
+multinomially *given the sources' totals*: each block that a source owes draws
+its shard, and the draws are counted.  Free multinomial draws would let a
 source exceed two passes or miss its target; conditioned ones meet it exactly,
-the last block being cut.
+the last block being cut.  Then a shard's counts become slots: a shard holds
+the numbers of a source that follow those of the shards before it, and slot j
+of a source takes the block that a pseudorandom permutation of the source's
+block numbers names, so that a pass takes every block once and a second pass
+repeats it.  Blocks and documents meet in an equi-join on (source, block).
 
 Positions in the streams come from two small sums, never from one window over
 a source: documents are first put into buckets by a hash, buckets get their
@@ -31,6 +32,8 @@ WEIGHTS, SHARE, PASSES = (5.0, 2.0, 1.0), 1.5, 2.0
 
 #: Hash buckets that order a source's documents: a fixed number, so that the mix is the same on any cluster.
 BUCKETS = 4096
+#: Numbers that one row is expanded to at once; sources whose plan may be broadcast (about 100 bytes each).
+PIECE, MAX_SOURCES = 65_536, 10_000
 
 
 def word_count(text: Column) -> Column:
@@ -59,17 +62,21 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     return table.select("source", "source_size", "weight", F.when(F.col("level").isNull(), F.col("most")).otherwise(F.least(F.col("most"), F.col("level") * F.col("weight"))).alias("target"))
 
 
-def _scramble(index: Column, size: Column, step: Column, shift: Column) -> Column:
-    """A permutation of 0..size-1: a multiplication by a unit and a shift, modulo size."""
-    return F.pmod(index * step + shift, size)
+def _scramble(index: Column, size: Column, step: Column) -> Column:
+    """A permutation of 0..size-1 for a step prime to size; the last index stays the last."""
+    return F.pmod((index + 1) * step - 1, size)
 
 
 def _unit(size: Column, seed: Column) -> Column:
-    """A number that is prime to ``size``: the first of some hashed candidates below 2**31, and 1 if there is none."""
-    wish = F.transform(F.sequence(F.lit(1), F.lit(24)), lambda k: F.pmod(F.xxhash64(seed, k), F.greatest(F.least(size, F.lit(1 << 31)), F.lit(1))))
+    """A number that is prime to ``size``: the first of some hashed candidates, and 1 if there is none.
+
+    Candidates are below 2**31 and so small that their product with ``size`` stays a long.
+    """
+    most = F.least(size, F.lit(1 << 31), F.floor(F.lit(1 << 61) / F.greatest(size, F.lit(1))).cast("long"))
+    wish = F.transform(F.sequence(F.lit(1), F.lit(24)), lambda k: F.pmod(F.xxhash64(seed, k), F.greatest(most, F.lit(1))))
 
     def coprime(x: Column) -> Column:
-        # Euclid's algorithm in a fold; 48 steps are enough below 2**31.
+        # Euclid's algorithm in a fold; 48 steps are enough where the lesser number is below 2**31.
         start = F.struct(size.cast("long").alias("a"), x.cast("long").alias("b"))
         end = F.aggregate(F.sequence(F.lit(1), F.lit(48)), start, lambda s, _: F.struct(F.when(s.b == 0, s.a).otherwise(s.b).alias("a"), F.when(s.b == 0, F.lit(0).cast("long")).otherwise(F.pmod(s.a, F.when(s.b == 0, F.lit(1)).otherwise(s.b))).alias("b")))
         return end.a == 1
@@ -83,6 +90,11 @@ def stream(docs: DataFrame, text: str, doc_id: str, source: str, buckets: int) -
     return sized.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "mark"), F.lit(buckets)).cast("int"))
 
 
+def _few(plan: DataFrame, side: DataFrame) -> DataFrame:
+    """The side of one row a source, broadcast where sources are few."""
+    return F.broadcast(side) if plan.limit(MAX_SOURCES + 1).count() <= MAX_SOURCES else side
+
+
 def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", block: int = 64, shards: int = 64, seed: int = 17, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, passes: float = PASSES) -> tuple[DataFrame, DataFrame]:
     """(documents, pieces) of the mix.
 
@@ -105,45 +117,52 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
     plan = targets(bucket.groupBy("source").agg(F.sum("n").alias("source_size")), weights, share, passes)
     blocks = F.ceil(F.col("source_size") / F.lit(block)).cast("long")
     plan = plan.withColumn("blocks", blocks).withColumn("goal", F.least(F.round("target").cast("long"), (F.col("source_size") * F.lit(passes)).cast("long")))
-    plan = plan.withColumn("step", _unit(F.greatest("blocks", F.lit(1)), F.concat_ws(":", F.lit(seed), F.coalesce("source", F.lit("\0")))))
-    plan = scratch.keep("plan", plan.withColumn("shift", F.pmod(F.xxhash64(F.lit(seed), F.coalesce("source", F.lit("\0"))), F.greatest("blocks", F.lit(1)))))
+    # Blocks owed: whole passes, and those that the rest of the goal begins; the short last block comes last in a pass.
+    whole = F.floor(F.col("goal") / F.greatest("source_size", F.lit(1))).cast("long")
+    plan = plan.withColumn("owed", whole * F.col("blocks") + F.ceil((F.col("goal") - whole * F.col("source_size")) / F.lit(block)).cast("long"))
+    plan = scratch.keep("plan", plan.withColumn("step", _unit(F.greatest("blocks", F.lit(1)), F.concat_ws(":", F.lit(seed), F.coalesce("source", F.lit("\0"))))))
     inside = Window.partitionBy("source", "bucket").orderBy("doc_id", "mark").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.withColumn("ahead", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     # Rows of one bucket with equal id and text lie in any order: they are alike.
     joined = placed.join(offsets.withColumnRenamed("source", "s").withColumnRenamed("bucket", "b"), F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).drop("s", "b")
-    joined = joined.join(F.broadcast(plan.withColumnRenamed("source", "s")) if plan.count() <= 10_000 else plan.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    joined = joined.join(_few(plan, plan.withColumnRenamed("source", "s")), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     documents = scratch.keep("documents", joined.select("doc_id", "source", "size", (F.col("base") + F.col("ahead")).alias("offset"), "source_size", "target"))
 
-    # Slots: every block number of a source once a pass, in permuted order, as far as the goal goes.
-    spread = plan.filter("goal > 0").withColumn("parts", F.ceil(F.col("blocks") / F.lit(65536)).cast("int"))
-    part = spread.select("source", "source_size", "blocks", "goal", "step", "shift", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)).alias("p"))
-    part = part.repartition(parallelism(spark), "source", "p")
-    rank = part.select("source", "source_size", "blocks", "goal", "step", "shift", F.explode(F.sequence(F.col("p") * 65536, F.least(F.col("p") * 65536 + 65535, F.col("blocks") - 1))).alias("rank"))
-    at = rank.withColumn("block", _scramble(F.col("rank"), F.col("blocks"), F.col("step"), F.col("shift")))
-    short = F.col("source_size") - (F.col("blocks") - 1) * F.lit(block)
-    size = F.when(F.col("block") == F.col("blocks") - 1, short).otherwise(F.lit(block))
-    # Words of a pass before this rank: all blocks are full but the last, whose rank the inverse permutation would give; a comparison of permuted numbers is enough.
-    last_rank = Window.partitionBy("source")
-    at = at.withColumn("size", size)
-    tail = at.filter(F.col("block") == F.col("blocks") - 1).select(F.col("source").alias("s"), F.col("rank").alias("tail"))
-    at = at.join(F.broadcast(tail) if plan.count() <= 10_000 else tail, F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    del last_rank
-    ahead = F.col("rank") * F.lit(block) - F.when(F.col("rank") > F.col("tail"), F.lit(block) - short).otherwise(0)
-    at = at.withColumn("ahead", ahead)
-    passes_ = F.sequence(F.lit(0), F.greatest(F.ceil(F.col("goal") / F.col("source_size")).cast("int") - 1, F.lit(0)))
-    slots = at.withColumn("pass", F.explode(passes_)).withColumn("left", F.col("goal") - F.col("pass") * F.col("source_size") - F.col("ahead")).filter("left > 0")
-    slots = slots.select("source", "block", (F.col("pass") * F.col("blocks") + F.col("rank")).alias("slot"), F.least("left", "size").alias("take"))
-    slots = slots.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "source", "slot"), F.lit(shards)).cast("int"))
+    # Draws: every block that a source owes draws its shard, in pieces that spread over tasks; only counts are kept.
+    def pieces_of(df: DataFrame, count: str) -> DataFrame:
+        piece = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(count) - 1) / PIECE).cast("long")))
+        return df.filter(F.col(count) > 0).withColumn("p", piece).repartition(parallelism(spark), "source", "p")
+
+    def numbers(count: str) -> Column:
+        return F.explode(F.sequence(F.col("p") * PIECE, F.least((F.col("p") + 1) * PIECE, F.col(count)) - 1))
+
+    drawn = pieces_of(plan.select("source", "owed"), "owed").select("source", numbers("owed").alias("j"))
+    counts = drawn.groupBy("source", F.pmod(F.xxhash64(F.lit(seed), "source", "j"), F.lit(shards)).cast("int").alias("shard")).agg(F.count(F.lit(1)).alias("count"))
+    earlier = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    counts = scratch.keep("counts", counts.withColumn("from", F.coalesce(F.sum("count").over(earlier), F.lit(0))))
+    # Slots: a shard's numbers of a source, and the blocks that the permutation gives them.
+    mine = counts.join(_few(plan, plan.select("source", "source_size", "blocks", "goal", "step").withColumnRenamed("source", "s")), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    slots = pieces_of(mine, "count").select("source", "shard", "source_size", "blocks", "goal", "step", "from", numbers("count").alias("j")).withColumn("slot", F.col("from") + F.col("j")).drop("from", "j")
+    turn, rank = F.floor(F.col("slot") / F.col("blocks")).cast("long"), F.pmod("slot", "blocks")
+    slots = slots.withColumn("block", _scramble(rank, F.col("blocks"), F.col("step")))
+    size = F.least(F.lit(block), F.col("source_size") - F.col("block") * F.lit(block))
+    left = F.col("goal") - turn * F.col("source_size") - rank * F.lit(block)
+    slots = slots.select("source", "shard", "slot", "block", F.least(left, size).alias("take"))
 
     long_docs = documents.filter("size > 0").withColumn("block", F.explode(F.sequence(F.floor(F.col("offset") / block), F.floor((F.col("offset") + F.col("size") - 1) / block))))
     lo = F.greatest(F.col("offset"), F.col("block") * block)
     hi = F.least(F.col("offset") + F.col("size"), F.col("block") * block + F.col("take"))
     pieces = long_docs.select("doc_id", F.col("source").alias("s"), "offset", "size", F.col("block").alias("k")).join(slots, F.col("s").eqNullSafe(F.col("source")) & (F.col("k") == F.col("block"))).filter(hi > lo)
+    scratch.drop("rows", "buckets")
     return documents, pieces.select("shard", "source", "slot", "block", "doc_id", F.col("offset").alias("row"), (lo - F.col("offset")).alias("first"), (hi - lo).alias("words"))
 
 
 def taken(docs: DataFrame, **options) -> DataFrame:
-    """Per document: doc_id, size, source_size, target, taken (its words in the mix, repeats counted), source."""
+    """Per document: doc_id, size, source_size, target, taken (its words in the mix, repeats counted), source.
+
+    Null, repeated and empty rows are as in ``mix``: each row has its own
+    result, and a document without words takes none.
+    """
     documents, pieces = mix(docs, **options)
     sums = pieces.groupBy("source", "row").agg(F.sum("words").alias("taken")).withColumnRenamed("source", "s")
     out = documents.join(sums, F.col("source").eqNullSafe(F.col("s")) & (F.col("offset") == F.col("row")) & (F.col("size") > 0), "left")

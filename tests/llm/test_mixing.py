@@ -64,6 +64,34 @@ def test_pieces_meet_blocks(spark):
     assert max(per_slot.values()) <= 16 and {r.shard for r in rows} <= set(range(4)) and documents.count() == 104
 
 
+def test_shards_hold_the_drawn_counts(spark):
+    """Slots of a shard follow those of the shards before it, every pass takes every block once, and the last block comes last."""
+    df = docs(spark, 300)
+    documents, pieces = mixing.mix(df, block=4, shards=5, share=1.9)
+    slots = {(r.source, r.slot): (r.shard, r.block) for r in pieces.collect()}
+    sizes = {r.source: r.source_size for r in documents.collect()}
+    for source, size in sizes.items():
+        mine = sorted((slot, *x) for (s, slot), x in slots.items() if s == source)
+        assert [m[0] for m in mine] == list(range(len(mine)))
+        assert [m[1] for m in mine] == sorted(m[1] for m in mine)
+        blocks = max(-(-size // 4), 1)
+        for lo in range(0, len(mine), blocks):
+            turn = [m[2] for m in mine[lo : lo + blocks]]
+            assert len({*turn}) == len(turn) and (len(turn) < blocks or turn[-1] == blocks - 1)
+        if len(mine) > 200:
+            shares = [sum(m[1] == k for m in mine) / len(mine) for k in range(5)]
+            assert all(0.1 < x < 0.3 for x in shares) and len({*shares}) > 1
+
+
+def test_unit_stays_in_range_for_huge_sources(spark):
+    sizes = [1, 2, 3, 64, 997, 1 << 31, (1 << 38) + 7, 1 << 45]
+    df = spark.createDataFrame([(n,) for n in sizes], "n long").select("n", mixing._unit(F.col("n"), F.concat_ws(":", F.lit("s"), "n")).alias("u"))
+    import math
+
+    for r in df.collect():
+        assert math.gcd(r.n, r.u) == 1 and r.n * r.u < 1 << 62
+
+
 def test_same_mix_under_any_partition_setting(spark):
     df, mixes = docs(spark), []
     before = spark.conf.get("spark.sql.shuffle.partitions")
