@@ -64,8 +64,17 @@ def locate(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+# Patterns of pieces that never hold white space, of tokenizer files whose pre-tokenizer keeps only such pieces, and normalisers that leave single blanks between them.
+PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",)
+NORMALISERS = ({"type": "NFC"}, {"type": "Lowercase"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "})
+
+
 def splits(name: str) -> bool:
-    """Whether the tokenizer drops blanks and line feeds and never joins across them."""
+    """Whether the tokenizer is known to drop blanks and line feeds and never to join across them.
+
+    Only specifications that are known in every part count; any other
+    pattern, normaliser, step or added token with white space does not.
+    """
     path = locate(name)
     if path.endswith(".model"):
         return False
@@ -73,10 +82,16 @@ def splits(name: str) -> bool:
 
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    pre = spec.get("pre_tokenizer") or {}
-    parts = pre.get("pretokenizers", [pre])
-    # Matches of a pattern that excludes white space are kept and all else is removed; nothing puts it back.
-    return any(p.get("type") == "Split" and p.get("behavior") == "Removed" and p.get("invert") and " " not in "".join(p["pattern"].values()) for p in parts) and not any(p.get("add_prefix_space") for p in parts)
+
+    def steps(part, inner):
+        return [] if not part else part[inner] if part.get("type") == "Sequence" else [part]
+
+    pre = steps(spec.get("pre_tokenizer"), "pretokenizers")
+    first = bool(pre) and pre[0].get("type") == "Split" and pre[0].get("behavior") == "Removed" and pre[0].get("invert") is True and pre[0].get("pattern", {}).get("Regex") in PIECES
+    rest = all(p.get("type") == "ByteLevel" and p.get("add_prefix_space") is False and p.get("use_regex") is False for p in pre[1:])
+    plain = all(n in NORMALISERS for n in steps(spec.get("normalizer"), "normalizers"))
+    added = all(not any(c.isspace() for c in t["content"]) and not t.get("lstrip") and not t.get("rstrip") and not t.get("single_word") for t in spec.get("added_tokens", ()))
+    return first and rest and plain and added and spec.get("post_processor") is None
 
 
 def counter(name: str) -> Callable[[list[str]], list[int]]:
@@ -143,7 +158,8 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, text
     ids = scratch.keep("ids", base.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes")))
     known = spark.read.schema(schema).parquet(path).filter(F.col("tokenizer") == version).select("digest").distinct()
     stored_before = not known.isEmpty()
-    often = ids.groupBy("digest").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("digest")
+    counted = ids.groupBy("digest").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    often = counted.select("digest")
     # Contents that are not simply encoded where they are found: further copies and known ones.
     special = scratch.keep("special", (often.unionByName(ids.select("digest").join(known, "digest", "left_semi")).distinct() if stored_before else often))
     n_special = special.limit(MAX_BROADCAST + 1).count()
@@ -157,5 +173,10 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, text
         todo = todo.unionByName(several.groupBy("digest").agg(F.first("text").alias("text")))
     todo.mapInArrow(_encode(tokenizer), "digest binary, n_tokens long").select("digest", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(path)
     stored = spark.read.schema(schema).parquet(path).filter(F.col("tokenizer") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
-    out = ids.join(stored, "digest", "left")
+    # Contents of very many rows: no more than 4,096, so their counts are broadcast, and the other rows are dealt by digest.
+    many = max(64, ids.count() // 4096)
+    hot = scratch.keep("hot", stored.join(counted.filter(F.col("k") > many).select("digest"), "digest", "left_semi"))
+    near = ids.join(F.broadcast(hot.withColumnRenamed("n_tokens", "known")), "digest", "left")
+    rare = near.filter("known is null").drop("known").join(stored, "digest", "left")
+    out = near.filter("known is not null").select("digest", "doc_id", "n_bytes", F.col("known").alias("n_tokens")).unionByName(rare.select("digest", "doc_id", "n_bytes", "n_tokens"))
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
