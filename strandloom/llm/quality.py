@@ -4,10 +4,10 @@ A text is the average of learned vectors of its hashed features; a linear layer
 and a softmax turn the average into class probabilities; everything is trained
 by stochastic gradient descent in numpy.
 
-Features: words, byte n-grams inside words with their boundaries, pairs of
-neighbouring words, and word shapes.  A shape token says how a word is written
-(case, digits, which punctuation it ends with) and whether it repeats the word
-before it, so that repetition and layout carry over to words never seen.
+Features: words, word n-grams, and character n-grams (of UTF-8 bytes) inside
+words with their boundaries.  Words are normalised in one way: a word that
+equals the one before it is the token ``AGAIN``, so that repetition carries
+over to words never seen.
 
 Training rows are a sample of at most ``max_rows`` labelled rows, chosen by a
 hash of the id.  Executors turn the sample into feature counts, and one task
@@ -28,7 +28,9 @@ from pyspark.sql import types as T
 
 from strandloom.llm import kernels as K
 
-BUCKETS, DIM, ORDERS = 1 << 16, 12, (3, 4, 5)
+BUCKETS, DIM, WORD_ORDERS, ORDERS = 1 << 16, 12, (1, 2, 3), (3, 4, 5)
+#: The hash of the token for a repeated word.
+AGAIN = K.U(77)
 
 
 def _features(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -39,28 +41,16 @@ def _features(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray
     mask = K.U(BUCKETS - 1)
     bucket = lambda h, kind: (K.mix(h, kind) >> K.U(24) & mask).astype(np.int32)
     words = K.mix(K.span_hash(prefix, start, end))
-    yield bucket(words, 1), doc
-    if len(words) > 1:
-        same = doc[1:] == doc[:-1]
-        yield bucket(words[:-1] * K.U(3) + words[1:], 2)[same], doc[1:][same]
-        repeat = same & (words[1:] == words[:-1])
-    else:
-        repeat = np.empty(0, bool)
-    # Shapes: bytes of each class in a word, its first and last byte's class, and repetition.
-    kind = _CLASS[raw]
-    counts = np.zeros((4, len(raw) + 1), np.int64)
-    for c in range(4):
-        np.cumsum(kind == c, out=counts[c, 1:])
-    inside = np.minimum(counts[:, end] - counts[:, start], 3)
-    length = np.minimum((end - start) // 4, 7)
-    again = np.zeros(len(words), np.int64)
-    again[1:] = repeat
-    shape = inside[0] | inside[1] << 2 | inside[2] << 4 | inside[3] << 6 | again << 8
-    yield bucket(shape.astype(K.U), 3), doc
-    tail = np.where(kind[end - 1] == 3, raw[end - 1], 0).astype(np.int64) if len(end) else again
-    yield bucket((tail | length << 8 | again << 12 | (kind[start] if len(start) else again).astype(np.int64) << 13).astype(K.U), 4), doc
-    if len(words):
-        yield bucket(again.astype(K.U), 5), doc
+    again = np.zeros(len(words), bool)
+    again[1:] = (words[1:] == words[:-1]) & (doc[1:] == doc[:-1])
+    words[again] = AGAIN
+    for size in WORD_ORDERS:
+        count = max(len(words) - size + 1, 0)
+        h = np.zeros(count, K.U)
+        for k in range(size):
+            h = h * K.U(3) + words[k : k + count]
+        whole = doc[:count] == doc[size - 1 :][:count]
+        yield bucket(h, size)[whole], doc[:count][whole]
     blank = ~K.NOT_BLANK[raw]
     spaces = np.concatenate(([0], np.cumsum(blank)))
     owner = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
@@ -73,12 +63,6 @@ def _features(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray
         yield bucket(h, 10 + size)[ok], owner[: len(h)][ok]
 
 
-#: Lower case, upper case, digit, ASCII punctuation, and 4 for all else.
-_CLASS = np.full(256, 4, np.uint8)
-_CLASS[33:127] = 3
-_CLASS[97:123], _CLASS[65:91], _CLASS[48:58] = 0, 1, 2
-
-
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Feature counts of each text."""
     for b in batches:
@@ -117,6 +101,29 @@ class Model:
         self.weights, self.bias = weights, bias
 
 
+def gradients(vectors, layer, bias, flat, share, owner, labels):
+    """(summed loss, gradients of the layer, of the bias, and of the vectors of the features in use, and those features).
+
+    Text ``owner`` holds feature ``flat`` with a ``share`` of its feature
+    occurrences; its average vector goes through the layer and a softmax.
+    """
+    n = len(labels)
+    mean = np.zeros((n, vectors.shape[1]), vectors.dtype)
+    for d in range(vectors.shape[1]):
+        mean[:, d] = np.bincount(owner, share * vectors[flat, d], n)
+    z = mean @ layer + bias
+    p = np.exp(z - z.max(1, keepdims=True))
+    p /= p.sum(1, keepdims=True)
+    loss = -float(np.log(p[np.arange(n), labels] + 1e-300).sum())
+    p[np.arange(n), labels] -= 1
+    g_mean = p @ layer.T
+    used, inverse = np.unique(flat, return_inverse=True)
+    g_vectors = np.zeros((len(used), vectors.shape[1]), vectors.dtype)
+    for d in range(vectors.shape[1]):
+        g_vectors[:, d] = np.bincount(inverse, share * g_mean[owner, d], len(used))
+    return loss, mean.T @ p, p.sum(0), g_vectors, used
+
+
 def train(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = 8, rate: float = 0.5, batch: int = 32, seed: int = 7) -> Model:
     """Stochastic gradient descent on average embeddings, a linear layer and softmax."""
     rng = np.random.default_rng(seed)
@@ -135,23 +142,12 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = 8, rate:
             flat = np.concatenate([x[0] for x in part])
             share = np.concatenate([x[1] for x in part]).astype(np.float32)
             owner = np.repeat(np.arange(len(part)), [len(x[0]) for x in part])
-            mean = np.zeros((len(part), DIM), np.float32)
-            for d in range(DIM):
-                mean[:, d] = np.bincount(owner, share * vectors[flat, d], len(part))
-            z = mean @ layer + bias
-            p = np.exp(z - z.max(1, keepdims=True))
-            p /= p.sum(1, keepdims=True)
-            p[np.arange(len(part)), [x[2] for x in part]] -= 1
-            g_layer, g_bias, g_mean = mean.T @ p, p.sum(0), p @ layer.T
+            _, g_layer, g_bias, step, used = gradients(vectors, layer, bias, flat, share, owner, np.array([x[2] for x in part]))
             grad_l += g_layer**2
             grad_b += g_bias**2
             layer -= rate * g_layer / np.sqrt(grad_l)
             bias -= rate * g_bias / np.sqrt(grad_b)
             # Per-feature adaptive steps: a feature's share scales its document's gradient.
-            used, inverse = np.unique(flat, return_inverse=True)
-            step = np.zeros((len(used), DIM), np.float32)
-            for d in range(DIM):
-                step[:, d] = np.bincount(inverse, share * g_mean[owner, d], len(used))
             grad_v[used] += (step**2).sum(1) * 1e4
             vectors[used] -= 30 * rate * step / np.sqrt(grad_v[used])[:, None]
     weights = vectors @ (layer[:, 1] - layer[:, 0])
@@ -159,7 +155,13 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = 8, rate:
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "quality", max_rows: int = 4000, held_out: int = 5) -> Model:
-    """Learn from rows whose crc32(id as text) mod ``held_out`` is not 0, at most ``max_rows`` of them by a hash of the id."""
+    """Learn from rows whose crc32(id as text) mod ``held_out`` is not 0, at most ``max_rows`` of them by a hash of the id.
+
+    Labels without an id, or other than 0 and 1, teach nothing; of conflicting
+    labels of an id the smaller counts; documents that repeat an id each teach
+    its label, a null text as an empty one.  Without a usable label the model
+    gives every text one half.
+    """
     base = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
     usable = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label")).filter("id is not null and label in (0, 1)").filter(F.crc32(F.col("id").cast("string")) % held_out != 0)
     chosen = usable.groupBy("id").agg(F.min("label").alias("label")).orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(max_rows)
