@@ -82,6 +82,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES: dict[str, str] = {
+    "op2_suffix_dedup": """
+        WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS t FROM documents),
+        s AS (SELECT doc_id, unnest(range(1, octet_length(t) - 48)) AS i, t FROM d),
+        w AS (SELECT doc_id, i, t[i : i + 49] AS g FROM s),
+        m AS (SELECT g, min(doc_id) AS least FROM w GROUP BY g),
+        r AS (SELECT DISTINCT w.doc_id, w.i FROM w JOIN m ON w.g = m.g AND w.doc_id > m.least),
+        j AS (SELECT doc_id, i, CASE WHEN lag(i) OVER o IS NULL OR lag(i) OVER o + 50 < i THEN 1 ELSE 0 END AS fresh FROM r WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+        k AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS span FROM j),
+        p AS (SELECT doc_id, span, min(i) AS a, max(i) + 49 AS z FROM k GROUP BY 1, 2),
+        x AS (SELECT doc_id, sum(z - a + 1) AS removed, count(*) AS spans FROM p GROUP BY 1),
+        q AS (SELECT doc_id, span AS place, z + 1 AS a, coalesce(lead(a) OVER (PARTITION BY doc_id ORDER BY span) - 1, octet_length(t)) AS z, t FROM p JOIN d USING (doc_id)
+              UNION ALL SELECT doc_id, 0, 1, min(a) - 1, any_value(t) FROM p JOIN d USING (doc_id) GROUP BY 1),
+        f AS (SELECT doc_id, string_agg(CASE WHEN a <= z THEN hex(t[a : z]) ELSE '' END, '' ORDER BY place) AS h FROM q GROUP BY 1)
+        SELECT d.doc_id, CAST(octet_length(d.t) AS BIGINT) AS n_bytes, CAST(coalesce(x.removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(x.spans, 0) AS BIGINT) AS n_spans, sha256(CASE WHEN f.h IS NULL THEN d.t ELSE unhex(f.h) END) AS kept_sha256
+        FROM d LEFT JOIN x ON d.doc_id = x.doc_id LEFT JOIN f ON d.doc_id = f.doc_id
+    """,
     "op4_top_k": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings
                    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
