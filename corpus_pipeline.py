@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandloom.llm import decontam, jaccard, mixing, pii, quality
-from strandloom.llm.common import Scratch
+from strandloom.llm.common import Scratch, ids_are_unique, swept
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the classifier of labelled documents accepts; a null text is an empty one."""
+    """Rows that the classifier of labelled documents accepts; a null text is judged as an empty one, and every row by its own text."""
     model = quality.fit(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.score(docs, model, name="__score", decision="__predicted").filter("__predicted = 1").select(*COLUMNS)
 
@@ -28,7 +28,7 @@ def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     of rows of a class that share the smallest id, that with the smallest hash
     stays.  Texts without words are in no class, so their rows stay.
     """
-    unique = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__k")).filter("doc_id is null or __k > 1").isEmpty()
+    unique = ids_are_unique(docs, "doc_id")
     rows = docs.select(*COLUMNS, F.col("doc_id").alias("__row"))
     if not unique:
         # Ids do not tell rows apart: a row key is written with the rows, so that every reading sees the same.
@@ -45,21 +45,26 @@ def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows of which less than a twentieth of the words lies in benchmark windows, each judged by its own text."""
-    digest = F.sha2("text", 256)
-    found = decontam.contamination(docs.select(digest.alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), size=13, percent=5)
-    gone = found.filter("contaminated").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, digest == F.col("__gone"), "left_anti").select(*COLUMNS)
+    """Rows of which less than a twentieth of the words lies in benchmark windows, each judged by its own text.
+
+    A null text has no words, so its row stays; rows without an id and rows
+    that repeat one are judged alike; an empty benchmark removes nothing.
+    """
+    return decontam.uncontaminated(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), size=13, percent=5)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows, with personal data replaced by its kind in brackets and n_chars counted again."""
+    """All rows, with personal data replaced by its kind in brackets and n_chars counted again; a null text stays null."""
     clean = pii.redact(docs.select(*COLUMNS))
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Per document: source, size in words, its source's size and target, and the words that the mix takes of it."""
+    """Per document: source, size in words, its source's size and target, and the words that the mix takes of it.
+
+    A null text has no words and takes none; a null source is a source of its
+    own; every row that repeats an id has its own result.
+    """
     return mixing.taken(docs).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
@@ -76,11 +81,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``; of the scratch tables only the last stage's stays, as the result reads it."""
     scratch = Scratch(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = scratch.keep(f"{i}-{name}", stage(spark, docs, sf_dir))
-        if i > 1:
-            scratch.drop(f"{i - 1}-{STAGES[i - 1][0]}")
+    for name, stage in STAGES:
+        with swept():
+            docs = scratch.keep(name, stage(spark, docs, sf_dir))
+        scratch.only(name)
     return docs
