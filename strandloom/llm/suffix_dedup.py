@@ -19,9 +19,9 @@ run stands for all its windows.
    digit, ties only).  Equal neighbours are settled by their least document;
    where a gram has several suffixes, one of each is expanded to its windows,
    which are sorted and compared alike.
-3. Only the first and the last gram of a bucket can go on in another one.
-   Their least suffixes are expanded to windows, which meet across the
-   boundaries by their bytes.
+3. Only the first and the last gram of a bucket can go on in another one.  The
+   windows of their suffixes are settled in the bucket, too, and those that
+   none there precedes meet across the boundaries by their bytes.
 4. The removed windows are joined to the texts once.
 
 Compared strings are always of the input, never of what is left.
@@ -288,19 +288,27 @@ def _least_of(group: np.ndarray, doc: np.ndarray) -> np.ndarray:
 
 
 def _solve(length, lead):
-    """The suffixes of a bucket to removed windows, and to open suffixes (with body) whose gram may go on in another bucket."""
+    """The suffixes of a bucket to removed windows, and to the least of the windows (with body) whose gram may go on in another bucket."""
 
     def removed(row, start, n):
         row, start, n = _intervals(row, start, n)
         nothing = pa.nulls(len(row), pa.binary())
         return K.batch(row=row, start=start, n=n, doc=np.zeros(len(row), np.int64), body=nothing)
 
-    def windows(raw, gram, doc, row, start, n, base):
+    def windows(raw, gram, doc, row, start, n, base, more):
         owner = np.repeat(np.arange(len(n)), n)
         k = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
         group = multikey_sort(raw, base[owner] + k, np.full(len(owner), length), _ranked(gram[owner]))
-        hit = np.flatnonzero(doc[owner] > _least_of(group, doc[owner]))
-        return row[owner[hit]], start[owner[hit]] + k[hit], np.ones(len(hit), np.int64)
+        later = doc[owner] > _least_of(group, doc[owner])
+        hit = np.flatnonzero(later)
+        if len(hit):
+            yield removed(row[owner[hit]], start[owner[hit]] + k[hit], np.ones(len(hit), np.int64))
+        if more:
+            left = np.flatnonzero(~later)
+            for at in range(0, len(left), 50_000):
+                i = left[at : at + 50_000]
+                body = raw[(base[owner[i]] + k[i])[:, None] + np.arange(length)].ravel()
+                yield K.batch(row=row[owner[i]], start=start[owner[i]] + k[i], n=np.ones(len(i), np.int64), doc=doc[owner[i]], body=K.binary_array(body, np.arange(len(i) + 1) * length))
 
     def settle(parts):
         doc, row, at = (np.concatenate([p[i] for p in parts]) for i in range(3))
@@ -318,30 +326,24 @@ def _solve(length, lead):
             yield removed(row[later], start[later], n[later])
         rest = np.flatnonzero(~later)
         edge = (gram[rest] == gram.min()) | (gram[rest] == gram.max())
-        if edge.any():
-            out = rest[edge]
-            bounds = np.concatenate(([0], np.cumsum(size[out])))
-            body = raw[np.repeat(base[out] - bounds[:-1], size[out]) + np.arange(bounds[-1])]
-            yield K.batch(row=row[out], start=start[out], n=n[out], doc=doc[out], body=K.binary_array(body, bounds))
-        rest = rest[~edge]
-        # Grams with several suffixes and more than one document, in pieces of whole grams.
-        rest = rest[np.argsort(gram[rest], kind="stable")]
-        first = _firsts(gram[rest])
-        if not len(first):
-            return
-        several = (np.minimum.reduceat(alike[rest], first) != np.maximum.reduceat(alike[rest], first)) & (np.minimum.reduceat(doc[rest], first) != np.maximum.reduceat(doc[rest], first))
-        rest = rest[np.repeat(several, np.diff(np.append(first, len(rest))))]
-        first = _firsts(gram[rest])
-        total = np.cumsum(n[rest])
-        lo = 0
-        while lo < len(first):
-            began = total[first[lo]] - n[rest[first[lo]]]
-            hi = max(int(np.searchsorted(np.append(total[first[1:] - 1], total[-1]), began + SORT_WINDOWS, "right")), lo + 1)
-            part = rest[first[lo] : first[hi] if hi < len(first) else len(rest)]
-            found = windows(raw, gram[part], doc[part], row[part], start[part], n[part], base[part])
-            if len(found[0]):
-                yield removed(*found)
-            lo = hi
+        for at, more in ((rest[edge], True), (rest[~edge], False)):
+            at = at[np.argsort(gram[at], kind="stable")]
+            first = _firsts(gram[at])
+            if not more and len(first):
+                # Only grams with several suffixes and more than one document have anything left to settle here.
+                several = (np.minimum.reduceat(alike[at], first) != np.maximum.reduceat(alike[at], first)) & (np.minimum.reduceat(doc[at], first) != np.maximum.reduceat(doc[at], first))
+                at = at[np.repeat(several, np.diff(np.append(first, len(at))))]
+                first = _firsts(gram[at])
+            # Pieces of whole grams; those of an edge may be cut anywhere, as their windows meet again.
+            ends = np.cumsum(n[at])
+            cuts = np.arange(1, len(at) + 1) if more else np.append(first[1:], len(at))
+            lo = 0
+            while lo < len(at):
+                began = ends[lo] - n[at[lo]]
+                hi = int(cuts[max(int(np.searchsorted(ends[cuts - 1], began + SORT_WINDOWS, "right")) - 1, int(np.searchsorted(cuts, lo, "right")))])
+                part = at[lo:hi]
+                yield from windows(raw, gram[part], doc[part], row[part], start[part], n[part], base[part], more)
+                lo = hi
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, now = [], None
@@ -362,26 +364,6 @@ def _solve(length, lead):
     return solve
 
 
-def _open_windows(length):
-    """Open suffixes to their windows, of which a task keeps the least document's."""
-
-    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            body = b.column(b.schema.get_field_index("body")).to_pylist()
-            out = ([], [], [], [])
-            for text, doc, row, start, n in zip(body, K.ids(b, "doc").tolist(), K.ids(b, "row").tolist(), K.ids(b, "start").tolist(), K.ids(b, "n").tolist(), strict=True):
-                for k in range(n):
-                    for x, v in zip(out, (text[k : k + length], doc, row, start + k), strict=True):
-                        x.append(v)
-                if len(out[0]) >= 50_000:
-                    yield K.batch(window=pa.array(out[0], pa.binary()), doc=np.array(out[1], np.int64), row=np.array(out[2], np.int64), start=np.array(out[3], np.int64))
-                    out = ([], [], [], [])
-            if out[0]:
-                yield K.batch(window=pa.array(out[0], pa.binary()), doc=np.array(out[1], np.int64), row=np.array(out[2], np.int64), start=np.array(out[3], np.int64))
-
-    return expand
-
-
 def covered(start: np.ndarray, n: np.ndarray, size: int, length: int) -> tuple[np.ndarray, int]:
     """(mask of the bytes under windows that start in the ranges, number of maximal runs)."""
     delta = np.zeros(size + 1, np.int64)
@@ -457,7 +439,7 @@ def suffix_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", le
     suffixes = base.join(listed, "row").select("doc", "row", "text", "runs").mapInArrow(_suffixes(length, lead, held), _SUFFIX)
     solved = scratch.keep("solved", suffixes.repartitionById(buckets, F.col("bucket")).mapInArrow(_solve(length, lead), _SOLVED))
     scratch.drop("refine")
-    across = solved.filter("body is not null").mapInArrow(_open_windows(length), "window binary, doc long, row long, start long")
+    across = solved.filter("body is not null").withColumnRenamed("body", "window")
     least = across.groupBy("window").agg(F.min("doc").alias("least"))
     later = across.join(least, "window").filter("doc > least").select("row", "start", F.lit(1).cast("long").alias("n"))
     removed = solved.filter("body is null").select("row", "start", "n").unionByName(later).groupBy("row").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
