@@ -98,13 +98,15 @@ def excise_runs(seq: str | Column, symbol: str = "N") -> Column:
 
 
 def parse_region(region: str | Column) -> Column:
-    """``contig:start-end`` (1-based, inclusive) to a struct; anything else raises."""
+    """``contig:start-end`` (1-based, inclusive) or a bare contig, whose bounds are null, to a struct.
+
+    Only one colon and plain digits are understood; anything else, null too, raises.
+    """
     r = _col(region)
-    part = lambda i: F.regexp_extract(r, r"^(.+):([0-9,]+)-([0-9,]+)$", i)
-    number = lambda i: F.replace(part(i), F.lit(","), F.lit("")).cast("long")
-    ok = r.rlike(r"^.+:[0-9,]+-[0-9,]+$")
-    value = F.struct(part(1).alias("contig"), number(2).alias("start"), number(3).alias("end"))
-    return F.when(ok, value).otherwise(F.raise_error(F.concat(F.lit("not a region: "), F.coalesce(r, F.lit("null")))).cast("struct<contig:string,start:bigint,end:bigint>"))
+    bound = lambda i: F.when(r.contains(":"), F.regexp_extract(r, r":([0-9]+)-([0-9]+)$", i).cast("long"))
+    value = F.struct(F.regexp_extract(r, r"^[^:]+", 0).alias("contig"), bound(1).alias("start"), bound(2).alias("end"))
+    wrong = F.raise_error(F.concat(F.lit("not a region: "), F.coalesce(r, F.lit("null")))).cast("struct<contig:string,start:bigint,end:bigint>")
+    return F.when(r.rlike(r"^[^:]+(:[0-9]+-[0-9]+)?$"), value).otherwise(wrong)
 
 
 def query_span(qstart, qend, sstart, send, qlen, slen) -> Column:
@@ -131,10 +133,24 @@ def query_span(qstart, qend, sstart, send, qlen, slen) -> Column:
     )
 
 
+def _phreds(encoded: str | Column) -> Column:
+    c = _col(encoded)
+    return F.when(c == "*", F.array().cast("array<string>")).otherwise(F.filter(F.split(c, ""), lambda x: x != ""))
+
+
+def phred_total(encoded: str | Column) -> Column:
+    """Sum of Phred+33 qualities, below zero counted as zero; null, empty and ``*`` (no base) give 0."""
+    return F.coalesce(F.aggregate(_phreds(encoded), F.lit(0).cast("long"), lambda s, x: s + F.greatest(F.ascii(x) - 33, F.lit(0))), F.lit(0))
+
+
+def phred_count(encoded: str | Column) -> Column:
+    return F.when(_col(encoded).isNull(), 0).otherwise(F.size(_phreds(encoded)))
+
+
 def mean_phred(encoded: str | Column) -> Column:
-    """Mean of Phred+33 qualities, below zero counted as zero; 0 for an empty string."""
-    q = F.transform(F.filter(F.split(_col(encoded), ""), lambda c: c != ""), lambda c: F.greatest(F.ascii(c) - 33, F.lit(0)))
-    return F.when(F.size(q) > 0, F.aggregate(q, F.lit(0).cast("long"), lambda s, x: s + x) / F.size(q)).otherwise(0.0)
+    """Mean of Phred+33 qualities; 0 where there is no base (null, empty or ``*``)."""
+    n = phred_count(encoded)
+    return F.when(n > 0, phred_total(encoded) / n).otherwise(0.0)
 
 
 def strand_balance(forward: str | Column, reverse: str | Column) -> Column:

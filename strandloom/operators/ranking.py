@@ -63,9 +63,9 @@ def n50(df: DataFrame, by: list[str], length: str) -> DataFrame:
 
 
 def spread_positions(count: int, most: int) -> Iterator[int]:
-    """``most`` indices evenly over 0..count-1, rounded half to even."""
+    """``most`` indices evenly over 0..count-1, rounded half to even; a single one is the middle."""
     if count <= most:
         yield from range(count)
     else:
         for i in range(most):
-            yield round(i * (count - 1) / (most - 1)) if most > 1 else 0
+            yield round(i * (count - 1) / (most - 1)) if most > 1 else count // 2

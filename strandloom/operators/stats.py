@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import random
+from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandloom.functions.statistics import clopper_pearson
+from strandloom.operators.decisions import call_threshold, depth_call
 from strandloom.operators.ranking import spread_positions
 
 
@@ -46,54 +49,167 @@ def fit_line(df: DataFrame, by: list[str], y: str, x: str) -> DataFrame:
     return df.groupBy(*by).agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.regr_r2(y, x).alias("r2"), F.regr_count(y, x).alias("n"))
 
 
-def bootstrap_ratio(df: DataFrame, by: list[str], locus: str, backbone: str, resamples: int = 1000, block: int = 500, seed: int = 20260817, cap: int = 512, alpha: float = 0.05) -> DataFrame:
-    """Interval of median(locus) / median(backbone) by resampling blocks.
+class Blocks:
+    """Values cut into blocks, sorted once; a draw weighs each value by how often its block was drawn."""
+
+    def __init__(self, values: Sequence[float], block: int, cap: int | None = None) -> None:
+        v = np.asarray(values, dtype=float)
+        owner = np.arange(len(v)) // block
+        self.count = int(owner[-1]) + 1 if len(v) else 0
+        if cap is not None and self.count > cap:
+            chosen = np.fromiter(spread_positions(self.count, cap), dtype=np.int64)
+            keep = np.isin(owner, chosen)
+            v, owner = v[keep], np.searchsorted(chosen, owner[keep])
+            self.count = len(chosen)
+        order = np.argsort(v, kind="stable")
+        self.values, self.owner = v[order], owner[order]
+
+    def draw(self, rng: random.Random) -> float:
+        """Median of as many blocks as there are, drawn with replacement."""
+        times = np.bincount([rng.randrange(self.count) for _ in range(self.count)], minlength=self.count)
+        upto = np.cumsum(times[self.owner])
+        middle = np.searchsorted(upto, [(upto[-1] - 1) // 2, upto[-1] // 2], side="right")
+        return float(self.values[middle].mean())
+
+
+def percentile_bounds(draws: list[float], alpha: float) -> tuple[float, float]:
+    """The order statistics int(n a/2) - 1 and int(n (1 - a/2)), within the draws; zeros without any."""
+    if not draws:
+        return 0.0, 0.0
+    found, n = sorted(draws), len(draws)
+    return found[max(0, int(n * alpha / 2) - 1)], found[min(n - 1, int(n * (1 - alpha / 2)))]
 
-    ``locus`` and ``backbone`` are arrays of depths, one row per key.  The draw
-    follows one seeded generator per row (backbone first), and the bounds are
-    the order statistics int(n a/2) - 1 and int(n (1 - a/2)).
+
+def ratio_draws(locus: Blocks, backbone: Blocks, resamples: int, seed: int) -> list[float]:
+    """Ratios of drawn medians, the locus drawn before the backbone; a backbone of 0 gives none."""
+    if not locus.count or not backbone.count:
+        return []
+    rng = random.Random(seed)
+    pairs = [(locus.draw(rng), backbone.draw(rng)) for _ in range(resamples)]
+    return [top / base for top, base in pairs if base > 0]
+
+
+def dosage_draws(regions: list[Blocks], backbone: Blocks, segments: list[tuple[int, list[int]]], resamples: int, seed: int) -> list[float]:
+    """Mean multiplicities per covered base, the backbone drawn before the regions and those only on a backbone above 0.
+
+    A region without depth rows draws as one block of a single zero.
     """
+    covered = sum(n for n, members in segments if members)
+    if not backbone.count or not covered or not any(r.count for r in regions):
+        return []
+    parts = [r if r.count else Blocks([0.0], 1) for r in regions]
+    weight = np.array([sum(n for n, members in segments if i in members) for i in range(len(parts))], dtype=float) / covered
+    rng, out = random.Random(seed), []
+    for _ in range(resamples):
+        base = backbone.draw(rng)
+        if base > 0:
+            out.append(float(sum(w * p.draw(rng) / base for w, p in zip(weight, parts, strict=True))))
+    return out
+
 
-    def blocks(values) -> list[list[float]]:
-        return [list(values[i : i + block]) for i in range(0, len(values), block)]
+def bootstrap_ratio(df: DataFrame, by: list[str], locus: str, backbone: str, resamples: int = 1000, block: int = 500, seed: int = 20260817, cap: int = 512, alpha: float = 0.05) -> DataFrame:
+    """Interval of median(locus) / median(backbone) by resampling blocks.
 
-    def median(values: list[float]) -> float:
-        s, n = sorted(values), len(values)
-        return 0.0 if not n else float(s[n // 2]) if n % 2 else (s[n // 2 - 1] + s[n // 2]) / 2
+    ``locus`` and ``backbone`` are arrays of depths, one row per key; thin the
+    backbone with ``thin_blocks`` before it is collected.  One generator per
+    row, seeded alike, draws the locus first.  Without values both bounds are 0.
+    """
 
     def run(batches):
         for pdf in batches:
-            low, high = [], []
-            for a, b in zip(pdf[locus], pdf[backbone], strict=True):
-                rng = random.Random(seed)
-                top, bottom = blocks(a), blocks(b)
-                bottom = [bottom[i] for i in spread_positions(len(bottom), cap)]
-                draw = lambda parts: median([v for _ in parts for v in parts[rng.randrange(len(parts))]])  # noqa: B023, E731
-                got = []
-                for _ in range(resamples if top and bottom else 0):
-                    base, mine = draw(bottom), draw(top)
-                    if base > 0:
-                        got.append(mine / base)
-                got.sort()
-                n = len(got)
-                low.append(got[max(0, int(n * alpha / 2) - 1)] if n else None)
-                high.append(got[min(n - 1, int(n * (1 - alpha / 2)))] if n else None)
-            yield pdf[by].assign(ci_low=pd.Series(low, index=pdf.index, dtype=float), ci_high=pd.Series(high, index=pdf.index, dtype=float))
+            found = [percentile_bounds(ratio_draws(Blocks(a if a is not None else [], block), Blocks(b if b is not None else [], block, cap), resamples, seed), alpha) for a, b in zip(pdf[locus], pdf[backbone], strict=True)]
+            yield pdf[by].assign(ci_low=pd.Series([x for x, _ in found], index=pdf.index, dtype=float), ci_high=pd.Series([x for _, x in found], index=pdf.index, dtype=float))
 
     keys = df.select(*by, locus, backbone)
     fields = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in by)
     return keys.mapInPandas(run, f"{fields}, ci_low double, ci_high double")
 
 
-def locus_ratio(depth: DataFrame, by: list[str], kind: str, value: str, threshold: float = 1.5) -> DataFrame:
+def thin_blocks(df: DataFrame, by: list[str], order: list[str], block: int = 500, cap: int = 512) -> DataFrame:
+    """The rows of at most ``cap`` blocks per key, evenly spaced in ``order``; what a bootstrap of blocks reads.
+
+    Rows are cut into blocks of ``block`` in their order; the first and the
+    last block are always kept (of one block, the middle one).
+    """
+    w = Window.partitionBy(*by)
+    placed = df.withColumn("__at", F.row_number().over(w.orderBy(*order)) - 1).withColumn("__n", F.ceil(F.count(F.lit(1)).over(w) / block))
+    return placed.filter(is_spread(F.floor(F.col("__at") / block), F.col("__n"), cap)).drop("__at", "__n")
+
+
+def is_spread(index: Column, count: Column, most: int) -> Column:
+    """Whether an index is among ``most`` evenly spaced ones of 0..count-1, as ``spread_positions`` rounds."""
+    if most == 1:
+        return F.when(count > 1, index == F.floor(count / 2)).otherwise(True)
+    step = (count - 1) / F.lit(most - 1)
+    # The nearest slots to an index are those about index / step.
+    near = F.floor(index / step)
+    hit = lambda i: F.bround(i * (count - 1) / F.lit(most - 1)) == index
+    return (count <= most) | hit(near) | hit(near + 1) | hit(F.greatest(near - 1, F.lit(0)))
+
+
+def quantiles(df: DataFrame, by: list[str], value: str, probabilities: dict[str, float], accuracy: int = 10_000) -> DataFrame:
+    """Exact quantiles (linear interpolation) per key without holding a key's values in one place.
+
+    A sketch per key brackets each quantile within a share of 1 / ``accuracy``
+    of the rows; a second pass counts the rows below the bracket, and only the
+    distinct values inside it, with their counts, are sorted.  Null values take
+    no part; a key without any value has nulls.
+    """
+    rows = df.select(*by, F.col(value).cast("double").alias("__v"))
+    given = rows.filter("__v is not null")
+    margin = 2.0 / accuracy
+    names, points = list(probabilities), list(probabilities.values())
+    edges = sorted({min(1.0, max(0.0, p + s)) for p in points for s in (-margin, margin)})
+    key = [F.col(c) for c in by]
+    sketch = given.groupBy(*by).agg(F.count("__v").alias("__n"), F.min("__v").alias("__min"), F.max("__v").alias("__max"), F.percentile_approx("__v", edges, accuracy).alias("__e"))
+    edge = lambda p, s, end: F.when(F.lit(0 < p + s < 1), F.col("__e")[edges.index(min(1.0, max(0.0, p + s)))]).otherwise(F.col(end))
+    brackets = sketch.select(*by, "__n", F.explode(F.array(*[F.struct(F.lit(n).alias("q"), F.lit(float(p)).alias("p"), edge(p, -margin, "__min").alias("lo"), edge(p, margin, "__max").alias("hi")) for n, p in zip(names, points, strict=True)])).alias("b")).select(*by, "__n", "b.*")
+    if by:
+        right = brackets.select(*[F.col(c).alias(f"__{c}") for c in by], "__n", "q", "p", "lo", "hi")
+        same = F.lit(True)
+        for c in by:
+            same &= F.col(c).eqNullSafe(F.col(f"__{c}"))
+        joined = given.join(right, same).drop(*[f"__{c}" for c in by])
+    else:
+        joined = given.crossJoin(F.broadcast(brackets))
+    outside = F.when(F.col("__v") < F.col("lo"), F.lit(None).cast("double")).otherwise(F.col("__v"))
+    counted = joined.filter("__v <= hi").groupBy(*by, "q", "p", "__n", outside.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    # Values below the bracket are the one null row, which sorts first.
+    upto = F.sum("__c").over(Window.partitionBy(*by, "q").orderBy(F.col("__v").asc_nulls_first()))
+    at = (F.col("__n") - 1) * F.col("p")
+    ranked = counted.withColumn("__u", upto).withColumn("__lo", F.floor(at)).withColumn("__hi", F.ceil(at)).filter("__v is not null")
+    holds = lambda rank: F.min(F.when(F.col("__u") > F.col(rank), F.col("__v")))
+    found = ranked.groupBy(*by, "q").agg(holds("__lo").alias("a"), holds("__hi").alias("b"), F.first("__n").alias("__n"), F.first("p").alias("p"))
+    share = (F.col("__n") - 1) * F.col("p") - F.floor((F.col("__n") - 1) * F.col("p"))
+    wide = found.groupBy(*by).agg(*[F.max(F.when(F.col("q") == n, F.col("a") + (F.col("b") - F.col("a")) * share)).alias(n) for n in names])
+    keys = rows.groupBy(*by).agg(F.count("__v").alias("n"))
+    if not by:
+        return keys.crossJoin(F.broadcast(wide))
+    right = wide.select(*[F.col(c).alias(f"__{c}") for c in by], *names)
+    same = F.lit(True)
+    for c in by:
+        same &= F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return keys.join(right, same, "left").select(*key, "n", *names)
+
+
+def weighted_median(df: DataFrame, by: list[str], value: str, weight: str, name: str = "median") -> DataFrame:
+    """Median of values that stand for ``weight`` rows each: the middle two of the counted order, averaged."""
+    w = Window.partitionBy(*by)
+    ran = df.filter(F.col(weight) > 0).withColumn("__u", F.sum(weight).over(w.orderBy(value).rangeBetween(Window.unboundedPreceding, 0))).withColumn("__n", F.sum(weight).over(w))
+    holds = lambda rank: F.min(F.when(F.col("__u") > rank, F.col(value)))
+    return ran.groupBy(*by).agg(((holds(F.floor((F.col("__n") - 1) / 2)) + holds(F.floor(F.col("__n") / 2))) / 2).alias(name), F.sum(weight).alias("n"))
+
+
+def locus_ratio(depth: DataFrame, by: list[str], kind: str, value: str, threshold: float = 1.5, calibration: Column | None = None) -> DataFrame:
     """Median depth of each locus over the backbone's median, with MAD and call.
 
     ``kind`` is null for backbone rows.  The backbone's statistics join every
-    locus of their key, which is one row per key.
+    locus of their key, which is one row per key.  The call is that of the
+    ratio itself; where an interval is at hand, ``copy_number.depth_ratio``
+    calls by its low bound.
     """
     base = robust(depth.filter(F.col(kind).isNull()), by, value).select(*by, F.col("median").alias("backbone_median"), F.col("mad").alias("backbone_mad"), F.col("n").alias("backbone_n"))
     locus = depth.filter(F.col(kind).isNotNull()).groupBy(*by, kind).agg(F.median(value).alias("locus_median"), F.count(F.lit(1)).alias("locus_n"))
     joined = locus.join(base, by, "left") if by else locus.crossJoin(F.broadcast(base))
     ratio = F.when(F.col("backbone_median") > 0, F.col("locus_median") / F.col("backbone_median"))
-    call = F.when(ratio.isNull(), "DEPTH_INDETERMINATE").when(ratio > threshold, "MULTICOPY").otherwise("SINGLE")
-    return joined.withColumn("ratio", ratio).withColumn("depth_call", call)
+    return joined.withColumn("ratio", ratio).withColumn("depth_call", depth_call(ratio, F.col("backbone_median"), call_threshold(threshold, calibration)["value"]))

@@ -56,7 +56,7 @@ def spans(spark: SparkSession, d: str) -> DataFrame:
     """WITH e AS (SELECT event_type, CAST(floor(epoch(ts) / 3600) AS BIGINT) AS hour, value FROM events), per AS (SELECT event_type, hour, sum(value) AS depth FROM e GROUP BY 1, 2),
     b AS (SELECT median(depth) AS m, count(*) AS n FROM per WHERE event_type NOT IN ('purchase', 'click')), mad AS (SELECT median(abs(depth - m)) AS mad FROM per, b WHERE event_type NOT IN ('purchase', 'click')),
     l AS (SELECT event_type, median(depth) AS m, count(*) AS n FROM per WHERE event_type IN ('purchase', 'click') GROUP BY 1)
-    SELECT event_type, l.m AS locus_median, l.n AS locus_n, b.m AS backbone_median, mad.mad AS backbone_mad, b.n AS backbone_n, l.m / b.m AS ratio, CASE WHEN l.m / b.m > 1.5 THEN 'MULTICOPY' ELSE 'SINGLE' END AS depth_call FROM l, b, mad"""
+    SELECT event_type, l.m AS locus_median, l.n AS locus_n, b.m AS backbone_median, mad.mad AS backbone_mad, b.n AS backbone_n, l.m / b.m AS ratio, CASE WHEN l.m / b.m > 1.5 THEN 'MULTICOPY_DEPTH' ELSE 'SINGLE_COPY_COMPATIBLE' END AS depth_call FROM l, b, mad"""
 )
 def depth_ratio(spark: SparkSession, d: str) -> DataFrame:
     """Hourly value sums of two event types over the median of the others."""

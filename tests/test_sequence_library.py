@@ -70,10 +70,6 @@ def test_decisions(spark):
     df = spark.createDataFrame([(50.0, 99.5, 1.0), (4.0, 99.5, 1.0), (15.0, 99.5, 1.0), (15.0, 98.0, 2.5)], "mean_depth double, breadth double, ratio double")
     tiers = [r[0] for r in df.select(decisions.tier(decisions.graded_flags(["mean_depth", "breadth"]), F.col("ratio"))).collect()]
     assert tiers == ["HIGH", "SUSPECT", "MEDIUM", "LOW"]
-    rows = [(3, 3, "MULTICOPY", 3.1, 2.8, 3.3, True), (1, 1, "SINGLE", 1.0, 0.9, 1.1, True), (1, 1, "MULTICOPY", 2.0, 1.8, 2.2, True), (2, 2, "SINGLE", 1.0, 0.9, 1.1, True), (None, 2, "MULTICOPY", 2.0, 1.8, 2.2, True), (None, None, "DEPTH_INDETERMINATE", None, None, None, True)]
-    df = spark.createDataFrame(rows, "e int, l int, c string, d double, lo double, hi double, r boolean")
-    got = [r[0].status for r in df.select(decisions.consensus(*(F.col(x) for x in ("e", "l", "c", "d", "lo", "hi", "r")))).collect()]
-    assert got == ["SUPPORTED", "SUPPORTED", "DEPTH_TANDEM_COMPATIBLE", "EVIDENCE_CONFLICT", "LOWER_BOUND", "INDETERMINATE"]
 
 
 def test_readers_and_writers(spark, tmp_path):
