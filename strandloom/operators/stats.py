@@ -150,9 +150,10 @@ def is_spread(index: Column, count: Column, most: int) -> Column:
 def quantiles(df: DataFrame, by: list[str], value: str, probabilities: dict[str, float], accuracy: int = 10_000) -> DataFrame:
     """Exact quantiles (linear interpolation) per key without holding a key's values in one place.
 
-    A sketch per key brackets each quantile within a share of 1 / ``accuracy``
-    of the rows; a second pass counts the rows below the bracket, and only the
-    distinct values inside it, with their counts, are sorted.  Null values take
+    A sketch per key of at least 2 ``accuracy`` rows brackets each quantile
+    within a share of 4 / ``accuracy`` of them; a second pass counts the rows
+    below the bracket, and only the distinct values inside it, with their
+    counts, are sorted.  Null values take
     no part; a key without any value has nulls.
     """
     rows = df.select(*by, F.col(value).cast("double").alias("__v"))
@@ -162,7 +163,8 @@ def quantiles(df: DataFrame, by: list[str], value: str, probabilities: dict[str,
     edges = sorted({min(1.0, max(0.0, p + s)) for p in points for s in (-margin, margin)})
     key = [F.col(c) for c in by]
     sketch = given.groupBy(*by).agg(F.count("__v").alias("__n"), F.min("__v").alias("__min"), F.max("__v").alias("__max"), F.percentile_approx("__v", edges, accuracy).alias("__e"))
-    edge = lambda p, s, end: F.when(F.lit(0 < p + s < 1), F.col("__e")[edges.index(min(1.0, max(0.0, p + s)))]).otherwise(F.col(end))
+    # Two rows on either side must fit into the margin beside the sketch's error; smaller keys are sorted whole.
+    edge = lambda p, s, end: F.when(F.lit(0 < p + s < 1) & (F.col("__n") >= 2 * accuracy), F.col("__e")[edges.index(min(1.0, max(0.0, p + s)))]).otherwise(F.col(end))
     brackets = sketch.select(*by, "__n", F.explode(F.array(*[F.struct(F.lit(n).alias("q"), F.lit(float(p)).alias("p"), edge(p, -margin, "__min").alias("lo"), edge(p, margin, "__max").alias("hi")) for n, p in zip(names, points, strict=True)])).alias("b")).select(*by, "__n", "b.*")
     if by:
         right = brackets.select(*[F.col(c).alias(f"__{c}") for c in by], "__n", "q", "p", "lo", "hi")
