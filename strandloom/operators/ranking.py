@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,25 +34,75 @@ def collapse(df: DataFrame, by: list[str], start: str, end: str, rank: list[str]
 
 
 def suppress_overlaps(df: DataFrame, by: list[str], start: str, end: str, order: list[str], share: float = 0.0) -> DataFrame:
-    """Keep rows in ``order`` (descending, then by start) that overlap no kept row by more than ``share`` of the shorter.
+    """Keep rows in ``order`` (descending, then by start and end) that overlap no kept row by more than ``share`` of the shorter.
 
     The choice depends on what was kept before, but only among rows that a
-    chain of overlaps connects, so each island of a key is walked in a task of
-    its own and not the whole key.
+    chain of overlaps connects.  Each task walks its keys in order of start and
+    holds one such island at a time, whatever the size of a key.
     """
     names = df.columns
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        ranked = pdf.sort_values([*order, start, end], ascending=[False] * len(order) + [True, True], kind="stable")
-        a, b = ranked[start].to_numpy(), ranked[end].to_numpy()
-        take: list[int] = []
-        for i in range(len(ranked)):
-            shared = np.minimum(b[i], b[take]) - np.maximum(a[i], a[take]) + 1
-            if (np.maximum(shared, 0) <= share * np.minimum(b[i] - a[i] + 1, b[take] - a[take] + 1)).all():
+    sorted_ = df.repartition(*by).sortWithinPartitions(*by, start, end)
+
+    def islands(pdf: pd.DataFrame) -> np.ndarray:
+        keys = pdf[by]
+        fresh = (keys.ne(keys.shift()) & ~(keys.isna() & keys.shift().isna())).any(axis=1).to_numpy(copy=True)
+        reach = None
+        for i, (a, b) in enumerate(zip(pdf[start].tolist(), pdf[end].tolist(), strict=True)):
+            if fresh[i] or reach is None or a > reach:
+                fresh[i], reach = True, b
+            elif b > reach:
+                reach = b
+        return fresh
+
+    def chosen(pdf: pd.DataFrame, fresh: np.ndarray) -> pd.DataFrame:
+        ranked = pdf.assign(__island=np.cumsum(fresh)).sort_values(["__island", *order, start, end], ascending=[True] + [False] * len(order) + [True, True], kind="stable")
+        take, here, now, kept = [], ranked["__island"].tolist(), None, _Kept(share)
+        for i, (a, b) in enumerate(zip(ranked[start].tolist(), ranked[end].tolist(), strict=True)):
+            if here[i] != now:
+                now, kept = here[i], _Kept(share)
+            if kept.add(a, b):
                 take.append(i)
         return ranked.iloc[take][names]
 
-    return with_island(df, by, start, end, 0, "__island").groupBy(*by, "__island").applyInPandas(walk, df.schema)
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest: pd.DataFrame | None = None
+        for pdf in batches:
+            held = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+            fresh = islands(held)
+            last = int(np.flatnonzero(fresh)[-1]) if len(fresh) else 0
+            # The last island may go on in the next batch.
+            rest = held.iloc[last:].reset_index(drop=True)
+            if last:
+                yield chosen(held.iloc[:last], fresh[:last])
+        if rest is not None and len(rest):
+            yield chosen(rest, islands(rest))
+
+    return sorted_.mapInPandas(walk, df.schema)
+
+
+class _Kept:
+    """Intervals kept so far; ``add`` takes one that overlaps none of them too much."""
+
+    def __init__(self, share: float) -> None:
+        self.share, self.starts, self.ends = share, [], []
+
+    def add(self, a, b) -> bool:
+        if self.share == 0:
+            # Kept intervals are disjoint, so only the neighbours can overlap.
+            at = bisect.bisect_right(self.starts, b)
+            if at and self.ends[at - 1] >= a:
+                return False
+            self.starts.insert(at, a)
+            self.ends.insert(at, b)
+            return True
+        if self.starts:
+            s, e = np.asarray(self.starts), np.asarray(self.ends)
+            shared = np.maximum(np.minimum(b, e) - np.maximum(a, s) + 1, 0)
+            if (shared > self.share * np.minimum(b - a + 1, e - s + 1)).any():
+                return False
+        self.starts.append(a)
+        self.ends.append(b)
+        return True
 
 
 def n50(df: DataFrame, by: list[str], length: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from strandloom.functions import sequence as S
 from strandloom.functions.statistics import fisher_exact
-from strandloom.operators import decisions, evaluation, intervals, ranking, simulate, stats
+from strandloom.operators import decisions, discovery, evaluation, intervals, kmers, ranking, simulate, stats
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -85,10 +85,9 @@ def composition(spark: SparkSession, d: str) -> DataFrame:
     SELECT doc_id, count(*) AS shared FROM q SEMI JOIN b USING (g) GROUP BY doc_id"""
 )
 def kmer_relatedness(spark: SparkSession, d: str) -> DataFrame:
-    """Documents that share 25-mers with the benchmark, by an equi-join of k-mers."""
+    """Documents that share 25-mers with the benchmark."""
     known = _t(spark, d, "benchmark").select(F.explode(S.kmers("text", 25)).alias("g")).distinct()
-    mine = _t(spark, d, "documents").select("doc_id", F.explode(S.kmers("text", 25)).alias("g")).distinct()
-    return mine.join(known, "g", "left_semi").groupBy("doc_id").agg(F.count(F.lit(1)).alias("shared"))
+    return kmers.known_kmers(_t(spark, d, "documents"), "doc_id", "text", known, 25).distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("shared"))
 
 
 @_query(f"WITH {_SPANS}, {_ISLANDS} SELECT k, s, e, n AS members FROM merged")
@@ -128,11 +127,12 @@ def positions_inside_spans(spark: SparkSession, d: str) -> DataFrame:
     return intervals.range_join(e, x, ["user_id"], "at", "a", "b", 86_400_000_000, "left_semi")
 
 
-@_query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity >= 49 AND l_returnflag = 'R')")
+@_query("SELECT l_orderkey AS qname, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_partkey < 40 AND l_partkey + 5 > 20)")
 def mate_rescue(spark: SparkSession, d: str) -> DataFrame:
-    """Every line of the orders that hold a seed line."""
-    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
-    return li.drop("l_returnflag").join(li.filter("l_quantity >= 49 and l_returnflag = 'R'").select("l_orderkey").distinct(), "l_orderkey", "left_semi")
+    """Every line of the orders that hold a line whose place touches a region; orders are reads, parts are places."""
+    li = _t(spark, d, "lineitem").select(F.lit(1).alias("sample"), F.col("l_returnflag").alias("contig"), F.col("l_orderkey").alias("qname"), "l_linenumber", "l_quantity", F.col("l_partkey").cast("long").alias("start"), (F.col("l_partkey") + 5).cast("long").alias("end"))
+    regions = spark.createDataFrame([(1, "R", 20, 40)], "sample int, contig string, start long, end long")
+    return discovery.rescued(li, discovery.seed_reads(li, regions, ["sample"], 100), ["sample"]).select("qname", "l_linenumber", "l_quantity")
 
 
 @_query(
@@ -258,28 +258,50 @@ def tiling(spark: SparkSession, d: str) -> DataFrame:
     return s.select("s_suppkey", (F.col("pos") + 1).cast("long").alias("tile"), "col.start", F.col("col.end").alias("stop"))
 
 
-@_query("SELECT 'a' || CAST(l_suppkey AS VARCHAR) AS class, count(*) FILTER (l_discount > 0.05) AS k, count(*) AS n FROM lineitem GROUP BY 1 UNION ALL SELECT NULL, count(*) FILTER (l_discount > 0.05), count(*) FROM lineitem")
+_TAIL = "list_sum(list_transform(range({a}, {b}), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(mid) + (n - i) * ln(1 - mid))))"
+#: Bounds of k of n by halving, until the tail beyond k has a probability of 0.025.
+_BOUNDS = f"""start AS (SELECT g, k, n, side, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi, 0 AS step FROM counts, (VALUES ('low'), ('high')) AS s(side) WHERE CASE side WHEN 'low' THEN k > 0 ELSE k < n END),
+    halved AS (SELECT * FROM start UNION ALL SELECT g, k, n, side, CASE WHEN up THEN mid ELSE lo END, CASE WHEN up THEN hi ELSE mid END, step + 1 FROM (SELECT *, CASE side WHEN 'low' THEN {_TAIL.format(a="k", b="n + 1")} < 0.025 ELSE {_TAIL.format(a="0", b="k + 1")} > 0.025 END AS up FROM (SELECT *, (lo + hi) / 2 AS mid FROM halved WHERE step < 32))),
+    bounds AS (SELECT g, max(lo) FILTER (side = 'low') AS low, max(lo) FILTER (side = 'high') AS high FROM halved WHERE step = 32 GROUP BY g)
+    SELECT counts.g AS {{name}}, k, n, k / n AS share, round(coalesce(low, 0.0), 6) AS low, round(coalesce(high, 1.0), 6) AS high FROM counts LEFT JOIN bounds ON counts.g IS NOT DISTINCT FROM bounds.g"""
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.round(c, 6) for c in ("low", "high")})
+
+
+@_query("WITH RECURSIVE counts AS (SELECT 'a' || CAST(l_suppkey AS VARCHAR) AS g, count(*) FILTER (l_discount > 0.05) AS k, count(*) AS n FROM lineitem GROUP BY 1 UNION ALL SELECT NULL, count(*) FILTER (l_discount > 0.05), count(*) FROM lineitem), " + _BOUNDS.format(name="class"))
 def grouped_acceptance(spark: SparkSession, d: str) -> DataFrame:
+    """Shares of lines with a discount per supplier and over all, with exact bounds."""
     li = _t(spark, d, "lineitem").select(F.concat(F.lit("a"), F.col("l_suppkey").cast("string")).alias("class"), (F.col("l_discount") > 0.05).alias("ok"))
-    return stats.proportions(li, "class", "ok").select("class", "k", "n")
+    return _rounded(stats.proportions(li, "class", "ok"))
 
 
-@_query()
+@_query("WITH RECURSIVE j AS (SELECT source, quality = 1 AS ok FROM documents JOIN labels USING (doc_id)), counts AS (SELECT source AS g, count(*) FILTER (ok) AS k, count(*) AS n FROM j GROUP BY 1 UNION ALL SELECT NULL, count(*) FILTER (ok), count(*) FROM j), " + _BOUNDS.format(name="source"))
 def acceptance_bounds(spark: SparkSession, d: str) -> DataFrame:
     """Proportions of labelled documents per source with exact bounds."""
     j = _t(spark, d, "documents").select("doc_id", "source").join(_t(spark, d, "labels"), "doc_id")
-    return stats.proportions(j.select("source", (F.col("quality") == 1).alias("ok")), "source", "ok")
+    return _rounded(stats.proportions(j.select("source", (F.col("quality") == 1).alias("ok")), "source", "ok"))
 
 
-@_query()
+@_query(
+    f"""WITH RECURSIVE {_SPANS}, o AS (SELECT k, s, e, row_number() OVER (PARTITION BY k ORDER BY e DESC, s) AS n FROM spans),
+    w AS (SELECT k, s, e, n, [{{'s': s, 'e': e}}] AS kept, true AS taken FROM o WHERE n = 1
+    UNION ALL SELECT k, s, e, n, CASE WHEN free THEN list_append(kept, {{'s': s, 'e': e}}) ELSE kept END, free FROM (SELECT o.*, w.kept, len(list_filter(w.kept, lambda x: x.s <= o.e AND o.s <= x.e)) = 0 AS free FROM w JOIN o ON o.k = w.k AND o.n = w.n + 1))
+    SELECT k, s, e FROM w WHERE taken"""
+)
 def greedy_suppression(spark: SparkSession, d: str) -> DataFrame:
+    """Spans of each customer, latest end first, that overlap none taken before."""
     return ranking.suppress_overlaps(spans(spark, d), ["k"], "s", "e", ["e"])
 
 
 @_query()
 def bootstrap_interval(spark: SparkSession, d: str) -> DataFrame:
-    e = _t(spark, d, "events").groupBy(F.floor(F.col("user_id") / 50).alias("g")).agg(F.sort_array(F.collect_list(F.when(F.col("event_type") == "click", F.struct("event_id", "value")))).alias("a"), F.sort_array(F.collect_list(F.when(F.col("event_type") != "click", F.struct("event_id", "value")))).alias("b"))
-    return stats.bootstrap_ratio(e.select("g", F.col("a.value").alias("locus"), F.col("b.value").alias("backbone")), ["g"], "locus", "backbone")
+    """Clicks' values over the others' per group of users; of the others only the blocks that are drawn are collected."""
+    e = _t(spark, d, "events").select(F.floor(F.col("user_id") / 50).alias("g"), "event_id", "value", (F.col("event_type") == "click").alias("click"))
+    listed = lambda df, name: df.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("event_id", "value"))).alias(name)).select("g", F.col(f"{name}.value").alias(name))
+    backbone = listed(stats.thin_blocks(e.filter("not click"), ["g"], ["event_id"]), "backbone")
+    return stats.bootstrap_ratio(backbone.join(listed(e.filter("click"), "locus"), "g", "left"), ["g"], "locus", "backbone")
 
 
 def _labelled(spark: SparkSession, d: str) -> DataFrame:
@@ -361,13 +383,13 @@ def estimate_spread(spark: SparkSession, d: str) -> DataFrame:
 
 
 @_query(
-    """WITH c AS (SELECT l_partkey, CAST(floor(l_quantity / 26) AS BIGINT) AS half, count(*) AS n, max(l_extendedprice) AS i FROM lineitem GROUP BY 1, 2), g AS (SELECT count(DISTINCT CAST(floor(l_quantity / 26) AS BIGINT)) AS g FROM lineitem)
-    SELECT l_partkey, count(*) AS genomes, avg(i) AS mean_identity, min(i) AS min_identity, max(i) AS max_identity FROM c GROUP BY 1 HAVING bool_and(n = 1) AND count(*) = (SELECT g FROM g)"""
+    """WITH c AS (SELECT l_orderkey, l_returnflag, count(*) AS n, max(l_extendedprice) AS i FROM lineitem WHERE l_returnflag IN ('A', 'R') GROUP BY 1, 2)
+    SELECT l_orderkey, count(*) AS genomes, avg(i) AS mean_identity, min(i) AS min_identity, max(i) AS max_identity FROM c GROUP BY 1 HAVING bool_and(n = 1) AND count(*) = 2"""
 )
 def single_copy_units(spark: SparkSession, d: str) -> DataFrame:
-    """Parts with exactly one line in each of the halves of the quantities."""
-    li = _t(spark, d, "lineitem").select("l_partkey", F.floor(F.col("l_quantity") / 26).alias("half"), "l_extendedprice")
-    return evaluation.single_copy(li, "l_partkey", "half", "l_extendedprice")
+    """Orders with exactly one line that was accepted and one that was returned."""
+    li = _t(spark, d, "lineitem").filter(F.col("l_returnflag").isin("A", "R")).select("l_orderkey", "l_returnflag", "l_extendedprice")
+    return evaluation.single_copy(li, "l_orderkey", "l_returnflag", "l_extendedprice")
 
 
 @_query(
@@ -430,10 +452,10 @@ def run_manifest(spark: SparkSession, d: str) -> DataFrame:
 )
 def unrelated_records(spark: SparkSession, d: str) -> DataFrame:
     """Benchmark items that share no 25-mer with any document."""
-    b, q = _t(spark, d, "benchmark"), _t(spark, d, "documents")
+    b = _t(spark, d, "benchmark")
     wanted = b.select("item_id", F.explode(S.kmers("text", 25)).alias("g"))
-    related = wanted.join(q.select(F.explode(S.kmers("text", 25)).alias("g")), "g", "left_semi").select("item_id").distinct()
-    return b.select("item_id").join(related, "item_id", "left_anti")
+    met = kmers.known_kmers(_t(spark, d, "documents"), "doc_id", "text", wanted.select("g").distinct(), 25).select("g").distinct()
+    return b.select("item_id").join(wanted.join(met, "g", "left_semi").select("item_id").distinct(), "item_id", "left_anti")
 
 
 @_query()
