@@ -11,7 +11,7 @@ Tables, with ``by`` for the columns that name a sample:
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -22,6 +22,7 @@ from strandloom.operators.decisions import call_threshold, depth_call, dosage_st
 from strandloom.operators.stats import Blocks, dosage_draws, is_spread, percentile_bounds, ratio_draws, weighted_median
 
 BIN = 10_000
+Keep = Callable[[str, DataFrame], DataFrame]
 
 
 def backbone_positions(depth: DataFrame, contigs: DataFrame, excluded: DataFrame | None, by: list[str], min_contig: int = 5000, trim: int = 100, without: list[str] | None = None) -> DataFrame:
@@ -89,7 +90,7 @@ def _subtracted(pool: DataFrame, removed: DataFrame, by: list[str], key: list[st
 
 def depth_ratio(
     depth: DataFrame, contigs: DataFrame, regions: DataFrame, targets: DataFrame, by: list[str], excluded: DataFrame | None = None, *,
-    min_contig: int = 5000, trim: int = 100, block: int = 500, resamples: int = 1000, seed: int = 20260817, cap: int = 512, threshold: float = 1.5, calibration: str | None = None, ambiguity_warn: float = 0.70, alpha: float = 0.05,
+    min_contig: int = 5000, trim: int = 100, block: int = 500, resamples: int = 1000, seed: int = 20260817, cap: int = 512, threshold: float = 1.5, calibration: str | None = None, ambiguity_warn: float = 0.70, alpha: float = 0.05, keep: Keep | None = None,
 ) -> DataFrame:
     """One row per target: ratio of median depths with a block-bootstrap interval, dosage with bracket and interval, status, flags and call.
 
@@ -99,28 +100,32 @@ def depth_ratio(
     bootstrap reads only the ``cap`` evenly spaced blocks that it draws from.
     ``calibration`` names a column of ``targets``.  A target without depth rows
     has depth 0; one without a backbone is DEPTH_INDETERMINATE with ratio 0.
-    Notes are codes.
+    Notes are codes.  ``keep(name, df)`` may store the rows that are read more
+    than once (the backbone in its order, the regions' rows); without it they
+    are computed again each time.
     """
+    kept = keep or (lambda _, df: df)
     key = [*by, "target"]
     place = F.col("ord") if "ord" in contigs.columns else F.col("contig")
     sized = regions.join(contigs.select(*by, "contig", "length", place.alias("__ord")), [*by, "contig"], "left")
     open_ended = sized.withColumn("start", F.coalesce("start", F.lit(1)).cast("long")).withColumn("end", F.coalesce("end", "length").cast("long"))
     located = open_ended.select(*key, "region", "contig", "start", "end").filter("end >= start")
-    inside = intervals.range_join(depth, located, [*by, "contig"], "pos", "start", "end", BIN)
+    inside = kept("inside", intervals.range_join(depth, located, [*by, "contig"], "pos", "start", "end", BIN).select(*key, "region", "pos", "depth", "depth_raw"))
 
     # Regions: medians, raw medians, and the depths in order for the bootstrap; a locus is as long as its gene.
-    per_region = inside.groupBy(*key, "region").agg(F.median("depth").alias("median"), F.transform(F.sort_array(F.collect_list(F.struct("pos", "depth"))), lambda x: x["depth"].cast("double")).alias("depths"))
+    per_region = kept("regions", inside.groupBy(*key, "region").agg(F.median("depth").alias("median"), F.transform(F.sort_array(F.collect_list(F.struct("pos", "depth"))), lambda x: x["depth"].cast("double")).alias("depths")))
     per_target = inside.groupBy(*key).agg(F.median("depth").alias("locus_median"), F.median("depth_raw").alias("locus_raw"), F.count(F.lit(1)).alias("locus_n"))
 
     pool = backbone_positions(depth, contigs, excluded, by, min_contig, trim)
     order = contigs.select(*by, "contig", place.alias("__ord"))
     ranked = pool.join(order, [*by, "contig"]).withColumn("__at", F.row_number().over(Window.partitionBy(*by).orderBy("__ord", "contig", "pos")).cast("long") - 1)
+    ranked = kept("backbone", ranked.select(*by, "contig", "pos", "depth", "__at"))
     merged = intervals.merge(located, [*key, "contig"], "start", "end")
     removed = intervals.range_join(ranked, merged.select(*key, "contig", "start", "end"), [*by, "contig"], "pos", "start", "end", BIN)
-    counts = _subtracted(pool, removed, by, key, targets)
+    counts = kept("counts", _subtracted(ranked, removed, by, key, targets))
     middle = weighted_median(counts, key, "depth", "n", "backbone_median")
     away = counts.join(middle.select(*key, "backbone_median"), key).withColumn("away", F.abs(F.col("depth") - F.col("backbone_median"))).groupBy(*key, "away").agg(F.sum("n").alias("n"))
-    backbone = middle.withColumnRenamed("n", "backbone_n").join(weighted_median(away, key, "away", "n", "backbone_mad").drop("n"), key)
+    backbone = kept("middle", middle.withColumnRenamed("n", "backbone_n").join(weighted_median(away, key, "away", "n", "backbone_mad").drop("n"), key))
 
     # Blocks count a target's own backbone, so the places of its regions are skipped.
     gaps = removed.groupBy(*key, "contig", "start").agg(F.min("__at").alias("a"), F.max("__at").alias("b"))

@@ -290,3 +290,24 @@ def locate(genomes: DataFrame, loci: DataFrame, by: list[str], genome: str = "ge
 def first_in_window(df: DataFrame, by: list[str], *order: Column, most: int) -> DataFrame:
     """The first ``most`` rows of each key."""
     return df.withColumn("__n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("__n") <= most).drop("__n")
+
+
+def exactness(candidates: DataFrame, truths: DataFrame, by: list[str], seq: str = "seq") -> DataFrame:
+    """Every candidate with ``exact``: whether a truth of its key is the same bases on either strand."""
+    s = F.upper(seq)
+    known = truths.select(*by, F.least(s, S.reverse_complement(s)).alias("__c")).distinct().withColumn("exact", F.lit(True))
+    return candidates.withColumn("__c", F.least(s, S.reverse_complement(s))).join(known, [*by, "__c"], "left").drop("__c").na.fill(False, ["exact"])
+
+
+def frame_grid(records: DataFrame, seq: str = "seq") -> DataFrame:
+    """Each sequence as given and turned: orientation, stops, frame; the fewest stops do not depend on the strand it came in."""
+    both = F.explode(F.array(F.struct(F.lit("given").alias("orientation"), F.upper(seq).alias("__s")), F.struct(F.lit("turned").alias("orientation"), F.upper(S.reverse_complement(seq)).alias("__s"))))
+    out = records.withColumn("__x", both).withColumn("__f", S.six_frame_stops("__x.__s"))
+    return out.withColumns({"orientation": F.col("__x.orientation"), "stops": F.col("__f.stops"), "frame": F.col("__f.frame")}).drop("__x", "__f")
+
+
+def interpretation(result: str = "dosage_estimate", call: str = "depth_call", status: str = "dosage_status") -> Column:
+    """One sentence on a depth result."""
+    what = F.when(F.col(call) == "MULTICOPY_DEPTH", "more than one copy is supported").when(F.col(call) == "SINGLE_COPY_COMPATIBLE", "compatible with a single copy").otherwise("no statement on copies")
+    value = F.when(F.col(result).isNotNull(), F.format_string("dosage %.3f", F.col(result).cast("double"))).otherwise("no dosage")
+    return F.concat(what, F.lit("; "), value, F.lit(" ("), F.coalesce(status, F.lit("NOT_ESTIMATED")), F.lit(")"))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandloom.functions.sequence import reverse_complement, seed_for
+from strandloom.operators.intervals import merge
 
 _WHOLE = 1 << 32
 
@@ -81,3 +82,20 @@ def mixture(first: DataFrame, second: DataFrame, name: str, share_of_second: flo
     """Rows of two read sets, the second's at a share of all it has and the first's at the rest, marked by origin."""
     a = subsample(first.withColumn("origin", F.lit("A")), name, 1 - share_of_second, seed)
     return a.unionByName(subsample(second.withColumn("origin", F.lit("B")), name, share_of_second, seed + 1))
+
+
+def cut_out(sequences: DataFrame, removals: DataFrame, by: list[str], seq_id: str = "seq_id", seq: str = "seq") -> DataFrame:
+    """What is left of sequences when intervals (by, seq_id, start, end; 1-based, inclusive) are taken out: one row a piece, numbered.
+
+    Intervals may overlap, touch or reach beyond the ends; a sequence without
+    any is one piece, one that is covered whole has none.
+    """
+    key = [*by, seq_id]
+    merged = merge(removals.select(*key, "start", "end"), key, "start", "end").groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__cuts"))
+    j = sequences.join(merged, key, "left").withColumn("__cuts", F.coalesce("__cuts", F.array().cast(merged.schema["__cuts"].dataType)))
+    size = F.length(seq).cast("long")
+    firsts = F.concat(F.array(F.lit(1).cast("long")), F.transform("__cuts", lambda c: c["end"].cast("long") + 1))
+    lasts = F.concat(F.transform("__cuts", lambda c: c["start"].cast("long") - 1), F.array(size))
+    parts = F.filter(F.transform(F.arrays_zip(firsts.alias("a"), lasts.alias("b")), lambda p: F.struct(F.greatest(p["a"], F.lit(1)).alias("a"), F.least(p["b"], size).alias("b"))), lambda p: p["b"] >= p["a"])
+    out = j.select(*key, seq, F.posexplode(parts).alias("piece", "__p"))
+    return out.select(*key, (F.col("piece") + 1).alias("piece"), F.col("__p.a").alias("start"), F.col("__p.b").alias("end"), F.substr(F.col(seq), F.col("__p.a").cast("int"), (F.col("__p.b") - F.col("__p.a") + 1).cast("int")).alias(seq))

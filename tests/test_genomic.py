@@ -2,16 +2,19 @@
 
 import pytest
 
-from strandloom.plans import genomic
+from strandloom.plans import genomic, scores, truth
 from tests.test_relational import con, plain  # noqa: F401
 
 
-@pytest.mark.parametrize("name", sorted(genomic.QUERIES))
+ALL, SQL = genomic.QUERIES | scores.QUERIES | truth.QUERIES, genomic.SQL | scores.SQL | truth.SQL
+
+
+@pytest.mark.parametrize("name", sorted(ALL))
 def test_query(spark, con, sf_dir, name):  # noqa: F811
-    df = genomic.QUERIES[name](spark, sf_dir)
+    df = ALL[name](spark, sf_dir)
     columns = sorted(df.columns)
     got = sorted((tuple(plain(r[c]) for c in columns) for r in df.collect()), key=str)
-    result = con.execute(genomic.SQL[name])
+    result = con.execute(SQL[name])
     names = [d[0] for d in result.description]
     assert sorted(names) == columns
     at = [names.index(c) for c in columns]

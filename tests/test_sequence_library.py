@@ -1,4 +1,6 @@
 import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from strandloom.functions import sequence as S
@@ -19,7 +21,10 @@ def test_scalars(spark):
     assert sorted(one(spark, S.kmers("s", 2), s="AAAC")) == ["AA", "AC"]
     assert one(spark, S.kmers("s", 9), s="AAAC") == []
     assert [tuple(r) for r in one(spark, S.interior_runs("s"), s="NNACNNNGTNAN")] == [(5, 7), (10, 10)]
-    assert tuple(one(spark, S.parse_region("s"), s="c:1:5-9")) == ("c:1", 5, 9)
+    assert tuple(one(spark, S.parse_region("s"), s="c_1:5-9")) == ("c_1", 5, 9) and tuple(one(spark, S.parse_region("s"), s="chr|x 2")) == ("chr|x 2", None, None)
+    for wrong in ("c:1:5-9", "c:1,000-2,000", "c:5", ":5-9", "c:-9", ""):
+        with pytest.raises((PySparkException, Py4JJavaError)):
+            one(spark, S.parse_region("s"), s=wrong)
     assert one(spark, S.mean_phred("s"), s="!+5") == pytest.approx(10.0)
     assert one(spark, S.flag_names("s"), s="LOW_COVERAGE (x; y); GC_SHIFT (3)") == ["LOW_COVERAGE", "GC_SHIFT"]
     assert tuple(one(spark, S.measured_interval("s"), s="10 (+/-2)")) == (10.0, 8.0, 12.0)
@@ -36,10 +41,10 @@ def test_query_span_on_both_strands(spark):
 
 def test_pileup_and_fisher(spark):
     assert _fisher(1, 9, 11, 3) == pytest.approx(0.00275946, abs=1e-8)
-    found = {a: (f, r) for a, f, r, _ in alleles("^F.,Aa$+2tt,-1c", "C")}
+    found = {a: (f, r) for a, f, r, _ in alleles("^F.,Aa$+2tt,-1c", "C")[0]}
     assert found == {"C": (1, 2), "A": (1, 1), "+TT": (0, 1), "-C": (0, 1)}
     df = spark.createDataFrame([("..,T", "g")], ["b", "r"]).select(pileup_alleles("b", "r").alias("x"))
-    assert [tuple(x) for x in df.first().x] == [("G", 2, 1, 0), ("T", 1, 0, 1)]
+    assert [tuple(x) for x in df.first().x.alleles] == [("G", 2, 1, 0), ("T", 1, 0, 1)] and df.first().x.observations == 4
 
 
 def test_intervals_and_ranking(spark):
