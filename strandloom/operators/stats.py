@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -15,12 +16,21 @@ from strandloom.operators.decisions import call_threshold, depth_call
 from strandloom.operators.ranking import spread_positions
 
 
+def _same_key(left: DataFrame, right: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
+    """Join on keys where null equals null; without keys the right side is one row."""
+    if not by:
+        return left.crossJoin(F.broadcast(right))
+    named = right.select(*[F.col(c).alias(f"__k_{c}") for c in by], *[c for c in right.columns if c not in by])
+    same = reduce(lambda x, y: x & y, (F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in by))
+    return left.join(named, same, how).drop(*[f"__k_{c}" for c in by])
+
+
 def robust(df: DataFrame, by: list[str], value: str) -> DataFrame:
-    """n, median, MAD and quartiles per key: the median joins back once for the deviations."""
-    centre = df.groupBy(*by).agg(F.median(value).alias("median"), F.percentile(value, F.lit(0.25)).alias("q1"), F.percentile(value, F.lit(0.75)).alias("q3"), F.count(value).alias("n"))
-    near = centre.select(*by, "median")
-    mad = (df.join(near, by) if by else df.crossJoin(F.broadcast(near))).groupBy(*by).agg(F.median(F.abs(F.col(value) - F.col("median"))).alias("mad"))
-    return (centre.join(mad, by) if by else centre.crossJoin(mad)).withColumn("iqr", F.col("q3") - F.col("q1"))
+    """n, median, quartiles, their difference and MAD per key, exact and without a key's values in one place; null values take no part."""
+    centre = quantiles(df, by, value, {"median": 0.5, "q1": 0.25, "q3": 0.75})
+    away = _same_key(df.select(*by, value), centre.select(*by, "median"), by).withColumn("__away", F.abs(F.col(value) - F.col("median")))
+    mad = quantiles(away, by, "__away", {"mad": 0.5}).drop("n")
+    return _same_key(centre, mad, by, "left").withColumn("iqr", F.col("q3") - F.col("q1"))
 
 
 def profile(df: DataFrame, by: list[str], length: str) -> DataFrame:
@@ -166,14 +176,7 @@ def quantiles(df: DataFrame, by: list[str], value: str, probabilities: dict[str,
     # Two rows on either side must fit into the margin beside the sketch's error; smaller keys are sorted whole.
     edge = lambda p, s, end: F.when(F.lit(0 < p + s < 1) & (F.col("__n") >= 2 * accuracy), F.col("__e")[edges.index(min(1.0, max(0.0, p + s)))]).otherwise(F.col(end))
     brackets = sketch.select(*by, "__n", F.explode(F.array(*[F.struct(F.lit(n).alias("q"), F.lit(float(p)).alias("p"), edge(p, -margin, "__min").alias("lo"), edge(p, margin, "__max").alias("hi")) for n, p in zip(names, points, strict=True)])).alias("b")).select(*by, "__n", "b.*")
-    if by:
-        right = brackets.select(*[F.col(c).alias(f"__{c}") for c in by], "__n", "q", "p", "lo", "hi")
-        same = F.lit(True)
-        for c in by:
-            same &= F.col(c).eqNullSafe(F.col(f"__{c}"))
-        joined = given.join(right, same).drop(*[f"__{c}" for c in by])
-    else:
-        joined = given.crossJoin(F.broadcast(brackets))
+    joined = _same_key(given, brackets, by)
     outside = F.when(F.col("__v") < F.col("lo"), F.lit(None).cast("double")).otherwise(F.col("__v"))
     counted = joined.filter("__v <= hi").groupBy(*by, "q", "p", "__n", outside.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
     # Values below the bracket are the one null row, which sorts first.
@@ -185,13 +188,7 @@ def quantiles(df: DataFrame, by: list[str], value: str, probabilities: dict[str,
     share = (F.col("__n") - 1) * F.col("p") - F.floor((F.col("__n") - 1) * F.col("p"))
     wide = found.groupBy(*by).agg(*[F.max(F.when(F.col("q") == n, F.col("a") + (F.col("b") - F.col("a")) * share)).alias(n) for n in names])
     keys = rows.groupBy(*by).agg(F.count("__v").alias("n"))
-    if not by:
-        return keys.crossJoin(F.broadcast(wide))
-    right = wide.select(*[F.col(c).alias(f"__{c}") for c in by], *names)
-    same = F.lit(True)
-    for c in by:
-        same &= F.col(c).eqNullSafe(F.col(f"__{c}"))
-    return keys.join(right, same, "left").select(*key, "n", *names)
+    return _same_key(keys, wide, by, "left").select(*key, "n", *names)
 
 
 def weighted_median(df: DataFrame, by: list[str], value: str, weight: str, name: str = "median") -> DataFrame:
