@@ -61,12 +61,8 @@ class Scratch:
     def keep(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.base}/{name}"
         schema = df.schema
-        before = self.spark.conf.get(_CLEANUP)
-        self.spark.conf.set(_CLEANUP, "true")
-        try:
+        with cleaned(self.spark):
             df.write.parquet(path)
-        finally:
-            self.spark.conf.set(_CLEANUP, before)
         self.paths[name] = path
         return self.spark.read.schema(schema).parquet(path)
 
@@ -84,6 +80,17 @@ class Scratch:
         self.paths.clear()
 
 
+@contextlib.contextmanager
+def cleaned(spark: SparkSession) -> Iterator[None]:
+    """Each query that runs inside deletes its shuffle files when it ends; frames made inside run as always after it."""
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 @contextlib.contextmanager
 def swept() -> Iterator[None]:
     """Delete, at the end, every scratch table made inside; write the results that are to stay before."""

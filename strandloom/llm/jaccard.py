@@ -15,8 +15,9 @@ Documents become sets of word n-grams; two link when
    is a lower bound of the symmetric difference, so nothing is lost); the rest
    are verified on whole sets, and their links give components.
 4. Members whose sets still lie in several components are expanded, but only
-   to pairs across components and of neighbouring bands of sizes, so that a
-   group of near copies never yields all its pairs.  They are verified as before; then no candidate is left that
+   to pairs across components, and at members of many sets only to pairs of
+   neighbouring bands of sizes, so that a group of near copies never yields all
+   its pairs.  They are verified as before; then no candidate is left that
    could change a component.
 """
 
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.llm import kernels as K
-from strandloom.llm.common import Scratch, ids_are_unique
+from strandloom.llm.common import Scratch, cleaned, ids_are_unique
 from strandloom.operators.components import connected_components
 
 #: Cells of the frequency sketch, in slices that are summed apart; words of the parity signature.
@@ -42,6 +43,8 @@ CELLS, SLICES, PARITY = 1 << 21, 64, 8
 WIDE, WIDE_FROM = 128, 1500
 #: Sets of one component at one member from which they count as many; document ids that may be broadcast (about 50 bytes each).
 MANY, MAX_BROADCAST = 32, 500_000
+#: Sets at one member from which they are dealt by bands of sizes too.
+HOT = 512
 
 
 def _sets(raw, offsets, size):
@@ -192,6 +195,11 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     """
     if not 1 <= percent <= 100 or size < 1:
         raise ValueError("percent must be in 1..100 and size positive")
+    with cleaned(docs.sparkSession):
+        return _components(docs, text, doc_id, size, percent)
+
+
+def _components(docs: DataFrame, text: str, doc_id: str, size: int, percent: int) -> DataFrame:
     scratch = Scratch(docs.sparkSession)
     id_type = docs.schema[doc_id].dataType
     base = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
@@ -214,6 +222,9 @@ def _classes(base: DataFrame, scratch: Scratch, size: int, percent: int) -> Data
     rank.destroy()
     full = rows.filter("n > 0")
     sets = scratch.keep("sets", full.groupBy("s1", "s2", "n").agg(F.min("doc").alias("rep"), F.first("prefix").alias("prefix"), F.first("parity").alias("parity"), F.first("wide").alias("wide")).withColumn("shape", F.xxhash64("prefix", "n")))
+    # Of every row only its set's representative is needed from here on.
+    of = scratch.keep("of", rows.select("doc", "n", "s1", "s2").join(sets.select("s1", "s2", "n", "rep"), ["s1", "s2", "n"], "left").select("doc", "n", "rep"))
+    scratch.drop("rows")
     # Groups: the head stands for all sets with its prefix and size.
     head = sets.groupBy("shape").agg(F.min("rep").alias("head"))
     info = scratch.keep("info", sets.select("rep", "s1", "n", "parity", "wide", "shape").join(head, "shape").drop("shape"))
@@ -221,6 +232,7 @@ def _classes(base: DataFrame, scratch: Scratch, size: int, percent: int) -> Data
     at = sets.select(F.explode("prefix").alias("member"), "rep")
     shared = at.groupBy("member").agg(F.min("rep").alias("x"), F.max("rep").alias("z")).filter("x < z").select("member")
     lists = scratch.keep("lists", at.join(shared, "member"))
+    scratch.drop("sets")
 
     # Heads at members, and first sets of groups: stars, not all pairs.
     heads = lists.join(info.filter("rep = head").select("rep"), "rep", "left_semi")
@@ -247,13 +259,15 @@ def _classes(base: DataFrame, scratch: Scratch, size: int, percent: int) -> Data
     # Pairs across components at members that still see several.
     label = lists.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     seen = label.groupBy("member", "component").agg(F.count(F.lit(1)).alias("k"))
-    torn = seen.groupBy("member").agg(F.min("component").alias("x"), F.max("component").alias("z")).filter("x < z").select("member")
+    torn = seen.groupBy("member").agg(F.min("component").alias("x"), F.max("component").alias("z"), (F.sum("k") > HOT).alias("hot")).filter("x < z").select("member", "hot")
     held = scratch.keep("torn", label.join(torn, "member").join(seen, ["member", "component"]).join(info.select("rep", "n", "parity"), "rep").withColumn("many", F.col("k") > MANY).drop("k"))
-    side = lambda x: held.select("member", F.col("rep").alias(x), F.col("component").alias(f"c{x}"), F.col("n").alias(f"n{x}"), F.col("parity").alias(f"p{x}"), F.col("many").alias(f"m{x}"))
-    # Sets that link lie in one band of sizes or in neighbouring ones, so that a member of very many sets is dealt by size too.
+    scratch.drop("lists")
+    side = lambda x: held.select("member", "hot", F.col("rep").alias(x), F.col("component").alias(f"c{x}"), F.col("n").alias(f"n{x}"), F.col("parity").alias(f"p{x}"), F.col("many").alias(f"m{x}"))
+    # Sets that link lie in one band of sizes or in neighbouring ones, so a member of very many sets is dealt by size too.
     band = lambda n: F.floor(F.log(F.col(n).cast("double")) / F.lit(math.log(100 / percent * 1.0001)))
-    a = side("a").withColumn("band", band("na"))
-    b = side("b").withColumnRenamed("member", "same").withColumn("near", F.explode(F.array(*[band("nb") + F.lit(k) for k in (-1, 0, 1)])))
+    one = F.lit(0).cast("long")
+    a = side("a").withColumn("band", F.when(F.col("hot"), band("na")).otherwise(one)).drop("hot")
+    b = side("b").withColumnRenamed("member", "same").withColumn("near", F.explode(F.when(F.col("hot"), F.array(*[band("nb") + F.lit(k) for k in (-1, 0, 1)])).otherwise(F.array(one)))).drop("hot")
     possible = (F.col("member") == F.col("same")) & (F.col("band") == F.col("near")) & (F.col("ca") != F.col("cb")) & _possible(percent)
     few = a.filter("not ma").join(b, possible & (F.col("mb") | (F.col("a") < F.col("b"))))
     # Two components of many sets each: their pairs are wanted, those within either are not.
@@ -262,11 +276,10 @@ def _classes(base: DataFrame, scratch: Scratch, size: int, percent: int) -> Data
     many = a.join(facing, ["member", "ca"]).join(b, possible & (F.col("other") == F.col("cb")))
     across = few.select("a", "b").unionByName(many.select("a", "b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     second = scratch.keep("second", _screened(across.join(first.select("a", "b"), ["a", "b"], "left_anti"), info, percent))
-    scratch.drop("torn")
+    scratch.drop("torn", "first")
     more = verified("more", second)
     if not more.isEmpty():
         parts = scratch.keep("parts2", connected_components(links.unionByName(more), "a", "b", lambda name, df: scratch.keep(f"c2-{name}", df)))
-    of = rows.select("doc", "n", "s1", "s2").join(sets.select("s1", "s2", "n", "rep"), ["s1", "s2", "n"], "left")
     of = of.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
     found = scratch.keep("found", of.select("doc", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc").alias("component")))
     scratch.only("found", *(x for x in ("numbered",) if x in scratch.paths))
