@@ -152,7 +152,8 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
     long_docs = documents.filter("size > 0").withColumn("block", F.explode(F.sequence(F.floor(F.col("offset") / block), F.floor((F.col("offset") + F.col("size") - 1) / block))))
     lo = F.greatest(F.col("offset"), F.col("block") * block)
     hi = F.least(F.col("offset") + F.col("size"), F.col("block") * block + F.col("take"))
-    pieces = long_docs.select("doc_id", F.col("source").alias("s"), "offset", "size", F.col("block").alias("k")).join(slots, F.col("s").eqNullSafe(F.col("source")) & (F.col("k") == F.col("block"))).filter(hi > lo)
+    # Both sides are numbers that grew out of few rows, so Spark would take either for small and broadcast it: their sizes grow with the corpus.
+    pieces = long_docs.select("doc_id", F.col("source").alias("s"), "offset", "size", F.col("block").alias("k")).hint("merge").join(slots.hint("merge"), F.col("s").eqNullSafe(F.col("source")) & (F.col("k") == F.col("block"))).filter(hi > lo)
     scratch.drop("rows", "buckets")
     return documents, pieces.select("shard", "source", "slot", "block", "doc_id", F.col("offset").alias("row"), (lo - F.col("offset")).alias("first"), (hi - lo).alias("words"))
 
