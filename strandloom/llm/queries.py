@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandloom.llm import chat, decontam, html_extract, jaccard, knn, mixing, pii, quality, suffix_dedup, token_counts
+from strandloom.llm import centroids, chat, decontam, html_extract, jaccard, knn, mixing, pii, quality, suffix_dedup, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,10 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_text(_table(spark, sf_dir, "pages"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.lloyd(_table(spark, sf_dir, "embeddings"), k=16, rounds=3, dims=64, scale=64, seed=1)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard": op8_jaccard,
     "op9_chat": op9_chat,
     "op10_html_text": op10_html_text,
+    "op11_centroids": op11_centroids,
     "pipeline": pipeline,
 }
 
@@ -175,3 +180,29 @@ def _pii_sql() -> str:
 
 
 ORACLES["op6_pii"] = _pii_sql()
+
+
+def _lloyd_sql(k: int = 16, rounds: int = 3) -> str:
+    """Rounds written out one after the other; dot products of integers below 2**53 are exact in doubles."""
+    near = """a{r} AS MATERIALIZED (SELECT row, vec_id, q, cluster, distance FROM
+                (SELECT v.row, v.vec_id, v.q, c.cluster, v.qq - 2 * list_dot_product(v.q, c.q) + list_dot_product(c.q, c.q) AS distance,
+                        row_number() OVER (PARTITION BY v.row ORDER BY v.qq - 2 * list_dot_product(v.q, c.q) + list_dot_product(c.q, c.q), c.cluster) AS place FROM v, c{r} c) WHERE place = 1)"""
+    move = """m{r} AS (SELECT cluster, list(x ORDER BY i) AS q FROM (SELECT cluster, i, floor(sum(x) / count(*)) AS x FROM
+                (SELECT cluster, unnest(q) AS x, unnest(range(1, 65)) AS i FROM a{r}) GROUP BY cluster, i) GROUP BY cluster),
+              c{n} AS MATERIALIZED (SELECT c.cluster, coalesce(m.q, c.q) AS q FROM c{r} c LEFT JOIN m{r} m ON c.cluster = m.cluster)"""
+    steps = ", ".join(f"{near.format(r=r)}, {move.format(r=r, n=r + 1)}" for r in range(rounds))
+    return f"""
+        WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS q FROM embeddings
+                   WHERE embedding IS NOT NULL AND len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        v AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, q, list_dot_product(q, q) AS qq FROM e),
+        c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, q) - 1 AS cluster, q FROM (SELECT q, sha256('1:' || CAST(vec_id AS VARCHAR)) AS h FROM v ORDER BY h, q LIMIT {k})),
+        {steps}, {near.format(r=rounds)},
+        s AS (SELECT cluster, CAST(sum(distance) AS BIGINT) AS inertia FROM a{rounds} GROUP BY cluster),
+        t AS (SELECT CAST(sum(inertia) AS BIGINT) AS inertia FROM s),
+        h AS (SELECT cluster, sha256(array_to_string(list_transform(q, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256 FROM c{rounds})
+        SELECT a.vec_id, CAST(a.cluster AS INTEGER) AS cluster, CAST(a.distance AS BIGINT) AS distance, s.inertia AS cluster_inertia, t.inertia, h.centroid_sha256
+        FROM a{rounds} a JOIN s ON a.cluster = s.cluster JOIN h ON a.cluster = h.cluster, t
+    """
+
+
+ORACLES["op11_centroids"] = _lloyd_sql()
