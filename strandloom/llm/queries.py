@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandloom.llm import centroids, chat, decontam, html_extract, jaccard, knn, mixing, pii, quality, suffix_dedup, token_counts
+from strandloom.llm import centroids, chat, decontam, html_extract, jaccard, knn, line_dedup, mixing, pii, quality, suffix_dedup, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +63,10 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.lloyd(_table(spark, sf_dir, "embeddings"), k=16, rounds=3, dims=64, scale=64, seed=1)
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(_table(spark, sf_dir, "documents"), least=10, increments=2).drop("kept")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat": op9_chat,
     "op10_html_text": op10_html_text,
     "op11_centroids": op11_centroids,
+    "op12_line_dedup": op12_line_dedup,
     "pipeline": pipeline,
 }
 
@@ -206,3 +211,10 @@ def _lloyd_sql(k: int = 16, rounds: int = 3) -> str:
 
 
 ORACLES["op11_centroids"] = _lloyd_sql()
+ORACLES["op12_line_dedup"] = """
+    WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS i FROM documents),
+    k AS (SELECT doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM l),
+    m AS (SELECT k, min(doc_id) AS least FROM k WHERE length(k) >= 10 GROUP BY k HAVING min(doc_id) <> max(doc_id)),
+    d AS (SELECT k.doc_id, k.i, k.line, m.least IS NOT NULL AND k.doc_id <> m.least AS gone FROM k LEFT JOIN m ON k.k = m.k)
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM d GROUP BY doc_id
+"""
