@@ -31,6 +31,12 @@ def canonical_signature(seq: str | Column) -> Column:
     return F.sha2(F.least(_col(seq), reverse_complement(seq)), 256)
 
 
+def as_bases(text: str | Column) -> Column:
+    """Letters of a text as bases: the place of A-Z in the alphabet, modulo 4, names A, C, G or T; all else is left out."""
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return F.translate(F.regexp_replace(_col(text).cast("string"), "[^A-Za-z]", ""), letters + letters.lower(), ("ACGT" * 7)[:26] * 2)
+
+
 def count_of(seq: str | Column, symbols: str) -> Column:
     s = _col(seq)
     return F.length(s) - F.length(F.translate(s, symbols, ""))

@@ -9,17 +9,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new path below ``spark.checkpoint.dir``; without that setting, and only on a local master, below this machine's temporary folder.
-
-    The path is deleted when the application ends.
-    """
+def shared_base(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; without that setting, and only on a local master, this machine's temporary folder."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
         if spark.sparkContext.master.split("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.gettempdir()
-    path = f"{base}/strandloom-{uuid.uuid4().hex}"
+    return base
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path below the shared folder that nothing else has; what is written there stays."""
+    return f"{shared_base(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below the shared one, deleted when the application ends."""
+    path = new_path(spark, "strandloom")
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     fs.mkdirs(at)
