@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLOTS, KICKS = 4, 200
+SLOTS, KICKS, FULL = 4, 200, 0.85
 U = np.uint64
 
 
@@ -49,13 +49,22 @@ class Cuckoo:
 
     def add(self, h1: np.ndarray, h2: np.ndarray) -> None:
         mark, one, two = self.places(h1, h2)
-        left = self._put(self.tables[-1], mark, one)
-        left = left[self._put(self.tables[-1], mark[left], two[left])]
-        homeless = [self._kick(self.tables[-1], int(mark[i]), int(one[i])) for i in left]
-        rest = [x for x in homeless if x is not None]
-        while rest:
-            self.tables.append(np.zeros((self.buckets, SLOTS), np.uint16))
-            rest = [x for x in (self._kick(self.tables[-1], *x) for x in rest) if x is not None]
+        at = 0
+        while at < len(mark):
+            # A table is filled up to FULL and then left, for moves become long beyond that.
+            room = int(self.buckets * SLOTS * FULL) - int(np.count_nonzero(self.tables[-1]))
+            if room <= 0:
+                self.tables.append(np.zeros((self.buckets, SLOTS), np.uint16))
+                continue
+            part = slice(at, at + room)
+            m, a, b = mark[part], one[part], two[part]
+            left = self._put(self.tables[-1], m, a)
+            left = left[self._put(self.tables[-1], m[left], b[left])]
+            rest = [x for x in (self._kick(self.tables[-1], int(m[i]), int(a[i])) for i in left) if x is not None]
+            while rest:
+                self.tables.append(np.zeros((self.buckets, SLOTS), np.uint16))
+                rest = [x for x in (self._kick(self.tables[-1], *x) for x in rest) if x is not None]
+            at += room
 
     def remove(self, h1: np.ndarray, h2: np.ndarray) -> None:
         """Take out one fingerprint of each key; the keys must have been added."""
@@ -80,13 +89,15 @@ class Cuckoo:
 
     def _kick(self, table: np.ndarray, mark: int, bucket: int) -> tuple[int, int] | None:
         """Place one fingerprint, moving others; returns the one that is left without a slot, and a bucket of it."""
-        for n in range(KICKS):
+        turn = mark * 65537 + bucket
+        for _ in range(KICKS):
             for b in (bucket, int(self.other(np.array([mark], np.uint16), np.array([bucket]))[0])):
                 free = np.flatnonzero(table[b] == 0)
                 if len(free):
                     table[b, free[0]] = mark
                     return None
-            bucket, slot = b, (n + mark) % SLOTS
+            turn = turn * 1103515245 + 12345 & 0x7FFFFFFF
+            bucket, slot = b, (turn >> 16) % SLOTS
             mark, table[bucket, slot] = int(table[bucket, slot]), mark
             bucket = int(self.other(np.array([mark], np.uint16), np.array([bucket]))[0])
         return mark, bucket

@@ -185,7 +185,9 @@ class LineIndex:
         """Add documents.  Rows of one id, or without one, are one document; ids that the index holds are left as they are."""
         new = docs.select(key(doc_id).alias("doc"), F.col(text).cast("string").alias("text"))
         if self.version:
-            new = new.join(self.held(), "doc", "left_anti")
+            # Ids alone say whether there is anything to leave out; texts are shuffled only then.
+            again = new.select("doc").distinct().join(self.held(), "doc")
+            new = new if again.isEmpty() else new.join(again, "doc", "left_anti")
         found = new.mapInArrow(_postings(self.least), "h1 long, h2 long, doc long")
         postings = self._write("postings", found if ids_are_unique(docs, doc_id) else found.distinct())
         batch = postings.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("least"))
