@@ -1,11 +1,15 @@
-"""Column functions on sequences, intervals and flags; all are plain expressions."""
+"""Column functions on sequences, intervals and flags: plain expressions, and Arrow functions where one scan of a sequence is needed."""
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # IUPAC symbols with complements (S and W are their own), and stop codons.
 IUPAC = "ACGTRYMKBDHVNacgtrymkbdhvn"
@@ -62,13 +66,46 @@ def internal_stops(seq: str | Column, frame: int = 0) -> Column:
     return F.size(F.filter(inner, lambda c: c.isin(*STOPS)))
 
 
+_FRAMES = [f"{sign}{f}" for sign in "+-" for f in (1, 2, 3)]
+_CODES = np.full(256, 4, np.uint8)
+_CODES[np.frombuffer(b"ACGTacgt", np.uint8)] = [0, 1, 2, 3] * 2
+
+
+def frame_stops(seq: str) -> list[int]:
+    """Internal stop codons in frames 1, 2 and 3 of a sequence and of its reverse complement, in one pass."""
+    c = _CODES[np.frombuffer(seq.encode("ascii", "replace"), np.uint8)].astype(np.int16)
+    n = len(c)
+    codon = c[:-2] * 25 + c[1:-1] * 5 + c[2:] if n > 2 else np.empty(0, np.int16)
+    # TAA, TAG, TGA, and what they are on the other strand: TTA, CTA, TCA.
+    stops = [np.isin(codon, [x * 25 + y * 5 + z for x, y, z in group]) for group in (((3, 0, 0), (3, 0, 2), (3, 2, 0)), ((3, 3, 0), (1, 3, 0), (3, 1, 0)))]
+    out = []
+    for f in range(3):
+        whole = (n - f) // 3
+        out.append(int(stops[0][f : f + 3 * (whole - 1) : 3].sum()) if whole > 1 else 0)
+    for f in range(3):
+        whole = (n - f) // 3
+        # The last complete codon of this strand begins where the first of the other one does.
+        first = n - f - 3 * whole
+        out.append(int(stops[1][first + 3 : n - f - 2 : 3].sum()) if whole > 1 else 0)
+    return out
+
+
+_SIX = T.StructType([T.StructField("stops", T.IntegerType()), T.StructField("frame", T.StringType()), T.StructField("counts", T.MapType(T.StringType(), T.IntegerType()))])
+
+
+@F.pandas_udf(_SIX)
+def _six_frames(seqs: pd.Series) -> pd.DataFrame:
+    rows = []
+    for s in seqs:
+        counts = frame_stops(s) if s is not None else None
+        least = min(counts) if counts else None
+        rows.append((least, min(x for x, k in zip(_FRAMES, counts) if k == least), dict(zip(_FRAMES, counts))) if counts else (None, None, None))
+    return pd.DataFrame(rows, columns=["stops", "frame", "counts"])
+
+
 def six_frame_stops(seq: str | Column) -> Column:
-    """Struct of the fewest internal stops over six frames, its label (ties: the least label) and all counts."""
-    reverse = reverse_complement(seq)
-    frames = [(f"{sign}{f + 1}", internal_stops(s, f)) for sign, s in (("+", _col(seq)), ("-", reverse)) for f in range(3)]
-    best = F.array_min(F.array(*[F.struct(n.alias("n"), F.lit(label).alias("label")) for label, n in frames]))
-    counts = F.create_map(*[x for label, n in frames for x in (F.lit(label), n)])
-    return F.struct(best["n"].alias("stops"), best["label"].alias("frame"), counts.alias("counts"))
+    """Struct of the fewest internal stops over six frames, its label (ties: the least label) and all counts; fields are null for null."""
+    return _six_frames(_col(seq))
 
 
 def coding_view(seq: str | Column, label: str | Column) -> Column:
@@ -85,18 +122,18 @@ def kmers(seq: str | Column, k: int) -> Column:
     return F.array_distinct(F.flatten(F.array(*shifted)))
 
 
+def _found_runs(seq: str, symbol: str, least: int) -> list[dict[str, int]]:
+    return [{"start": m.start() + 1, "end": m.end()} for m in re.finditer(f"{re.escape(symbol)}+", seq.upper()) if m.end() - m.start() >= least and m.start() > 0 and m.end() < len(seq)]
+
+
 def interior_runs(seq: str | Column, symbol: str = "N", least: int = 1) -> Column:
-    """1-based inclusive runs of a symbol that touch neither end."""
-    s = F.upper(_col(seq))
-    n = F.length(s)
-    at = lambda i: F.substr(s, i, F.lit(1)) == symbol
-    starts = F.filter(positions(F.lit(2), n - 1), lambda i: at(i) & ~at(i - 1))
-    ends = F.filter(positions(F.lit(2), n - 1), lambda i: at(i) & ~at(i + 1))
-    # A run at the left end ends without a start, one at the right end starts without an end.
-    inner = F.when(F.size(ends) > 0, F.filter(ends, lambda e: e >= F.array_min(starts))).otherwise(ends)
-    pairs = F.arrays_zip(F.slice(starts, F.lit(1), F.size(inner)).alias("start"), inner.alias("end"))
-    found = F.transform(pairs, lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end")))
-    return F.when(F.size(starts) > 0, F.filter(found, lambda p: p["end"] - p["start"] + 1 >= least)).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
+    """1-based inclusive runs of a symbol that touch neither end, found in one scan; null for null."""
+
+    @F.pandas_udf("array<struct<start:int,end:int>>")
+    def runs(seqs: pd.Series) -> pd.Series:
+        return pd.Series([None if s is None else _found_runs(s, symbol, least) for s in seqs], dtype=object)
+
+    return runs(_col(seq))
 
 
 def excise_runs(seq: str | Column, symbol: str = "N") -> Column:

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandloom.functions.sequence import reverse_complement
+from strandloom.functions.sequence import IUPAC, IUPAC_COMPLEMENT, reverse_complement
 from strandloom.functions.statistics import t_quantile
 
 # Relations of a found sequence to the truth, best first.
@@ -27,6 +27,9 @@ RELATIONS = (
 )
 
 
+_COMPLEMENT = str.maketrans(IUPAC, IUPAC_COMPLEMENT)
+
+
 def with_sets(df: DataFrame, sets: Mapping[str, Column], name: str = "unit_set") -> DataFrame:
     """One row for each set that a row is in; sets may overlap, and a row in none goes."""
     inside = F.array_compact(F.array(*[F.when(cond, F.lit(label)) for label, cond in sets.items()]))
@@ -145,25 +148,49 @@ def spread(df: DataFrame, by: list[str], value: str, observed: float | None = No
     return df.groupBy(*by).agg(*parts)
 
 
+def _meets(a: str, t: str, least: int) -> bool:
+    """Whether the end of a is the start of t over ``least`` bases or more, but not over all of either."""
+    if len(t) < least or len(a) < least:
+        return False
+    at = a.find(t[:least], max(1, len(a) - len(t) + 1))
+    while 0 <= at <= len(a) - least:
+        if t.startswith(a[at:]):
+            return True
+        at = a.find(t[:least], at + 1)
+    return False
+
+
+def _relates(a: str, t: str, least: int) -> int:
+    if a == t:
+        return 0
+    if len(a) == len(t) and all(x == y or x == "N" for x, y in zip(a, t)):
+        return 1
+    if a and a in t:
+        return 2
+    if t and t in a:
+        return 3
+    return 4 if _meets(a, t, least) or _meets(t, a, least) else 5
+
+
 def relation(found: str, truth: str, least_overlap: int = 20) -> Column:
     """How a found sequence relates to a truth, on the strand that relates best: one of ``RELATIONS``, null if either is null.
 
     Only relations without a differing base are told apart; the boundary class
     needs an end of one to equal the start of the other over ``least_overlap``.
     """
-    t, s = F.upper(F.col(truth)), F.upper(F.replace(F.col(found), F.lit("-"), F.lit("")))
-
-    def one(a: Column) -> Column:
-        pairs = F.arrays_zip(F.split(a, "").alias("a"), F.split(t, "").alias("t"))
-        fits = F.forall(pairs, lambda p: (p["a"] == p["t"]) | (p["a"] == "N"))
-        shorter = F.least(F.length(a), F.length(t))
-        sizes = F.when(shorter > least_overlap, F.sequence(F.lit(least_overlap), shorter - 1)).otherwise(F.array().cast("array<int>"))
-        meets = F.exists(sizes, lambda k: (F.right(a, k) == F.left(t, k)) | (F.right(t, k) == F.left(a, k)))
-        rank = F.when(a == t, 0).when((F.length(a) == F.length(t)) & fits, 1).when(F.contains(t, a) & (F.length(a) > 0), 2).when(F.contains(a, t) & (F.length(t) > 0), 3).when(meets, 4).otherwise(5)
-        return rank
-
-    names = F.array(*[F.lit(r) for r in RELATIONS])
-    return F.when(F.col(found).isNotNull() & F.col(truth).isNotNull(), F.element_at(names, F.least(one(s), one(reverse_complement(s))) + 1))
+
+    @F.pandas_udf("string")
+    def related(founds: pd.Series, truths: pd.Series) -> pd.Series:
+        out = []
+        for a, t in zip(founds, truths, strict=True):
+            if a is None or t is None:
+                out.append(None)
+                continue
+            a, t = a.replace("-", "").upper(), t.upper()
+            out.append(RELATIONS[min(_relates(a, t, least_overlap), _relates(a.translate(_COMPLEMENT)[::-1], t, least_overlap))])
+        return pd.Series(out, dtype=object)
+
+    return related(F.col(found), F.col(truth))
 
 
 def best_relation(df: DataFrame, by: list[str], related: str, aligned: str) -> DataFrame:

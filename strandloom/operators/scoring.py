@@ -223,7 +223,8 @@ def fewest_shared(candidates: DataFrame, target: DataFrame, by: list[str], seq:
     wanted = target.select(*by, F.explode(S.kmers(F.upper(seq), k)).alias("__g")).distinct().withColumn("__hit", F.lit(1))
     keyed = candidates.withColumn("__id", F.xxhash64(*candidates.columns))
     grams = keyed.select(*by, "__id", F.explode(S.kmers(F.upper(seq), k)).alias("__g"))
-    shared = grams.join(wanted, [*by, "__g"]).groupBy("__id").agg(F.count(F.lit(1)).alias("shared"))
+    # A row's k-mers are distinct, so rows that repeat are told apart from none: each has the one count.
+    shared = grams.join(wanted, [*by, "__g"]).groupBy("__id").agg(F.count_distinct("__g").alias("shared"))
     j = keyed.join(shared, "__id", "left").na.fill(0, ["shared"])
     return ranking.ranked(j, by, F.col("shared"), F.col(score).desc(), F.col(seq)).filter(F.col("rank") <= most).drop("rank", "__id")
 

@@ -80,21 +80,22 @@ def has_records(spark: SparkSession, path: str) -> bool:
 
 
 def fastq(spark: SparkSession, path: str) -> DataFrame:
-    """Records of FASTQ files: path, record (0, 1, ...), name, seq, quality.
+    """Records of FASTQ files: path, record (0, 1, ...), name, seq, quality, problem.
 
     A record is four lines, so lines are numbered per file: one window per
-    file, as a gzipped file is one task anyway.
+    file, as a gzipped file is one task anyway.  ``problem`` is null, or says
+    that a file ends within the record, which then has what there is of it.
     """
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"), "value")
     numbered = lines.withColumn("n", F.row_number().over(Window.partitionBy("path").orderBy("at")) - 1)
     part = lambda i: F.max(F.when(F.col("n") % 4 == i, F.col("value")))
     out = numbered.groupBy("path", F.floor(F.col("n") / 4).alias("record")).agg(part(0).alias("name"), part(1).alias("seq"), part(3).alias("quality"), F.count(F.lit(1)).alias("lines"))
-    return out.filter("lines = 4").select("path", "record", F.regexp_replace(F.split("name", r"\s")[0], "^@", "").alias("name"), "seq", "quality")
+    return out.select("path", "record", F.regexp_replace(F.split("name", r"\s")[0], "^@", "").alias("name"), "seq", "quality", F.when(F.col("lines") < 4, "incomplete record").alias("problem"))
 
 
 def fastq_stats(reads: DataFrame) -> DataFrame:
-    """Reads, bases and mean length per file."""
-    return reads.groupBy("path").agg(F.count(F.lit(1)).alias("reads"), F.sum(F.length("seq")).alias("bases"), F.avg(F.length("seq")).alias("mean_length"))
+    """Complete reads, their bases and mean length per file."""
+    return reads.filter("problem is null").groupBy("path").agg(F.count(F.lit(1)).alias("reads"), F.sum(F.length("seq")).alias("bases"), F.avg(F.length("seq")).alias("mean_length"))
 
 
 def every_kth(reads: DataFrame, step: int) -> DataFrame:
@@ -105,12 +106,18 @@ def every_kth(reads: DataFrame, step: int) -> DataFrame:
 def sample_sheet(spark: SparkSession, path: str) -> DataFrame:
     """Rows of the sheet, paths made absolute from the sheet's folder, with ``problem``: null, or why the row cannot be used.
 
-    Blank lines, lines that start with # and a first line of column names are
-    left out.  Ids that repeat are a problem of every row that has them.
+    Blank lines, lines that start with # and lines of column names before the
+    first row of their file are left out; further down such a line is a row.
+    Ids that repeat are a problem of every row that has them.
     """
-    raw = spark.read.text(path).filter("trim(value) <> '' and trim(value) not like '#%'").select(F.split("value", "\t").alias("c"), F.regexp_replace(F.col("_metadata.file_path"), "[^/]*$", "").alias("folder"))
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    every = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), place.alias("at")).filter("trim(value) <> '' and trim(value) not like '#%'")
+    every = every.withColumn("named", F.lower(F.trim(F.split("value", "\t")[0])) == "sample_id")
+    first = every.filter("not named").groupBy("file").agg(F.min("at").alias("first"))
+    body = every.join(F.broadcast(first), "file", "left").filter("not named or at > first")
+    raw = body.select(F.split("value", "\t").alias("c"), F.regexp_replace("file", "[^/]*$", "").alias("folder"))
     cell = lambda i: F.trim(F.coalesce(F.try_element_at("c", F.lit(i)), F.lit("")))
-    rows = raw.select(cell(1).alias("sample_id"), *[cell(i + 2).alias(n) for i, n in enumerate(("assembly", "r1", "r2"))], F.size("c").alias("cells"), "folder").filter(F.lower("sample_id") != "sample_id")
+    rows = raw.select(cell(1).alias("sample_id"), *[cell(i + 2).alias(n) for i, n in enumerate(("assembly", "r1", "r2"))], F.size("c").alias("cells"), "folder")
     twice = rows.groupBy(F.col("sample_id").alias("id")).agg((F.count(F.lit(1)) > 1).alias("twice"))
     problem = (
         F.when(F.col("cells") != 4, "not four columns")

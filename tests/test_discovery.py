@@ -96,15 +96,33 @@ def test_junctions(spark):
     left, right = bases(40, 21), bases(40, 22)
     paths = {"joined": left + right, "turned": rc(left + right), "apart": left + "GATTACA" + right, "shared": left + right[1:] if left[-1] == right[0] else left[:-1] + right}
     gaps = lambda: spark.createDataFrame([("g", left, right), ("x", bases(40, 30), right), ("e", "", right)], "gap_id string, left string, right string")
-    verdict = lambda *names: {r.gap_id: (r.verdict, r.gaps_bp) for r in graph.junctions(spark.createDataFrame([(paths[n],) for n in names], "seq string"), gaps()).collect()}
+    verdict = lambda *names: {r.gap_id: (r.verdict, r.gaps_bp) for r in graph.junctions(spark.createDataFrame([(paths[n],) for n in names], "seq string"), gaps(), []).collect()}
     assert verdict("joined", "turned") == {"g": ("GRAPH_SUPPORTED", [0]), "x": ("NOT_SUPPORTED", []), "e": ("NOT_SUPPORTED", [])}
     assert verdict("apart")["g"] == ("AMBIGUOUS", [7]) and verdict("joined", "apart")["g"] == ("AMBIGUOUS", [0, 7])
     c = spark.createDataFrame([(1, left + "N" * 20 + right), (2, left + right), (3, left + "N" * 5 + right), (4, "N" * 30 + left)], "id int, seq string")
-    found = {r.id: (r.placeholder_runs, r.placeholder_bp, r.verdict, r.flag) for r in graph.placeholder_verdict(c, ["id"], spark.createDataFrame([(paths["joined"],)], "seq string")).collect()}
+    found = {r.id: (r.placeholder_runs, r.placeholder_bp, r.verdict, r.flag) for r in graph.placeholder_verdict(c, ["id"], spark.createDataFrame([(paths["joined"],)], "seq string"), []).collect()}
     assert found == {1: (1, 20, "GRAPH_SUPPORTED", "PLACEHOLDER_JUNCTION_GRAPH_SUPPORTED"), **{i: (0, 0, "NO_PLACEHOLDER", None) for i in (2, 3, 4)}}
     assert {r.id: r.verdict for r in graph.placeholder_verdict(c, ["id"], None).collect()}[1] == "NOT_ASSESSED"
 
 
+def test_junctions_stay_within_their_sample(spark, monkeypatch):
+    left, right = bases(40, 21), bases(40, 22)
+    c = spark.createDataFrame([(s, left + "N" * 20 + right) for s in ("s1", "s2", "s3")], "sample string, seq string")
+    paths = spark.createDataFrame([("s2", left + right), ("s3", bases(90, 23)), ("s3", None)], "sample string, seq string")
+    want = {"s1": "NOT_ASSESSED", "s2": "GRAPH_SUPPORTED", "s3": "NOT_SUPPORTED"}
+    for slice_ in (1000, 1):
+        monkeypatch.setattr(graph, "SLICE", slice_)
+        found = graph.placeholder_verdict(c, ["sample"], paths).collect()
+        assert {r["sample"]: r.verdict for r in found} == want and {r.flag for r in found} == {f"PLACEHOLDER_JUNCTION_{v}" for v in want.values()}
+    short = spark.createDataFrame([("s2", "a", left[-3:], right[:2]), ("s2", "b", left[-11:], right), ("s2", None, left, right[:1])], "sample string, gap_id string, left string, right string")
+    text = left + right
+    at = text.find(left[-3:]) + 3
+    got = {r.gap_id: (r.holding, r.gaps_bp) for r in graph.junctions(paths, short, ["sample"]).collect()}
+    back = rc(text)
+    expect = sorted({x for t in (text, back) if (i := t.find(left[-3:])) >= 0 and (x := t.find(right[:2], i + 2) - i - 3) >= -1 and t.find(right[:2], i + 2) >= 0})
+    assert at and got["a"][1] == expect and got["b"] == (1, [0]) and got[None][0] >= 1
+
+
 def test_hits_and_baits(spark):
     baits = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "x")], "g string, seq_id string")
     assert discovery.selected_bait(baits, ["g"], "x").count() == 2

@@ -132,3 +132,10 @@ def test_cuts_exactness_and_frames(spark):
     assert grid["given"][0] == grid["turned"][0] == 0
     df = spark.createDataFrame([(2.0, "MULTICOPY_DEPTH", "ESTIMATED"), (None, "DEPTH_INDETERMINATE", None)], "dosage_estimate double, depth_call string, dosage_status string")
     assert [r.t for r in df.select(scoring.interpretation().alias("t")).collect()] == ["more than one copy is supported; dosage 2.000 (ESTIMATED)", "no statement on copies; no dosage (NOT_ESTIMATED)"]
+
+
+def test_repeated_candidates_share_as_single_ones_do(spark):
+    target = "ACGTTGCAAGCT"
+    pool = spark.createDataFrame([("k", target[:9], 1.0), ("k", target[:9], 1.0), ("k", target[:10], 2.0)], "k string, seq string, score double")
+    found = scoring.fewest_shared(pool, spark.createDataFrame([("k", target)], "k string, seq string"), ["k"], "seq", "score", k=4).collect()
+    assert sorted(r.shared for r in found) == [6, 6, 7]

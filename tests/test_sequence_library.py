@@ -87,3 +87,33 @@ def test_readers_and_writers(spark, tmp_path):
     assert sorted((r.sample_id, r.problem or "") for r in readers.sample_sheet(spark, f"file://{sheet}").collect()) == [("../x", "unsafe id"), ("dup", "repeated id"), ("dup", "repeated id"), ("ok", "")]
     df = spark.createDataFrame([("a", True, ["x", "y"], None)], "s string, b boolean, l array<string>, n double")
     assert tuple(writers.flat(df).first()) == ("a", "true", "x;y", "")
+
+
+def test_kernels_on_long_sequences(spark):
+    import time
+
+    from strandloom.operators import evaluation
+
+    rng = __import__("numpy").random.default_rng(8)
+    long = "".join("ACGT"[i] for i in rng.integers(0, 4, 1_000_000))
+    holed = long[:300_000] + "N" * 12 + long[300_000:700_000] + "n" + long[700_000:]
+    began = time.time()
+    df = spark.createDataFrame([(long, holed, long[400_000:] + "T" * 50)], "s string, h string, o string")
+    row = df.select(S.interior_runs("h").alias("runs"), S.six_frame_stops("s").alias("six"), evaluation.relation("o", "s").alias("rel")).first()
+    assert [tuple(r) for r in row.runs] == [(300_001, 300_012), (700_013, 700_013)]
+    assert row.rel == "identical over the overlap, different boundaries" and time.time() - began < 60
+    back = long.translate(str.maketrans("ACGT", "TGCA"))[::-1]
+    for label, text, f in (("+1", long, 0), ("+3", long, 2), ("-1", back, 0), ("-2", back, 1)):
+        codons = [text[i : i + 3] for i in range(f, len(text) - 2, 3)]
+        assert row.six.counts[label] == sum(c in S.STOPS for c in codons[:-1])
+
+
+def test_six_frames_equal_the_plain_count(spark):
+    texts = ["", "A", "TAA", "TAATAA", "taataaTAGA", "NNTAANTGATAA", "TTACTATCATTA", None, "TAATAATA", "RYTAAKM"]
+    rows = spark.createDataFrame([(t,) for t in texts], "s string").select("s", S.six_frame_stops("s").alias("six"), *[S.internal_stops("s", f).alias(f"p{f}") for f in range(3)], *[S.internal_stops(S.reverse_complement("s"), f).alias(f"m{f}") for f in range(3)]).collect()
+    for r in rows:
+        if r.s is None:
+            assert r.six.stops is None and r.six.counts is None
+            continue
+        plain = {f"+{f + 1}": r[f"p{f}"] for f in range(3)} | {f"-{f + 1}": r[f"m{f}"] for f in range(3)}
+        assert r.six.counts == plain and (r.six.stops, r.six.frame) == min((n, x) for x, n in plain.items())

@@ -121,3 +121,18 @@ def test_reports(spark, tmp_path):
     paths = spark.createDataFrame([(1, "ACGT", 2.0, ["1+", "2-"])], "place int, seq string, depth double, path array<string>")
     writers.write_paths(paths, url(tmp_path / "p"))
     assert [r.value for r in spark.read.text(url(tmp_path / "p/fasta")).collect()] == [">graph_path_1 length=4 mean_graph_depth=2.00 nodes=1+,2-", "ACGT"]
+
+
+def test_a_header_counts_as_one_only_before_the_first_row(spark, tmp_path):
+    (tmp_path / "h.tsv").write_text("# note\nSample_ID\tassembly\tr1\tr2\nsample_id\tx\ty\tz\na\t/a\t/1\t/2\nsample_id\t/b\t/1\t/2\nb\t/a\t/1\t/2\n")
+    rows = readers.sample_sheet(spark, url(tmp_path / "h.tsv")).collect()
+    assert sorted((r.sample_id, r.problem) for r in rows) == [("a", None), ("b", None), ("sample_id", None)]
+    (tmp_path / "only.tsv").write_text("sample_id\tassembly\tr1\tr2\n")
+    assert readers.sample_sheet(spark, url(tmp_path / "only.tsv")).collect() == []
+
+
+def test_an_incomplete_record_is_told(spark, tmp_path):
+    (tmp_path / "cut.fq").write_text("@a\nACGT\n+\nIIII\n@b\nAC\n")
+    rows = readers.fastq(spark, url(tmp_path / "cut.fq")).orderBy("record").collect()
+    assert [(r.name, r.seq, r.quality, r.problem) for r in rows] == [("a", "ACGT", "IIII", None), ("b", "AC", None, "incomplete record")]
+    assert readers.fastq_stats(readers.fastq(spark, url(tmp_path / "cut.fq"))).first().reads == 1
