@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandloom.operators import intervals
+from strandloom.operators import intervals, scans
 from strandloom.operators.decisions import call_threshold, depth_call, dosage_status
 from strandloom.operators.stats import Blocks, dosage_draws, is_spread, percentile_bounds, ratio_draws, weighted_median
 
@@ -101,8 +101,9 @@ def depth_ratio(
     ``calibration`` names a column of ``targets``.  A target without depth rows
     has depth 0; one without a backbone is DEPTH_INDETERMINATE with ratio 0.
     Notes are codes.  ``keep(name, df)`` may store the rows that are read more
-    than once (the backbone in its order, the regions' rows); without it they
-    are computed again each time.
+    than once (the backbone in its order, the regions' rows), and a sample's
+    backbone is then numbered across tasks; without it they are computed again
+    each time, and the backbone is numbered in one.
     """
     kept = keep or (lambda _, df: df)
     key = [*by, "target"]
@@ -118,7 +119,12 @@ def depth_ratio(
 
     pool = backbone_positions(depth, contigs, excluded, by, min_contig, trim)
     order = contigs.select(*by, "contig", place.alias("__ord"))
-    ranked = pool.join(order, [*by, "contig"]).withColumn("__at", F.row_number().over(Window.partitionBy(*by).orderBy("__ord", "contig", "pos")).cast("long") - 1)
+    placed = pool.join(order, [*by, "contig"])
+    along = ["__ord", "contig", "pos"]
+    if keep:
+        ranked = scans.numbered(scans.dealt(placed, by, along, keep, "backbone-ranges"), by, along, "__at").withColumn("__at", F.col("__at") - 1)
+    else:
+        ranked = placed.withColumn("__at", F.row_number().over(Window.partitionBy(*by).orderBy(*along)).cast("long") - 1)
     ranked = kept("backbone", ranked.select(*by, "contig", "pos", "depth", "__at"))
     merged = intervals.merge(located, [*key, "contig"], "start", "end")
     removed = intervals.range_join(ranked, merged.select(*key, "contig", "start", "end"), [*by, "contig"], "pos", "start", "end", BIN)

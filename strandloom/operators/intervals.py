@@ -11,18 +11,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandloom.operators import scans
 
-def with_island(df: DataFrame, by: list[str], start: str, end: str, gap: int = 1, name: str = "island") -> DataFrame:
-    """Number the islands of each key: a row joins while its start is at most ``gap`` beyond all ends before it."""
+
+def with_island(df: DataFrame, by: list[str], start: str, end: str, gap: int = 1, name: str = "island", keep: scans.Keep | None = None) -> DataFrame:
+    """Number the islands of each key: a row joins while its start is at most ``gap`` beyond all ends before it.
+
+    A key's rows meet in one task; with ``keep``, which stores rows, they are
+    dealt by ranges instead, and a key may be of any size.
+    """
+    if keep:
+        return scans.islands(scans.dealt(df, by, [start, end], keep, f"{name}-ranges"), by, start, end, gap, name).drop(scans.RANGE)
     order = Window.partitionBy(*by).orderBy(start, end)
     before = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
     fresh = F.when(before.isNull() | (F.col(start) > before + gap), 1).otherwise(0)
     return df.withColumn("__fresh", fresh).withColumn(name, F.sum("__fresh").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("__fresh")
 
 
-def merge(df: DataFrame, by: list[str], start: str, end: str, gap: int = 1) -> DataFrame:
-    """Islands with their bounds and number of members."""
-    return with_island(df, by, start, end, gap).groupBy(*by, "island").agg(F.min(start).alias(start), F.max(end).alias(end), F.count(F.lit(1)).alias("members")).drop("island")
+def merge(df: DataFrame, by: list[str], start: str, end: str, gap: int = 1, keep: scans.Keep | None = None) -> DataFrame:
+    """Islands with their bounds and number of members; ``keep`` as in ``with_island``."""
+    return with_island(df, by, start, end, gap, keep=keep).groupBy(*by, "island").agg(F.min(start).alias(start), F.max(end).alias(end), F.count(F.lit(1)).alias("members")).drop("island")
 
 
 def pad(df: DataFrame, start: str, end: str, by: int, length: str | Column | None = None) -> DataFrame:

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import bisect
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandloom.operators import scans
 from strandloom.operators.intervals import with_island
 
 
@@ -105,12 +107,22 @@ class _Kept:
         return True
 
 
-def n50(df: DataFrame, by: list[str], length: str) -> DataFrame:
-    """Count, total, longest and N50 of the lengths of each key."""
-    order = Window.partitionBy(*by).orderBy(F.col(length).desc())
-    every = Window.partitionBy(*by)
-    ran = df.withColumn("__run", F.sum(length).over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("__all", F.sum(length).over(every))
-    return ran.groupBy(*by).agg(F.count(F.lit(1)).alias("sequences"), F.sum(length).alias("total"), F.max(length).alias("longest"), F.max(F.when(F.col("__run") * 2 >= F.col("__all"), F.col(length))).alias("n50"))
+def n50(df: DataFrame, by: list[str], length: str, keep: scans.Keep | None = None) -> DataFrame:
+    """Count, total, longest and N50 of the lengths of each key.
+
+    Equal lengths are counted first.  A key's distinct lengths meet in one task;
+    with ``keep``, which stores rows, they are dealt by ranges instead.
+    """
+    counted = df.groupBy(*by, length).agg(F.count(F.lit(1)).alias("__k")).withColumns({"__down": -F.col(length), "__sum": F.col(length) * F.col("__k")})
+    if keep:
+        ran = scans.running_sum(scans.dealt(counted, by, ["__down"], keep, "n50-ranges"), by, ["__down"], F.col("__sum"), "__run")
+        every = counted.groupBy(*by).agg(F.sum("__sum").alias("__all"))
+        same = reduce(lambda x, y: x & y, (F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in by), F.lit(True))
+        ran = ran.join(every.select(*[F.col(c).alias(f"__k_{c}") for c in by], "__all"), same) if by else ran.crossJoin(F.broadcast(every))
+    else:
+        order = Window.partitionBy(*by).orderBy("__down")
+        ran = counted.withColumn("__run", F.sum("__sum").over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("__all", F.sum("__sum").over(Window.partitionBy(*by)))
+    return ran.groupBy(*by).agg(F.sum("__k").alias("sequences"), F.sum("__sum").alias("total"), F.max(length).alias("longest"), F.max(F.when(F.col("__run") * 2 >= F.col("__all"), F.col(length))).alias("n50"))
 
 
 def spread_positions(count: int, most: int) -> Iterator[int]:

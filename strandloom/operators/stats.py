@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandloom.functions.statistics import clopper_pearson
+from strandloom.operators import scans
 from strandloom.operators.decisions import call_threshold, depth_call
 from strandloom.operators.ranking import spread_positions
 
@@ -135,14 +136,20 @@ def bootstrap_ratio(df: DataFrame, by: list[str], locus: str, backbone: str, res
     return keys.mapInPandas(run, f"{fields}, ci_low double, ci_high double")
 
 
-def thin_blocks(df: DataFrame, by: list[str], order: list[str], block: int = 500, cap: int = 512) -> DataFrame:
+def thin_blocks(df: DataFrame, by: list[str], order: list[str], block: int = 500, cap: int = 512, keep: scans.Keep | None = None) -> DataFrame:
     """The rows of at most ``cap`` blocks per key, evenly spaced in ``order``; what a bootstrap of blocks reads.
 
     Rows are cut into blocks of ``block`` in their order; the first and the
-    last block are always kept (of one block, the middle one).
+    last block are always kept (of one block, the middle one).  A key's rows
+    meet in one task; with ``keep``, which stores rows, they are dealt by ranges
+    instead.
     """
-    w = Window.partitionBy(*by)
-    placed = df.withColumn("__at", F.row_number().over(w.orderBy(*order)) - 1).withColumn("__n", F.ceil(F.count(F.lit(1)).over(w) / block))
+    if keep:
+        placed = scans.numbered(scans.dealt(df, by, order, keep, "blocks-ranges"), by, order, "__at").drop(scans.RANGE).withColumn("__at", F.col("__at") - 1)
+        placed = _same_key(placed, df.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / block).alias("__n")), by)
+    else:
+        w = Window.partitionBy(*by)
+        placed = df.withColumn("__at", F.row_number().over(w.orderBy(*order)) - 1).withColumn("__n", F.ceil(F.count(F.lit(1)).over(w) / block))
     return placed.filter(is_spread(F.floor(F.col("__at") / block), F.col("__n"), cap)).drop("__at", "__n")
 
 

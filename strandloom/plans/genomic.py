@@ -304,4 +304,4 @@ def bracketed_quantiles(spark: SparkSession, d: str) -> DataFrame:
 @_query("WITH r AS (SELECT event_type, event_id, value, row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS i, count(*) OVER (PARTITION BY event_type) AS n FROM {events}), b AS (SELECT *, CAST(floor(i / 7) AS BIGINT) AS b, CAST(ceil(n / 7) AS BIGINT) AS m FROM r) SELECT event_type, event_id FROM b WHERE m <= 12 OR b IN (SELECT CAST(round_even(j * (m - 1) / 11, 0) AS BIGINT) FROM range(0, 12) t(j))")
 def thinned_blocks(spark: SparkSession, d: str) -> DataFrame:
     """The events of twelve evenly spaced blocks of seven of each type."""
-    return stats.thin_blocks(_rel(spark, d, "SELECT event_type, event_id FROM {events}"), ["event_type"], ["event_id"], 7, 12)
+    return stats.thin_blocks(_rel(spark, d, "SELECT event_type, event_id FROM {events}"), ["event_type"], ["event_id"], 7, 12, keeper(spark))

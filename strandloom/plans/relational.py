@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from strandloom.functions import sequence as S
 from strandloom.functions.statistics import fisher_exact
 from strandloom.operators import decisions, discovery, evaluation, intervals, kmers, ranking, simulate, stats
+from strandloom.sources.scratch import keeper
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -92,7 +93,7 @@ def kmer_relatedness(spark: SparkSession, d: str) -> DataFrame:
 
 @_query(f"WITH {_SPANS}, {_ISLANDS} SELECT k, s, e, n AS members FROM merged")
 def merged_intervals(spark: SparkSession, d: str) -> DataFrame:
-    return intervals.merge(spans(spark, d), ["k"], "s", "e")
+    return intervals.merge(spans(spark, d), ["k"], "s", "e", keep=keeper(spark))
 
 
 @_query(f"WITH {_SPANS}, {_ISLANDS}, u AS (SELECT k, sum(e - s + 1) AS u FROM merged GROUP BY k), t AS (SELECT k, sum(e - s + 1) AS t FROM spans GROUP BY k) SELECT k, CAST(t AS BIGINT) AS total_length, CAST(u AS BIGINT) AS union_length, CAST(t - u AS BIGINT) AS overlap_length FROM t JOIN u USING (k)")
@@ -243,7 +244,7 @@ def snapshot_comparison(spark: SparkSession, d: str) -> DataFrame:
     SELECT o_orderpriority, count(*) AS sequences, round(any_value(total), 2) AS total, max(o_totalprice) AS longest, max(o_totalprice) FILTER (run * 2 >= total) AS n50 FROM s GROUP BY 1"""
 )
 def n50(spark: SparkSession, d: str) -> DataFrame:
-    out = ranking.n50(_t(spark, d, "orders").select("o_orderpriority", "o_totalprice"), ["o_orderpriority"], "o_totalprice")
+    out = ranking.n50(_t(spark, d, "orders").select("o_orderpriority", "o_totalprice"), ["o_orderpriority"], "o_totalprice", keeper(spark))
     return out.withColumn("total", F.round("total", 2))
 
 

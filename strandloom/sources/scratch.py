@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,10 +37,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 def keeper(spark: SparkSession) -> Callable[[str, DataFrame], DataFrame]:
     """A function that writes a frame below a shared folder and reads it back, for operators that take ``keep``."""
-    folder = shared_folder(spark)
+    folder, made = shared_folder(spark), count()
 
     def keep(name: str, df: DataFrame) -> DataFrame:
-        df.write.parquet(f"{folder}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+        path = f"{folder}/{next(made)}-{name}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
     return keep
