@@ -12,9 +12,11 @@ from collections.abc import Iterator, Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strandloom.functions.sequence import IUPAC, IUPAC_COMPLEMENT, reverse_complement
 from strandloom.functions.statistics import t_quantile
+from strandloom.operators.alignment import local_hits
 
 # Relations of a found sequence to the truth, best first.
 RELATIONS = (
@@ -25,6 +27,7 @@ RELATIONS = (
     "identical over the overlap, different boundaries",
     "differs",
 )
+NO_ALIGNMENT, ABSENT = "no alignment to the truth", "sequence returned although the locus is absent"
 
 
 _COMPLEMENT = str.maketrans(IUPAC, IUPAC_COMPLEMENT)
@@ -193,6 +196,54 @@ def relation(found: str, truth: str, least_overlap: int = 20) -> Column:
     return related(F.col(found), F.col(truth))
 
 
+@F.pandas_udf(T.IntegerType())
+def _exact(founds: pd.Series, truths: pd.Series) -> pd.Series:
+    """The rank of a relation without a differing base and without an overhang on both sides, or null."""
+    out = []
+    for a, t in zip(founds, truths, strict=True):
+        ranks = [_relates(x, t, len(x) + 1) for x in (a, a.translate(_COMPLEMENT)[::-1])]
+        out.append(min(ranks) if min(ranks) < 4 else None)
+    return pd.Series(out, dtype="Int32")
+
+
+def comparisons(returned: DataFrame, truths: DataFrame, by: list[str]) -> DataFrame:
+    """Each returned sequence (by, seq_id, seq) against the truth copies (by, truth_name, truth) of its key.
+
+    Result: by, seq_id, truth_name, truth_bp, comparison (one of ``RELATIONS``,
+    ``NO_ALIGNMENT`` and ``ABSENT``), identity_pct, aligned_bp, mismatches,
+    gap_columns, length_difference_bp, edit_distance.  A relation without a
+    differing base to any copy goes first, the better one of several and then
+    the copy of the least name.  Otherwise the longest local alignment decides,
+    by identical bases: the aligned part is identical, or differs.  A key
+    without a copy is ABSENT; a null sequence has no row.  The edit distance is
+    that of the whole sequences, on the nearer strand, and is null where no copy
+    is named.
+    """
+    key = [*by, "seq_id"]
+    called = returned.filter(F.col("seq").isNotNull()).select(*key, F.upper(F.replace(F.col("seq"), F.lit("-"), F.lit(""))).alias("seq"))
+    copies = truths.filter(F.col("truth").isNotNull()).select(*by, "truth_name", F.upper("truth").alias("truth"))
+    pairs = called.join(copies, by) if by else called.crossJoin(copies)
+    exact = pairs.withColumn("rank", _exact("seq", "truth")).filter("rank is not null").groupBy(*key).agg(F.min(F.struct("rank", "truth_name")).alias("e"))
+    hits = local_hits(called, copies.select(*by, F.col("truth_name").alias("seq_id"), F.col("truth").alias("seq")), by, detail=True)
+    same = F.col("pident") * F.col("length")
+    best = hits.groupBy(*by, F.col("qseqid").alias("seq_id")).agg(F.min(F.struct((-same).alias("less"), F.col("sseqid").alias("truth_name"), "pident", "length", "mismatches", "gap_columns")).alias("a"))
+    first = copies.groupBy(*by).agg(F.min("truth_name").alias("__first"))
+    j = called.join(exact, key, "left").join(best, key, "left")
+    j = j.join(first, by, "left") if by else j.crossJoin(F.broadcast(first))
+    j = j.withColumn("truth_name", F.coalesce("e.truth_name", "a.truth_name", "__first"))
+    j = j.join(copies, [*by, "truth_name"], "left").withColumn("n", F.length("truth"))
+    names = F.array(*[F.lit(r) for r in RELATIONS])
+    is_exact, aligned = F.col("e").isNotNull(), F.col("a").isNotNull()
+    clean = (F.col("a.mismatches") == 0) & (F.col("a.gap_columns") == 0)
+    comparison = F.when(F.col("__first").isNull(), ABSENT).when(is_exact, F.element_at(names, F.col("e.rank") + 1)).when(~aligned, NO_ALIGNMENT).when(clean, RELATIONS[4]).otherwise(RELATIONS[5])
+    pick = lambda whole, part: F.when(is_exact, whole).when(aligned, part)
+    return j.select(
+        *key, "truth_name", F.col("n").alias("truth_bp"), comparison.alias("comparison"), pick(F.lit(100.0), F.col("a.pident")).alias("identity_pct"), pick(F.least(F.length("seq"), "n"), F.col("a.length")).alias("aligned_bp"),
+        pick(F.lit(0), F.col("a.mismatches")).cast("int").alias("mismatches"), pick(F.lit(0), F.col("a.gap_columns")).cast("int").alias("gap_columns"), (F.length("seq") - F.col("n")).alias("length_difference_bp"),
+        F.least(F.levenshtein("seq", "truth"), F.levenshtein(reverse_complement("seq"), F.col("truth"))).alias("edit_distance"),
+    )
+
+
 def best_relation(df: DataFrame, by: list[str], related: str, aligned: str) -> DataFrame:
     """The row of each key that relates best, then aligns longest, with the number of rows it was chosen from."""
     index = F.array_position(F.array(*[F.lit(r) for r in RELATIONS]), F.col(related))

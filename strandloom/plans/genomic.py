@@ -256,7 +256,7 @@ def locus_dosage(spark: SparkSession, d: str) -> DataFrame:
     contigs = depth.groupBy("sample", "contig").agg(F.count(F.lit(1)).alias("length"))
     regions = spark.createDataFrame([("a", *r) for r in _REGIONS], "sample string, target string, region int, contig string, start long, end long, gene_start long, gene_end long")
     targets = spark.createDataFrame([("a", *g) for g in _GENES], "sample string, target string, gene_length long")
-    out = copy_number.depth_ratio(depth, contigs, regions, targets, ["sample"], spark.createDataFrame([("a", "N", 500, 900)], "sample string, contig string, start long, end long"), min_contig=1000, resamples=20, ambiguity_warn=0.4, keep=keeper(spark))
+    out = copy_number.depth_ratio(depth, contigs, regions, targets, ["sample"], spark.createDataFrame([("a", "N", 500, 900)], "sample string, contig string, start long, end long"), min_contig=1000, ambiguity_warn=0.4, keep=keeper(spark))
     return out.select("target", "locus_median_depth", "backbone_median_depth", "backbone_mad", "ratio", "ambiguity_index", "reliable", "dosage_estimate", "dosage_lower", "dosage_upper", "query_multiplicity_max", "query_coverage_fraction", "gene_overlap_bp", "dosage_status")
 
 

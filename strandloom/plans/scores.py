@@ -333,7 +333,7 @@ def path_scores(spark: SparkSession, d: str) -> DataFrame:
     return graph.ranked_paths(scored, ["g"]).select("ref", F.round("breadth", 6).alias("breadth"), F.round("mean_depth", 6).alias("mean_depth"), "candidate", "informative")
 
 
-_BAITS = "SELECT p_brand AS g, CAST(p_partkey AS BIGINT) AS id, p_partkey % 5 = 0 AS first_rule, p_partkey % 2 = 0 AS second_rule FROM {part} WHERE p_partkey % 3 > 0"
+_BAITS = "SELECT p_brand AS g, CAST(p_partkey AS BIGINT) AS id, p_partkey % 5 = 0 AS first_rule, p_partkey % 2 = 0 AS second_rule FROM {part}"
 
 
 @_query(f"SELECT g, id, CAST(rule AS INT) AS rule FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY rule, id) AS n FROM (SELECT *, CASE WHEN first_rule THEN 1 WHEN second_rule THEN 2 END AS rule FROM ({_BAITS})) WHERE rule IS NOT NULL) WHERE n = 1")

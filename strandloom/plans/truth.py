@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandloom.functions import sequence as S
-from strandloom.operators import alignment, discovery, evaluation, evidence, graph, intervals, scoring, simulate
+from strandloom.operators import alignment, discovery, evaluation, evidence, graph, intervals, ranking, scoring, simulate
 from strandloom.plans.genomic import _DUCK_SEQS, _FRAMES, _RC, _SPARK_SEQS, Query, _rel
 from strandloom.sources import readers, writers
 from strandloom.sources.scratch import keeper, shared_folder
@@ -251,7 +251,7 @@ def read_lengths(spark: SparkSession, d: str) -> DataFrame:
     return evidence.read_length(li, ["l_suppkey"], "at", most=100)
 
 
-_EDGES = "SELECT o_custkey AS a, o_custkey + CASE WHEN o_orderkey % 2 = 0 THEN 100000 ELSE 0 END + o_orderkey % 3 AS b, o_orderkey % 77 AS overlap FROM {orders} WHERE o_orderkey % 10 = 0"
+_EDGES = "SELECT CAST(o_custkey AS BIGINT) AS a, 1000000000 + CAST(floor(o_custkey / 7) AS BIGINT) * 3 + o_orderkey % 3 AS b, o_orderkey % 77 AS overlap FROM {orders}"
 
 
 @_query(
@@ -277,22 +277,22 @@ def padded_spans(spark: SparkSession, d: str) -> DataFrame:
     return intervals.pad(_rel(spark, d, "SELECT l_suppkey, CAST(l_partkey AS BIGINT) AS s, CAST(l_partkey AS BIGINT) + 5 AS e FROM {lineitem}"), "s", "e", 10, F.lit(190).cast("long"))
 
 
-_PLANTED = "SELECT id, seq, replace(substr(seq, 1, CAST(45 + id % 9 AS INT)), 'N', 'A') AS part FROM ({seqs}) AS q WHERE id % 4 = 1"
+_PLANTED = "SELECT id % 25 AS g, id, seq, replace(substr(seq, 1, CAST(45 + id % 9 AS INT)), 'N', 'A') AS part FROM ({seqs}) AS q"
 
 
-@_query(f"WITH p AS ({_duck(_PLANTED)}) SELECT id, 1 AS qstart, CAST(length(part) AS INT) AS qend, CASE WHEN id % 8 = 1 THEN 21 ELSE CAST(20 + length(part) AS INT) END AS sstart, CASE WHEN id % 8 = 1 THEN CAST(20 + length(part) AS INT) ELSE 21 END AS send, 100.0::DOUBLE AS pident FROM p")
+@_query(f"WITH p AS ({_duck(_PLANTED)}) SELECT id, id AS subject, 1 AS qstart, CAST(length(part) AS INT) AS qend, CASE WHEN id % 2 = 1 THEN 21 ELSE CAST(20 + length(part) AS INT) END AS sstart, CASE WHEN id % 2 = 1 THEN CAST(20 + length(part) AS INT) ELSE 21 END AS send, 100.0::DOUBLE AS pident FROM p")
 def local_alignments(spark: SparkSession, d: str) -> DataFrame:
-    """Sequences planted on either strand between other bases, found again by shared k-mers; best hit of each."""
+    """Sequences planted on either strand between other bases, searched among all those of their group; best hit of each."""
     p = _rel(spark, d, _spark(_PLANTED))
-    placed = F.when(F.col("id") % 8 == 1, F.col("part")).otherwise(S.reverse_complement("part"))
-    subjects = p.select("id", F.lit("s").alias("seq_id"), F.concat(F.lit("N" * 20), placed, F.lit("N" * 20)).alias("seq"))
-    hits = alignment.local_hits(p.select("id", F.lit("q").alias("seq_id"), F.col("part").alias("seq")), subjects, ["id"])
-    best = hits.withColumn("r", F.row_number().over(evaluation.Window.partitionBy("id").orderBy(F.col("bitscore").desc()))).filter("r = 1")
-    return best.select("id", "qstart", "qend", "sstart", "send", "pident")
+    placed = F.when(F.col("id") % 2 == 1, F.col("part")).otherwise(S.reverse_complement("part"))
+    subjects = p.select("g", F.col("id").alias("seq_id"), F.concat(F.lit("N" * 20), placed, F.lit("N" * 20)).alias("seq"))
+    hits = alignment.local_hits(p.select("g", F.col("id").alias("seq_id"), F.col("part").alias("seq")), subjects, ["g"])
+    best = ranking.ranked(hits, ["qseqid"], F.col("bitscore").desc(), F.col("sseqid")).filter("rank = 1")
+    return best.select(F.col("qseqid").alias("id"), F.col("sseqid").alias("subject"), "qstart", "qend", "sstart", "send", "pident")
 
 
-@_query("WITH b AS (SELECT p_brand AS g, count(*) AS n, min(p_partkey) AS id FROM {part} WHERE p_partkey % 97 = 5 GROUP BY 1) SELECT g, CAST(id AS BIGINT) AS id FROM b WHERE n = 1")
+@_query("SELECT p_brand AS g, CAST(p_partkey AS BIGINT) AS id FROM (SELECT p_brand, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS n FROM {part}) WHERE n = 4")
 def selected_baits(spark: SparkSession, d: str) -> DataFrame:
-    """The record of each brand that has exactly one."""
-    p = _rel(spark, d, "SELECT p_brand AS g, CAST(p_partkey AS BIGINT) AS id, count(*) OVER (PARTITION BY p_brand) AS n FROM {part} WHERE p_partkey % 97 = 5").filter("n = 1").drop("n")
-    return discovery.selected_bait(p.withColumn("seq_id", F.lit("only")), ["g"], "only", "seq_id").select("g", "id")
+    """The record of each brand that has the wanted id."""
+    p = _rel(spark, d, "SELECT p_brand AS g, CAST(p_partkey AS BIGINT) AS id, concat('b', CAST(row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS STRING)) AS seq_id FROM {part}")
+    return discovery.selected_bait(p, ["g"], "b4", "seq_id").select("g", "id")

@@ -110,3 +110,25 @@ def test_contexts_and_rank(spark):
     scores = spark.createDataFrame([("p", 50.0, 2.0, 10), ("q", 50.0, 3.0, 10), ("r", 0.0, 0.0, 99)], "ref string, breadth double, mean_depth double, length int")
     ranks = graph.ranked_paths(scores, []).orderBy("rank").collect()
     assert [(r.ref, r.candidate, r.informative) for r in ranks] == [("q", "path_1", True), ("p", "path_2", True), ("r", "path_3", True)]
+
+
+def test_comparisons_choose_among_copies(spark):
+    rng = __import__("numpy").random.default_rng(12)
+    base = lambda n: "".join("ACGT"[i] for i in rng.integers(0, 4, n))
+    a, b = base(200), base(180)
+    near = a[:90] + {"A": "C", "C": "G", "G": "T", "T": "A"}[a[90]] + a[91:]
+    gapped = b[:80] + b[83:]
+    returned = [("k", "same", b), ("k", "part", a[10:150].lower()), ("k", "near", near), ("k", "gapped", gapped), ("k", "dashes", a[:50] + "--" + a[50:]), ("k", "null", None), ("k", "empty", ""), ("gone", "any", a), ("k", "far", base(90))]
+    truths = [("k", "t2", a), ("k", "t1", b), ("k", "t3", a), ("k", "t4", None), ("other", "t", a)]
+    r, t = spark.createDataFrame(returned, "g string, seq_id string, seq string"), spark.createDataFrame(truths, "g string, truth_name string, truth string")
+    got = {x.seq_id: x for x in V.comparisons(r, t, ["g"]).collect()}
+    assert len(got) == 8 and "null" not in got
+    tell = lambda n: (got[n].truth_name, got[n].comparison, got[n].aligned_bp, got[n].mismatches, got[n].gap_columns, got[n].edit_distance)
+    assert tell("same") == ("t1", "identical", 180, 0, 0, 0) and tell("dashes") == ("t2", "identical", 200, 0, 0, 0)
+    assert tell("part") == ("t2", "incomplete, identical over its own length", 140, 0, 0, 60)
+    assert tell("near") == ("t2", "differs", 200, 1, 0, 1) and got["near"].identity_pct == 99.5
+    assert tell("gapped") == ("t1", "differs", 180, 0, 3, 3)
+    assert got["any"].comparison == V.ABSENT and got["any"].truth_name is None
+    assert got["far"].comparison == V.NO_ALIGNMENT and got["empty"].comparison == V.NO_ALIGNMENT
+    assert V.comparisons(r.limit(0), t, ["g"]).collect() == []
+    assert {x.seq_id: x.comparison for x in V.comparisons(r.drop("g").filter("seq_id = 'same'"), t.drop("g"), []).collect()} == {"same": "identical"}
