@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from strandloom.functions import sequence as S
 from strandloom.functions.statistics import fisher_exact
-from strandloom.operators import decisions, discovery, evaluation, intervals, kmers, ranking, simulate, stats
+from strandloom.operators import decisions, discovery, evaluation, intervals, kmers, ranking, resampling, simulate, stats
 from strandloom.sources.scratch import keeper
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -296,13 +296,23 @@ def greedy_suppression(spark: SparkSession, d: str) -> DataFrame:
     return ranking.suppress_overlaps(spans(spark, d), ["k"], "s", "e", ["e"])
 
 
-@_query()
+@_query(
+    f"""WITH e AS (SELECT floor(user_id / 50) AS g, event_type = 'click' AS click, value, CAST(floor((row_number() OVER (PARTITION BY floor(user_id / 50), event_type = 'click' ORDER BY event_id) - 1) / 500) AS BIGINT) AS b FROM events),
+    n AS (SELECT g, click, max(b) + 1 AS n FROM e GROUP BY 1, 2), s AS (SELECT g, click, n, unnest(range(0, n)) AS s FROM n), ds AS (SELECT unnest(range(0, 1000)) AS d),
+    w AS (SELECT g, click, d, {resampling.drawn_sql("(CASE WHEN click THEN 20260817 ELSE 20260818 END)", "d", "s")} % n AS b, count(*) AS k FROM s, ds GROUP BY 1, 2, 3, 4),
+    u AS (SELECT w.g, w.click, w.d, e.value, sum(w.k) OVER (PARTITION BY w.g, w.click, w.d ORDER BY e.value, w.b ROWS UNBOUNDED PRECEDING) AS u, sum(w.k) OVER (PARTITION BY w.g, w.click, w.d) AS t FROM w JOIN e ON w.g = e.g AND w.click = e.click AND w.b = e.b),
+    m AS (SELECT g, click, d, (min(value) FILTER (u > floor((t - 1) / 2)) + min(value) FILTER (u > floor(t / 2))) / 2 AS m FROM u GROUP BY 1, 2, 3),
+    r AS (SELECT a.g, a.m / z.m AS r FROM m a JOIN m z ON a.g = z.g AND a.d = z.d WHERE a.click AND NOT z.click AND z.m > 0),
+    o AS (SELECT g, r, row_number() OVER (PARTITION BY g ORDER BY r) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM r)
+    SELECT CAST(g AS BIGINT) AS g, round(max(r) FILTER (i = greatest(CAST(floor(n * 0.05 / 2) AS BIGINT) - 1, 0)), 9) AS ci_low, round(max(r) FILTER (i = least(CAST(floor(n * 0.975) AS BIGINT), n - 1)), 9) AS ci_high FROM o GROUP BY g"""
+)
 def bootstrap_interval(spark: SparkSession, d: str) -> DataFrame:
     """Clicks' values over the others' per group of users; of the others only the blocks that are drawn are collected."""
     e = _t(spark, d, "events").select(F.floor(F.col("user_id") / 50).alias("g"), "event_id", "value", (F.col("event_type") == "click").alias("click"))
     listed = lambda df, name: df.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("event_id", "value"))).alias(name)).select("g", F.col(f"{name}.value").alias(name))
-    backbone = listed(stats.thin_blocks(e.filter("not click"), ["g"], ["event_id"]), "backbone")
-    return stats.bootstrap_ratio(backbone.join(listed(e.filter("click"), "locus"), "g", "left"), ["g"], "locus", "backbone")
+    backbone = listed(stats.thin_blocks(e.filter("not click"), ["g"], ["event_id"], keep=keeper(spark)), "backbone")
+    out = resampling.block_interval(backbone.join(listed(e.filter("click"), "locus"), "g", "left"), ["g"], "locus", "backbone")
+    return out.select("g", F.round("ci_low", 9).alias("ci_low"), F.round("ci_high", 9).alias("ci_high"))
 
 
 def _labelled(spark: SparkSession, d: str) -> DataFrame:
@@ -459,11 +469,19 @@ def unrelated_records(spark: SparkSession, d: str) -> DataFrame:
     return b.select("item_id").join(wanted.join(met, "g", "left_semi").select("item_id").distinct(), "item_id", "left_anti")
 
 
-@_query()
+@_query(
+    f"""WITH c AS (SELECT d.source, d.lang, CAST(sum(CASE WHEN l.quality = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS a, CAST(count(*) AS DOUBLE) AS b FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE l.quality IS NOT NULL GROUP BY 1, 2),
+    k AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY lang NULLS FIRST) - 1 AS i FROM c), n AS (SELECT source, count(*) AS n, sum(a) / sum(b) AS value FROM k GROUP BY 1),
+    s AS (SELECT source, n, unnest(range(0, n)) AS s FROM n), ds AS (SELECT unnest(range(0, 10000)) AS d),
+    w AS (SELECT source, d, {resampling.drawn_sql("20261118", "d", "s")} % n AS i FROM s, ds),
+    r AS (SELECT w.source, w.d, sum(k.a) / sum(k.b) AS r FROM w JOIN k ON w.source IS NOT DISTINCT FROM k.source AND w.i = k.i GROUP BY 1, 2),
+    o AS (SELECT source, r, row_number() OVER (PARTITION BY source ORDER BY r) - 1 AS i, count(*) OVER (PARTITION BY source) AS m FROM r)
+    SELECT n.source, n.n AS clusters, n.value, max(r) FILTER (i = CAST(floor(m * 0.025) AS BIGINT)) AS low, max(r) FILTER (i = least(CAST(floor(m * 0.975) AS BIGINT), m - 1)) AS high FROM n JOIN o ON n.source IS NOT DISTINCT FROM o.source GROUP BY 1, 2, 3"""
+)
 def cluster_bootstrap(spark: SparkSession, d: str) -> DataFrame:
     """Share of good documents per source with an interval over languages."""
     labelled = _labelled(spark, d).filter("quality is not null").select("source", "lang", (F.col("quality") == 1).cast("int").alias("good"), F.lit(1).alias("one"))
-    return evaluation.cluster_interval(labelled, ["source"], "lang", "good", "one")
+    return resampling.cluster_interval(labelled, ["source"], "lang", "good", "one")
 
 
 @_query()

@@ -7,7 +7,7 @@ from decimal import Decimal
 import duckdb
 import pytest
 
-from strandloom.operators import evaluation, stats
+from strandloom.operators import resampling
 from strandloom.plans import relational
 
 TABLES = "region nation customer supplier part orders lineitem events documents benchmark labels".split()
@@ -41,7 +41,7 @@ def test_query(spark, con, sf_dir, name):
     assert got == sorted((tuple(plain(r[i]) for i in at) for r in result.fetchall()), key=str)
 
 
-@pytest.mark.parametrize(("name", "module", "operator", "full"), [("bootstrap_interval", stats, "bootstrap_ratio", {"resamples": 1000, "block": 500, "cap": 512}), ("cluster_bootstrap", evaluation, "cluster_interval", {"resamples": 10_000})])
+@pytest.mark.parametrize(("name", "module", "operator", "full"), [("bootstrap_interval", resampling, "block_interval", {"resamples": 1000, "block": 500, "cap": 512}), ("cluster_bootstrap", resampling, "cluster_interval", {"resamples": 10_000})])
 def test_bootstraps_draw_as_often_as_the_reference(spark, sf_dir, monkeypatch, name, module, operator, full):
     inner, calls = getattr(module, operator), []
 
