@@ -222,16 +222,16 @@ def comparisons(returned: DataFrame, truths: DataFrame, by: list[str]) -> DataFr
     key = [*by, "seq_id"]
     called = returned.filter(F.col("seq").isNotNull()).select(*key, F.upper(F.replace(F.col("seq"), F.lit("-"), F.lit(""))).alias("seq"))
     copies = truths.filter(F.col("truth").isNotNull()).select(*by, "truth_name", F.upper("truth").alias("truth"))
-    pairs = called.join(copies, by) if by else called.crossJoin(copies)
+    pairs = called.join(copies.hint("merge"), by) if by else called.crossJoin(copies)
     exact = pairs.withColumn("rank", _exact("seq", "truth")).filter("rank is not null").groupBy(*key).agg(F.min(F.struct("rank", "truth_name")).alias("e"))
     hits = local_hits(called, copies.select(*by, F.col("truth_name").alias("seq_id"), F.col("truth").alias("seq")), by, detail=True)
     same = F.col("pident") * F.col("length")
     best = hits.groupBy(*by, F.col("qseqid").alias("seq_id")).agg(F.min(F.struct((-same).alias("less"), F.col("sseqid").alias("truth_name"), "pident", "length", "mismatches", "gap_columns")).alias("a"))
     first = copies.groupBy(*by).agg(F.min("truth_name").alias("__first"))
-    j = called.join(exact, key, "left").join(best, key, "left")
-    j = j.join(first, by, "left") if by else j.crossJoin(F.broadcast(first))
+    j = called.join(exact.hint("merge"), key, "left").join(best.hint("merge"), key, "left")
+    j = j.join(first.hint("merge"), by, "left") if by else j.crossJoin(F.broadcast(first))
     j = j.withColumn("truth_name", F.coalesce("e.truth_name", "a.truth_name", "__first"))
-    j = j.join(copies, [*by, "truth_name"], "left").withColumn("n", F.length("truth"))
+    j = j.join(copies.hint("merge"), [*by, "truth_name"], "left").withColumn("n", F.length("truth"))
     names = F.array(*[F.lit(r) for r in RELATIONS])
     is_exact, aligned = F.col("e").isNotNull(), F.col("a").isNotNull()
     clean = (F.col("a.mismatches") == 0) & (F.col("a.gap_columns") == 0)
