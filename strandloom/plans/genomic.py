@@ -34,7 +34,9 @@ def _query(sql: str):
 
 
 def _rel(spark: SparkSession, d: str, sql: str) -> DataFrame:
-    return spark.sql(re.sub(r"\{(\w+)\}", lambda m: f"parquet.`{d}/{m[1]}.parquet`", sql))
+    """A frame of SQL; ``{name}`` is a table, ``{tasks}`` three tasks a core."""
+    tasks = str(3 * spark.sparkContext.defaultParallelism)
+    return spark.sql(re.sub(r"\{(\w+)\}", lambda m: tasks if m[1] == "tasks" else f"parquet.`{d}/{m[1]}.parquet`", sql))
 
 
 _RC = lambda c: f"reverse(translate({c}, 'ACGTRYMKBDHVNacgtrymkbdhvn', 'TGCAYRKMVHDBNtgcayrkmvhdbn'))"
@@ -100,7 +102,8 @@ def support_table(spark: SparkSession, d: str) -> DataFrame:
 # -- sequences, texts and spans --------------------------------------------------------------------------------------
 
 _SEQS = "SELECT p_partkey AS id, upper(concat(translate(substr(sha256_hex, 1, 60), '0123456789abcdef', 'ACGTTAGACGTNTAAC'), CASE WHEN p_partkey % 2 = 0 THEN 'NNNN' ELSE '' END, translate(substr(sha256_hex, 1, 41), '0123456789abcdef', 'TGATAACGTACGTTGA'))) AS seq FROM (SELECT p_partkey, {hash} AS sha256_hex FROM {part}) AS h"
-_SPARK_SEQS = _SEQS.replace("{hash}", "sha2(p_name || cast(p_partkey as string), 256)")
+# A table of few bytes is read by one task, however many rows it has: they are dealt to tasks before each is worked on.
+_SPARK_SEQS = _SEQS.replace("{hash}", "sha2(p_name || cast(p_partkey as string), 256)").replace("{part}", "(SELECT /*+ REPARTITION({tasks}, p_partkey) */ p_partkey, p_name FROM {part})")
 _DUCK_SEQS = _SEQS.replace("{hash}", "sha256(p_name || CAST(p_partkey AS VARCHAR))")
 
 

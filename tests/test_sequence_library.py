@@ -117,3 +117,16 @@ def test_six_frames_equal_the_plain_count(spark):
             continue
         plain = {f"+{f + 1}": r[f"p{f}"] for f in range(3)} | {f"-{f + 1}": r[f"m{f}"] for f in range(3)}
         assert r.six.counts == plain and (r.six.stops, r.six.frame) == min((n, x) for x, n in plain.items())
+
+
+def test_stops_of_many_sequences_at_once():
+    seqs = ["TAATAATAA", "", "T", "TTA", "AATAA", "TAATAATAA", "TTATTATTA"]
+    assert S.frame_stops(seqs).tolist() == [S.frame_stops([s])[0].tolist() for s in seqs]
+    assert S.frame_stops(["TAATAATAA", "TTATTATTA"]).tolist() == [[2, 0, 0, 0, 0, 0], [0, 0, 0, 2, 0, 0]]
+
+
+def test_rows_of_a_small_file_are_dealt_to_all_cores(spark, sf_dir):
+    from strandloom.plans import genomic, truth
+
+    for query in (genomic.reading_frames, truth.frames_of_both_strands):
+        assert query(spark, sf_dir).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
