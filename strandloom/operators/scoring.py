@@ -130,8 +130,9 @@ def mixed_sites(sites: DataFrame, truths: DataFrame, by: list[str]) -> DataFrame
     """
     c, t = F.upper("candidate"), F.upper("seq")
     j = sites.join(truths, by)
-    near = F.when(F.levenshtein(c, t) <= F.levenshtein(c, S.reverse_complement(t)), t).otherwise(S.reverse_complement(t))
-    at = j.withColumn("__base", base_at(c, near, F.col("position").cast("int")))
+    # No distance is below the difference of the lengths, which is that of a part to its whole.
+    near = F.when(F.contains(t, c) | F.contains(c, t), t).when(F.levenshtein(c, t) <= F.levenshtein(c, S.reverse_complement(t)), t).otherwise(S.reverse_complement(t))
+    at = j.withColumn("__near", near).withColumn("__base", base_at(c, F.col("__near"), F.col("position").cast("int"))).drop("__near")
     keys = [x for x in sites.columns if x != "candidate"]
     per = at.groupBy(*keys).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("name", "__base"))), lambda x: F.concat(x["name"], F.lit(":"), x["__base"])), ";").alias("truth_bases_at_site"), F.count_distinct("__base").alias("__n"), F.bool_or(F.col("__base") == F.upper("alt_base")).alias("alt_base_is_in_a_truth_copy"))
     return per.withColumn("truth_copies_differ_at_site", F.col("__n") > 1).drop("__n")

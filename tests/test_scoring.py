@@ -139,3 +139,11 @@ def test_repeated_candidates_share_as_single_ones_do(spark):
     pool = spark.createDataFrame([("k", target[:9], 1.0), ("k", target[:9], 1.0), ("k", target[:10], 2.0)], "k string, seq string, score double")
     found = scoring.fewest_shared(pool, spark.createDataFrame([("k", target)], "k string, seq string"), ["k"], "seq", "score", k=4).collect()
     assert sorted(r.shared for r in found) == [6, 6, 7]
+
+
+def test_the_strand_of_a_truth_is_decided_once_and_at_sight_where_it_holds_the_candidate(spark):
+    sites = spark.createDataFrame([(1, "ACGGT", 2, "C"), (2, "ACGGT", 2, "G")], "u int, candidate string, position int, alt_base string")
+    truths = spark.createDataFrame([(1, "t", "TTACGGTA"), (2, "t", "TACCGTAA")], "u int, name string, seq string")
+    out = scoring.mixed_sites(sites, truths, ["u"])
+    assert {r.u: (r.truth_bases_at_site, r.alt_base_is_in_a_truth_copy) for r in out.collect()} == {1: ("t:C", True), 2: ("t:C", False)}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("levenshtein") == 2
