@@ -56,3 +56,25 @@ def test_samples_stop_where_reads_and_drafts_end(spark):
     assert (got["none"].workflow_status, got["none"].message) == ("SKIP", "No contigs matched bait.")
     assert (got["dry"].workflow_status, got["dry"].message) == ("SKIP", "No reads mapped to target regions.")
     assert (got["bad"].workflow_status, got["bad"].message) == ("FAIL", "empty path")
+
+
+def test_drafts_of_a_locus_are_dealt_to_all_cores(spark, sf_dir, monkeypatch):
+    from strandloom.plans import alignments
+
+    class Enough(Exception):
+        pass
+
+    seen = {}
+
+    def keep(name, df):
+        seen[name] = df.rdd.getNumPartitions()
+        if name == "drafts":
+            raise Enough
+        return df
+
+    monkeypatch.setattr(alignments, "keeper", lambda s: keep)
+    try:
+        alignments.loci_from_reads(spark, sf_dir)
+    except Enough:
+        pass
+    assert seen["drafts"] >= spark.sparkContext.defaultParallelism
