@@ -60,10 +60,10 @@ class Cuckoo:
             m, a, b = mark[part], one[part], two[part]
             left = self._put(self.tables[-1], m, a)
             left = left[self._put(self.tables[-1], m[left], b[left])]
-            rest = [x for x in (self._kick(self.tables[-1], int(m[i]), int(a[i])) for i in left) if x is not None]
-            while rest:
+            rest = self._kick(self.tables[-1], m[left], b[left])
+            while len(rest[0]):
                 self.tables.append(np.zeros((self.buckets, SLOTS), np.uint16))
-                rest = [x for x in (self._kick(self.tables[-1], *x) for x in rest) if x is not None]
+                rest = self._kick(self.tables[-1], *rest)
             at += room
 
     def remove(self, h1: np.ndarray, h2: np.ndarray) -> None:
@@ -87,19 +87,21 @@ class Cuckoo:
         table[b[fits], slot[fits, rank[fits]]] = mark[order][fits]
         return np.sort(order[~fits])
 
-    def _kick(self, table: np.ndarray, mark: int, bucket: int) -> tuple[int, int] | None:
-        """Place one fingerprint, moving others; returns the one that is left without a slot, and a bucket of it."""
-        turn = mark * 65537 + bucket
-        for _ in range(KICKS):
-            for b in (bucket, int(self.other(np.array([mark], np.uint16), np.array([bucket]))[0])):
-                free = np.flatnonzero(table[b] == 0)
-                if len(free):
-                    table[b, free[0]] = mark
-                    return None
-            turn = turn * 1103515245 + 12345 & 0x7FFFFFFF
-            bucket, slot = b, (turn >> 16) % SLOTS
-            mark, table[bucket, slot] = int(table[bucket, slot]), mark
-            bucket = int(self.other(np.array([mark], np.uint16), np.array([bucket]))[0])
+    def _kick(self, table: np.ndarray, mark: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place fingerprints, moving others, all of them a step at a time; returns those left without a slot, and a bucket of each."""
+        for turn in range(KICKS):
+            for _ in range(2):
+                left = self._put(table, mark, bucket)
+                mark, bucket = mark[left], self.other(mark[left], bucket[left])
+            if not len(mark):
+                break
+            # One of a bucket takes the slot of a held fingerprint, which goes on to its other bucket; the others wait.
+            into, first = np.unique(bucket, return_index=True)
+            slot = (_spread(mark[first] + np.uint16(turn)) + into) % SLOTS
+            held = table[into, slot]
+            table[into, slot] = mark[first]
+            wait = np.delete(np.arange(len(mark)), first)
+            mark, bucket = np.concatenate([mark[wait], held]), np.concatenate([bucket[wait], self.other(held, into)])
         return mark, bucket
 
 

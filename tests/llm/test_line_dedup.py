@@ -117,3 +117,18 @@ def test_filters_hold_what_was_added():
     assert not any(t.any() for t in f.tables)
     with pytest.raises(ValueError):
         f.remove(h[:1, 0], h[:1, 1])
+
+
+def test_a_filter_that_is_nearly_full_takes_keys_without_another_generation():
+    import numpy as np
+
+    from strandloom.llm.cuckoo import Cuckoo
+
+    rng = np.random.default_rng(4)
+    h1, h2 = (rng.integers(-(2**63), 2**63 - 1, 3400) for _ in range(2))
+    held = Cuckoo(1024)
+    for at in (0, 1700):
+        held.add(h1[at : at + 1700], h2[at : at + 1700])
+    assert len(held.tables) == 1 and np.count_nonzero(held.tables[0]) == 3400 and held.contains(h1, h2).all()
+    held.remove(h1[:1700], h2[:1700])
+    assert np.count_nonzero(held.tables[0]) == 1700 and held.contains(h1[1700:], h2[1700:]).all()
