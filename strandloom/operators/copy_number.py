@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandloom.operators import intervals, scans
+from strandloom.operators import intervals
 from strandloom.operators.decisions import call_threshold, depth_call, dosage_status
 from strandloom.operators.stats import Blocks, dosage_draws, is_spread, percentile_bounds, ratio_draws, weighted_median
 
@@ -81,6 +81,17 @@ def copy_profile(spans: DataFrame, key: list[str], ratio: str = "ratio") -> Data
     return per.groupBy(*key).agg(F.when(covered > 0, total / covered).alias("dosage"), (total / whole).alias("dosage_lower"), ((total + (whole - covered) * most) / whole).alias("dosage_upper"), covered.alias("covered_bp"), most.alias("max_multiplicity"))
 
 
+def _along_tiles(rows: DataFrame, tiles: DataFrame, wanted: DataFrame, by: list[str]) -> DataFrame:
+    """The rows of the ``wanted`` tiles (by, contig, __tile) with ``__at``, their place along the whole backbone from 0 on."""
+    mine = rows.join(wanted, [*by, "contig", "__tile"], "left_semi")
+    here = F.row_number().over(Window.partitionBy(*by, "contig", "__tile").orderBy("pos")).cast("long") - 1
+    return mine.withColumn("__here", here).join(tiles.select(*by, "contig", "__tile", "__from"), [*by, "contig", "__tile"]).withColumn("__at", F.col("__from") + F.col("__here")).drop("__here", "__from")
+
+
+def _tiles_of(spans: DataFrame, start: str, end: str, name: str) -> DataFrame:
+    return spans.withColumn(name, F.explode(F.sequence(F.floor(F.col(start) / BIN), F.floor(F.col(end) / BIN))))
+
+
 def _subtracted(pool: DataFrame, removed: DataFrame, by: list[str], key: list[str], targets: DataFrame) -> DataFrame:
     """Rows per depth value of each target's backbone: the sample's counts less those inside the target."""
     every = pool.groupBy(*by, "depth").agg(F.count(F.lit(1)).alias("n"))
@@ -100,13 +111,16 @@ def depth_ratio(
     bootstrap reads only the ``cap`` evenly spaced blocks that it draws from.
     ``calibration`` names a column of ``targets``.  A target without depth rows
     has depth 0; one without a backbone is DEPTH_INDETERMINATE with ratio 0.
-    Notes are codes.  ``keep(name, df)`` may store the rows that are read more
-    than once (the backbone in its order, the regions' rows), and a sample's
-    backbone is then numbered across tasks; without it they are computed again
-    each time, and the backbone is numbered in one.
+    Notes are codes.  The backbone is counted by tiles of positions, and only
+    tiles that a region or a drawn block touches have their rows numbered, so
+    most of its rows leave their scan as counts.  ``keep(name, df)`` may store
+    what is read more than once (the small tables, whose size Spark knows then,
+    tiles, regions' rows); without it they are computed again each time.
     """
     kept = keep or (lambda _, df: df)
     key = [*by, "target"]
+    contigs, regions, targets = kept("contigs", contigs), kept("regions-given", regions), kept("targets", targets)
+    excluded = excluded if excluded is None else kept("excluded", excluded)
     place = F.col("ord") if "ord" in contigs.columns else F.col("contig")
     sized = regions.join(contigs.select(*by, "contig", "length", place.alias("__ord")), [*by, "contig"], "left")
     open_ended = sized.withColumn("start", F.coalesce("start", F.lit(1)).cast("long")).withColumn("end", F.coalesce("end", "length").cast("long"))
@@ -117,32 +131,32 @@ def depth_ratio(
     per_region = kept("regions", inside.groupBy(*key, "region").agg(F.median("depth").alias("median"), F.transform(F.sort_array(F.collect_list(F.struct("pos", "depth"))), lambda x: x["depth"].cast("double")).alias("depths")))
     per_target = inside.groupBy(*key).agg(F.median("depth").alias("locus_median"), F.median("depth_raw").alias("locus_raw"), F.count(F.lit(1)).alias("locus_n"))
 
-    pool = backbone_positions(depth, contigs, excluded, by, min_contig, trim)
+    pool = backbone_positions(depth, contigs, excluded, by, min_contig, trim).withColumn("__tile", F.floor(F.col("pos") / BIN))
     order = contigs.select(*by, "contig", place.alias("__ord"))
-    placed = pool.join(order, [*by, "contig"])
-    along = ["__ord", "contig", "pos"]
-    if keep:
-        ranked = scans.numbered(scans.dealt(placed, by, along, keep, "backbone-ranges"), by, along, "__at").withColumn("__at", F.col("__at") - 1)
-    else:
-        ranked = placed.withColumn("__at", F.row_number().over(Window.partitionBy(*by).orderBy(*along)).cast("long") - 1)
-    ranked = kept("backbone", ranked.select(*by, "contig", "pos", "depth", "__at"))
-    merged = intervals.merge(located, [*key, "contig"], "start", "end")
-    removed = intervals.range_join(ranked, merged.select(*key, "contig", "start", "end"), [*by, "contig"], "pos", "start", "end", BIN)
-    counts = kept("counts", _subtracted(ranked, removed, by, key, targets))
+    before = Window.partitionBy(*by).orderBy("__ord", "contig", "__tile").rowsBetween(Window.unboundedPreceding, -1)
+    tiles = pool.groupBy(*by, "contig", "__tile").agg(F.count(F.lit(1)).alias("__rows")).join(order, [*by, "contig"])
+    tiles = kept("tiles", tiles.withColumn("__from", F.coalesce(F.sum("__rows").over(before), F.lit(0))).drop("__ord"))
+    merged = intervals.merge(located, [*key, "contig"], "start", "end").select(*key, "contig", "start", "end")
+    removed = intervals.range_join(pool, merged, [*by, "contig"], "pos", "start", "end", BIN)
+    counts = kept("counts", _subtracted(pool, removed, by, key, targets))
     middle = weighted_median(counts, key, "depth", "n", "backbone_median")
     away = counts.join(middle.select(*key, "backbone_median"), key).withColumn("away", F.abs(F.col("depth") - F.col("backbone_median"))).groupBy(*key, "away").agg(F.sum("n").alias("n"))
     backbone = kept("middle", middle.withColumnRenamed("n", "backbone_n").join(weighted_median(away, key, "away", "n", "backbone_mad").drop("n"), key))
 
     # Blocks count a target's own backbone, so the places of its regions are skipped.
-    gaps = removed.groupBy(*key, "contig", "start").agg(F.min("__at").alias("a"), F.max("__at").alias("b"))
+    beside = _along_tiles(pool.select(*by, "contig", "pos", "__tile"), tiles, _tiles_of(merged, "start", "end", "__tile").select(*by, "contig", "__tile").distinct(), by)
+    gaps = intervals.range_join(beside, merged, [*by, "contig"], "pos", "start", "end", BIN).groupBy(*key, "contig", "start").agg(F.min("__at").alias("a"), F.max("__at").alias("b"))
     gaps = gaps.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("gaps"), F.sum(F.col("b") - F.col("a") + 1).alias("gone"))
-    sizes = ranked.groupBy(*by).agg(F.count(F.lit(1)).alias("__all"))
+    sizes = tiles.groupBy(*by).agg(F.sum("__rows").alias("__all"))
     none = F.array().cast("array<struct<a:bigint,b:bigint>>")
     wanted = targets.select(*key).join(sizes, by).join(gaps, key, "left").withColumn("gaps", F.coalesce("gaps", none)).withColumn("gone", F.coalesce("gone", F.lit(0)))
     wanted = wanted.withColumn("__blocks", F.ceil((F.col("__all") - F.col("gone")) / block))
     chosen = wanted.filter("__blocks > 0").select(*key, "gaps", "gone", "__blocks", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__blocks") - 1)).alias("__b")).filter(is_spread(F.col("__b"), F.col("__blocks"), cap))
-    windows = chosen.select(*key, "gaps", "__b", (F.col("__b") * block).alias("__lo"), ((F.col("__b") + 1) * block - 1 + F.col("gone")).alias("__hi"))
-    near = intervals.range_join(ranked.select(*by, "__at", "depth"), windows, by, "__at", "__lo", "__hi", max(block, 1))
+    windows = kept("windows", chosen.select(*key, "gaps", "__b", (F.col("__b") * block).alias("__lo"), ((F.col("__b") + 1) * block - 1 + F.col("gone")).alias("__hi")))
+    places = _tiles_of(tiles.withColumn("__upto", F.col("__from") + F.col("__rows") - 1), "__from", "__upto", "__bin")
+    touched = places.join(_tiles_of(windows, "__lo", "__hi", "__bin").select(*by, "__bin", "__lo", "__hi"), [*by, "__bin"]).filter("__from <= __hi and __upto >= __lo").select(*by, "contig", "__tile").distinct()
+    drawn = _along_tiles(pool.select(*by, "contig", "pos", "depth", "__tile"), tiles, kept("touched", touched), by)
+    near = intervals.range_join(drawn.select(*by, "__at", "depth"), windows, by, "__at", "__lo", "__hi", max(block, 1))
     skipped = F.aggregate("gaps", F.lit(0).cast("long"), lambda s, g: s + F.greatest(F.least(g["b"], F.col("__at") - 1) - g["a"] + 1, F.lit(0)))
     taken = near.filter(~F.exists("gaps", lambda g: F.col("__at").between(g["a"], g["b"]))).withColumn("__own", F.col("__at") - skipped).filter(F.floor(F.col("__own") / block) == F.col("__b"))
     sampled = taken.groupBy(*key).agg(F.transform(F.sort_array(F.collect_list(F.struct("__own", "depth"))), lambda x: x["depth"].cast("double")).alias("backbone_depths"))

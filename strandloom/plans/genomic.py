@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandloom.functions import sequence as S
-from strandloom.operators import copy_number, decisions, discovery, evidence, graph, intervals, quality_control, ranking, stats
+from strandloom.operators import copy_number, decisions, discovery, evidence, graph, intervals, quality_control, ranking, scans, stats
 from strandloom.sources import writers
 from strandloom.sources.scratch import keeper
 
@@ -255,11 +255,16 @@ _VALUES = lambda rows: ", ".join("(" + ", ".join("NULL" if v is None else f"'{v}
 )
 def locus_dosage(spark: SparkSession, d: str) -> DataFrame:
     """Ratio and dosage of three targets over the lines of each return flag as contigs; its interval is drawn, so it is left to tests."""
-    depth = _rel(spark, d, _DEPTH)
+    keep = keeper(spark)
+    lines = _rel(spark, d, "SELECT l_returnflag AS contig, l_orderkey, l_linenumber, l_quantity FROM {lineitem}")
+    # A flag has a third or a half of all lines, so they are numbered by ranges; quantities settle what the SQL's order leaves open.
+    order = ["l_orderkey", "l_linenumber", "l_quantity"]
+    placed = scans.numbered(scans.dealt(lines, ["contig"], order, keep, "lines"), ["contig"], order, "pos")
+    depth = keep("depth", placed.selectExpr("'a' AS sample", "contig", "pos", "CAST(CASE WHEN contig = 'R' AND l_linenumber > 2 THEN l_quantity * 2 ELSE l_quantity END AS INT) AS depth", "CAST(l_quantity * 2 + l_linenumber AS INT) AS depth_raw"))
     contigs = depth.groupBy("sample", "contig").agg(F.count(F.lit(1)).alias("length"))
     regions = spark.createDataFrame([("a", *r) for r in _REGIONS], "sample string, target string, region int, contig string, start long, end long, gene_start long, gene_end long")
     targets = spark.createDataFrame([("a", *g) for g in _GENES], "sample string, target string, gene_length long")
-    out = copy_number.depth_ratio(depth, contigs, regions, targets, ["sample"], spark.createDataFrame([("a", "N", 500, 900)], "sample string, contig string, start long, end long"), min_contig=1000, ambiguity_warn=0.4, keep=keeper(spark))
+    out = copy_number.depth_ratio(depth, contigs, regions, targets, ["sample"], spark.createDataFrame([("a", "N", 500, 900)], "sample string, contig string, start long, end long"), min_contig=1000, ambiguity_warn=0.4, keep=keep)
     return out.select("target", "locus_median_depth", "backbone_median_depth", "backbone_mad", "ratio", "ambiguity_index", "reliable", "dosage_estimate", "dosage_lower", "dosage_upper", "query_multiplicity_max", "query_coverage_fraction", "gene_overlap_bp", "dosage_status")
 
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandloom.operators import copy_number, decisions
+from strandloom.plans import genomic
 
 SETTINGS = {"min_contig": 500, "trim": 10, "block": 40, "resamples": 60, "cap": 12}
 DEPTH, CONTIGS = "sample string, contig string, pos long, depth int, depth_raw int", "sample string, contig string, length long, ord int"
@@ -82,6 +83,41 @@ def test_against_a_plain_version(spark):
     assert got["a", "part"].dosage_status == "ESTIMATED_PARTIAL_COVERAGE" and got["a", "part"].single_copy_rejected and got["a", "part"].depth_call == "MULTICOPY_DEPTH"
 
 
+def test_a_long_backbone_leaves_its_scan_as_counts(spark, tmp_path):
+    depths = {"z": jitter(50, 41_000, 1), "b": jitter(52, 23_000, 2)}
+    depths["b"][399:480] = jitter(150, 81, 4)
+    regions, stored = {"t": [("b", 400, 480, 1, 81)]}, []
+
+    def keep(name, df):
+        path = f"{tmp_path}/{len(stored)}-{name}"
+        df.write.parquet(path)
+        out = spark.read.schema(df.schema).parquet(path)
+        stored.append(out.count())
+        return out
+
+    few = {"cap": 2, "resamples": 20}
+    got = run(spark, {"a": (depths, regions, {"t": 81}, None)}, excluded=[("z", 9_990, 10_010)], keep=keep, **few)["a", "t"]
+    for k, v in plain(depths, [("z", 41_000), ("b", 23_000)], regions["t"], 81, [("z", 9_990, 10_010)], **few).items():
+        assert got[k] == pytest.approx(v, abs=6e-3 if k == "backbone_mad" else 6e-4), k
+    assert max(stored) < 1_000
+
+
+def test_lines_of_a_flag_are_not_numbered_in_one_task(spark, sf_dir, monkeypatch):
+    given = []
+    monkeypatch.setattr(genomic.copy_number, "depth_ratio", lambda depth, *_, **__: given.append(depth) or _stop())
+    with pytest.raises(StopIteration):
+        genomic.locus_dosage(spark, sf_dir)
+    depth = given[0]
+    assert "Window" not in depth._jdf.queryExecution().toString()
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_returnflag").count().collect()
+    ends = {r.contig: (r.a, r.b, r.n) for r in depth.groupBy("contig").agg(F.min("pos").alias("a"), F.max("pos").alias("b"), F.count_distinct("pos").alias("n")).collect()}
+    assert ends == {r.l_returnflag: (1, r["count"], r["count"]) for r in lines}
+
+
+def _stop():
+    raise StopIteration
+
+
 def one(level, raw=None, back=50, spread=3, n=300):
     depths = {"bb": jitter(back, 2000, 7, spread), "locus": jitter(level, n, 8, spread)}
     return depths, {"t": [("locus", None, None, None, None)]}, {"t": None}, {**depths, "locus": jitter(raw, n, 8, spread)} if raw else None
