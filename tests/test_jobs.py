@@ -137,6 +137,22 @@ def test_catalogue_repeats_a_batch_that_was_cut_off(spark, here, monkeypatch):
     assert catalogue(spark, config) == brute_catalogue(rows, [], 60, 20000, 2)
 
 
+def test_sequences_are_shuffled_once_a_step(spark, here):
+    a, b = bases(90, 40), bases(90, 41)
+    rows = [(f"s{i % 2}", f"c{i}", f"{a}\n{rc(a)}\n{b if i % 3 else ''}") for i in range(60)] + [("s1", None, a), ("s1", None, a), (None, "c1", b)]
+    values = {"contigs": table(spark, rows, CONTIGS, here("contigs")), "known": table(spark, [("k", b)], BAITS, here("known")), "output": here("out"), "letters": False}
+    config = settings(allele_catalogue.DEFAULTS, values)
+    found = allele_catalogue.sightings_of(spark.read.parquet(values["contigs"]), config)
+    assert {(r.allele, r["sample"]): (r.sightings, r.contigs) for r in found.groupBy("allele", "sample").agg(F.sum("sightings").alias("sightings"), F.sum("contigs").alias("contigs")).collect()} == {(min(a, rc(a)), "s0"): (60, 30), (min(a, rc(a)), "s1"): (62, 31), (min(b, rc(b)), "s0"): (20, 20), (min(b, rc(b)), "s1"): (20, 20), (min(b, rc(b)), "unnamed"): (1, 1)}
+    assert found.count() > 5  # an allele of many contigs is in several shares
+    held = spark.read.schema(allele_catalogue.SIGHTINGS).parquet(table(spark, [tuple(r) + (0,) for r in found.collect()], allele_catalogue.SIGHTINGS, here("held")))
+    known = spark.createDataFrame([(min(b, rc(b)), "k")], "allele string, known_id string")
+    got = allele_catalogue.catalogue_of(held, F.broadcast(known), 2)
+    assert {r.allele: (r.sightings, r.contigs, r.n_samples, r.disposition) for r in got.collect()} == {min(a, rc(a)): (122, 61, 2, "review"), min(b, rc(b)): (41, 41, 3, "accepted")}
+    for df in (allele_catalogue.sightings_of(spark.read.parquet(values["contigs"]), config), allele_catalogue.catalogue_of(held, F.broadcast(known), 2)):
+        assert df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
 def test_catalogue_of_nothing(spark, here):
     values = {"contigs": table(spark, [], CONTIGS, here("contigs")), "known": table(spark, [], BAITS, here("known")), "output": here("out")}
     counts = allele_catalogue.run(spark, settings(allele_catalogue.DEFAULTS, values))
